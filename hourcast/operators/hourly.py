@@ -9,6 +9,8 @@ forecast builds and ``["site_id"]`` for pseudo-observation histories.
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import DataFrame, functions as F
 
 from hourcast.functions.naming import cf_name, flux_rename, flux_units, state_units
@@ -35,20 +37,14 @@ def prepare(df: DataFrame, batch_cols: list[str]) -> DataFrame:
                        and "reference_datetime" not in extra else []))
 
 
-def to_hourly(df: DataFrame, sites: DataFrame | None = None, batch_cols=("reference_datetime",),
-              pseudo: bool = False, use_solar_geom: bool = True, horizon_rules: bool = True,
-              accum_hours: int = ACCUM_HOURS, bin_seconds: float | None = None,
-              names: dict | None = CF_NAMES, chunk_days: int = 30,
-              keep_chunk: bool = False) -> DataFrame:
-    """Disaggregate a long forecast table to hourly values.
+def disaggregate(df: DataFrame, batch_cols=("reference_datetime",), pseudo: bool = False,
+                 horizon_rules: bool = True, accum_hours: int = ACCUM_HOURS,
+                 chunk_days: int = 30, methods: dict | None = None, convert: bool = True):
+    """Steps TS-01..TS-03: grid, horizon rules, fills, unit steps.
 
-    df columns: site_id, family, ensemble, horizon (3-digit text), datetime,
-    variable (native names), prediction, reference_datetime, plus batch_cols.
-    sites: site_id, latitude, longitude (needed when use_solar_geom).
-
-    Output: batch_cols + site_id, family, ensemble, datetime, variable,
-    prediction, reference_datetime (batch issue time as timestamp, or NULL
-    for pseudo-observations).
+    Returns a namespace with ``filled`` (batch cols + site_id, family, ensemble,
+    variable, datetime, prediction, chunk), ``chunks``, ``series``,
+    ``variables``, ``n_series`` and ``skey``.
     """
     B = _batch_cols(batch_cols)
     src = prepare(df, B)
@@ -63,32 +59,62 @@ def to_hourly(df: DataFrame, sites: DataFrame | None = None, batch_cols=("refere
                 .when(F.col("variable").isin(FLUX_VARIABLES), flux_horizon_rule())
                 .otherwise(F.lit(False)))
         obs = obs.filter(keep)
-    method = {v: "linear" for v in STATE_VARIABLES}
-    method.update({v: "up" for v in FLUX_VARIABLES})
-    filled, chunks = gapfill.fill_hourly(obs.drop("bmax"), series, variables, B, method, chunk_days)
+    if methods is None:
+        methods = {v: "linear" for v in STATE_VARIABLES}
+        methods.update({v: "up" for v in FLUX_VARIABLES})
+    filled, chunks = gapfill.fill_hourly(obs.drop("bmax"), series, variables, B, methods, chunk_days)
+    if convert:
+        is_state = F.col("variable").isin(STATE_VARIABLES)
+        value = F.when(is_state, state_units(F.col("variable"), F.col("prediction"))) \
+            .otherwise(flux_units(F.col("variable"), F.col("prediction"), accum_hours))
+        filled = filled.withColumn("prediction", value).withColumn("variable",
+                                                                  flux_rename(F.col("variable")))
+    return SimpleNamespace(filled=filled, chunks=chunks, series=series, variables=variables,
+                           n_series=n_series, skey=skey, B=B, src=src)
+
+
+def with_potential(d, sites: DataFrame, bin_seconds: float | None = None) -> DataFrame:
+    """TS-04/TS-05: flux rows of ``disaggregate`` output with rpot attached."""
+    out = d.filled.filter(~F.col("variable").isin(STATE_VARIABLES))
+    B = d.B
+    if bin_seconds is None:
+        dt = solar_bin_table(d.chunks, d.series, d.variables, B)
+        # one row per batch: bounded by the series count checked in disaggregate
+        out = (out.join(broadcast_if_small(dt, n_rows=d.n_series), B, "left") if B
+               else out.crossJoin(F.broadcast(dt)))
+    else:
+        out = out.withColumn("bin_seconds", F.lit(float(bin_seconds)))
+    return add_potential(out, broadcast_if_small(sites.select("site_id", "latitude", "longitude")))
 
-    is_state = F.col("variable").isin(STATE_VARIABLES)
-    value = F.when(is_state, state_units(F.col("variable"), F.col("prediction"))) \
-        .otherwise(flux_units(F.col("variable"), F.col("prediction"), accum_hours))
-    out = filled.withColumn("prediction", value).withColumn("variable", flux_rename(F.col("variable")))
 
+def to_hourly(df: DataFrame, sites: DataFrame | None = None, batch_cols=("reference_datetime",),
+              pseudo: bool = False, use_solar_geom: bool = True, horizon_rules: bool = True,
+              accum_hours: int = ACCUM_HOURS, bin_seconds: float | None = None,
+              names: dict | None = CF_NAMES, chunk_days: int = 30,
+              keep_chunk: bool = False) -> DataFrame:
+    """Disaggregate a long forecast table to hourly values.
+
+    df columns: site_id, family, ensemble, horizon (3-digit text), datetime,
+    variable (native names), prediction, reference_datetime, plus batch_cols.
+    sites: site_id, latitude, longitude (needed when use_solar_geom).
+
+    Output: batch_cols + site_id, family, ensemble, datetime, variable,
+    prediction, reference_datetime (batch issue time as timestamp, or NULL
+    for pseudo-observations).
+    """
+    d = disaggregate(df, batch_cols, pseudo, horizon_rules, accum_hours, chunk_days)
+    B, out = d.B, d.filled
     if use_solar_geom:
         if sites is None:
             raise ValueError("use_solar_geom needs a sites table (site_id, latitude, longitude)")
-        if bin_seconds is None:
-            dt = solar_bin_table(chunks, series, variables, B)
-            # one row per batch: bounded by the series count checked above
-            out = (out.join(broadcast_if_small(dt, n_rows=n_series), B, "left") if B
-                   else out.crossJoin(F.broadcast(dt)))
-        else:
-            out = out.withColumn("bin_seconds", F.lit(float(bin_seconds)))
-        out = add_potential(out, broadcast_if_small(sites.select("site_id", "latitude", "longitude")))
-        out = reshape_shortwave(out, skey + ["variable", "chunk"],
-                                SHORTWAVE).drop("rpot", "bin_seconds")
+        fluxes = with_potential(d, sites, bin_seconds)
+        fluxes = reshape_shortwave(fluxes, d.skey + ["variable", "chunk"], SHORTWAVE)
+        out = out.filter(F.col("variable").isin(STATE_VARIABLES)).unionByName(
+            fluxes.drop("rpot", "bin_seconds"))
 
     if names is not None:
         out = out.withColumn("variable", cf_name(F.col("variable"), names))
-    out = out.withColumn("reference_datetime", _reference(src, B, pseudo, out))
+    out = out.withColumn("reference_datetime", _reference(d.src, B, pseudo, out))
     cols = [c for c in B if c not in ("site_id", "family", "ensemble", "reference_datetime")]
     cols += ["site_id", "family", "ensemble", "datetime", "variable", "prediction", "reference_datetime"]
     if keep_chunk:

@@ -85,6 +85,13 @@ def add_potential(fluxes: DataFrame, sites: DataFrame, dt_col: str = "bin_second
             .drop("doy", "latitude", "longitude"))
 
 
+def daily_means(fluxes: DataFrame, group_cols: list[str]) -> DataFrame:
+    """WN-03: daily mean of rpot and of the value (NULLs skipped), on every row."""
+    wd = W.partitionBy(*group_cols, F.to_date("datetime"))
+    return (fluxes.withColumn("avg_rpot", F.avg("rpot").over(wd))
+            .withColumn("avg_sw", F.avg("prediction").over(wd)))
+
+
 def reshape_shortwave(fluxes: DataFrame, group_cols: list[str], shortwave: str = "DSWRF") -> DataFrame:
     """Give daily shortwave the diurnal shape of rpot, keeping the daily mean.
 
@@ -93,9 +100,7 @@ def reshape_shortwave(fluxes: DataFrame, group_cols: list[str], shortwave: str =
     night); NULL where it is unknown (site without coordinates). Daily means
     skip NULLs and are taken per ``group_cols`` + UTC date.
     """
-    wd = W.partitionBy(*group_cols, F.to_date("datetime"))
-    f = (fluxes.withColumn("avg_rpot", F.avg("rpot").over(wd))
-         .withColumn("avg_sw", F.avg("prediction").over(wd)))
+    f = daily_means(fluxes, group_cols)
     is_sw = F.col("variable") == shortwave
     new = (F.when(~is_sw, F.col("prediction"))
            .when(F.col("avg_rpot") > 0, F.col("rpot") * (F.col("avg_sw") / F.col("avg_rpot")))
