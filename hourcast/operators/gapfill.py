@@ -171,8 +171,10 @@ def fill_hourly(obs: DataFrame, series: DataFrame, variables: DataFrame, batch_c
 def series_tables(obs: DataFrame, batch_cols: list[str]):
     """Series and batch-variable tables from the raw batch (all variables, all horizons).
 
-    Returns (series, variables): series has batch_cols + site_id, family, ensemble,
-    bmin, bmax, smax, n_hours, e0; variables has batch_cols + variable.
+    Returns (series, variables, stats): series has batch_cols + site_id, family, ensemble,
+    bmin, bmax, smax, n_hours, e0; variables has batch_cols + variable; stats is
+    the materialised per (series, variable) table both are derived from (its
+    row count bounds theirs).
     """
     skey = uniq(batch_cols + ["site_id", "family", "ensemble"])
     sv = materialize(obs.groupBy(*skey, "variable").agg(F.min("datetime").alias("vmin"),
@@ -185,4 +187,4 @@ def series_tables(obs: DataFrame, batch_cols: list[str]):
               .withColumn("e0", epoch_hour("bmin"))
               .drop("smin"))
     variables = sv.select(*batch_cols, "variable").distinct()
-    return materialize(series), variables
+    return series, variables, sv

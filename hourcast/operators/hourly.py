@@ -48,8 +48,8 @@ def disaggregate(df: DataFrame, batch_cols=("reference_datetime",), pseudo: bool
     """
     B = _batch_cols(batch_cols)
     src = prepare(df, B)
-    series, variables = gapfill.series_tables(src, B)
-    n_series = series.count()  # materialised: cheap
+    series, variables, stats = gapfill.series_tables(src, B)
+    n_series = stats.count()  # materialised: cheap; bounds the series and batch counts
     series = broadcast_if_small(series, n_rows=n_series)
 
     skey = gapfill.uniq(B + ["site_id", "family", "ensemble"])
@@ -67,8 +67,9 @@ def disaggregate(df: DataFrame, batch_cols=("reference_datetime",), pseudo: bool
         is_state = F.col("variable").isin(STATE_VARIABLES)
         value = F.when(is_state, state_units(F.col("variable"), F.col("prediction"))) \
             .otherwise(flux_units(F.col("variable"), F.col("prediction"), accum_hours))
-        filled = filled.withColumn("prediction", value).withColumn("variable",
-                                                                  flux_rename(F.col("variable")))
+        # the APCP -> PRATE rename waits until the end: renaming a key column here
+        # would hide the (series, chunk) partitioning from the solar windows
+        filled = filled.withColumn("prediction", value)
     return SimpleNamespace(filled=filled, chunks=chunks, series=series, variables=variables,
                            n_series=n_series, skey=skey, B=B, src=src)
 
@@ -112,6 +113,7 @@ def to_hourly(df: DataFrame, sites: DataFrame | None = None, batch_cols=("refere
         out = out.filter(F.col("variable").isin(STATE_VARIABLES)).unionByName(
             fluxes.drop("rpot", "bin_seconds"))
 
+    out = out.withColumn("variable", flux_rename(F.col("variable")))
     if names is not None:
         out = out.withColumn("variable", cf_name(F.col("variable"), names))
     out = out.withColumn("reference_datetime", _reference(d.src, B, pseudo, out))

@@ -87,9 +87,11 @@ def add_potential(fluxes: DataFrame, sites: DataFrame, dt_col: str = "bin_second
 
 def daily_means(fluxes: DataFrame, group_cols: list[str]) -> DataFrame:
     """WN-03: daily mean of rpot and of the value (NULLs skipped), on every row."""
-    wd = W.partitionBy(*group_cols, F.to_date("datetime"))
-    return (fluxes.withColumn("avg_rpot", F.avg("rpot").over(wd))
-            .withColumn("avg_sw", F.avg("prediction").over(wd)))
+    wd = W.partitionBy(*group_cols, "_day")
+    return (fluxes.withColumn("_day", F.to_date("datetime"))
+            .select("*", F.avg("rpot").over(wd).alias("avg_rpot"),
+                    F.avg("prediction").over(wd).alias("avg_sw"))
+            .drop("_day"))
 
 
 def reshape_shortwave(fluxes: DataFrame, group_cols: list[str], shortwave: str = "DSWRF") -> DataFrame:

@@ -22,7 +22,7 @@ def hourly_spine(df: DataFrame, batch_cols=("reference_datetime",), chunk_days:
     """Per batch: every (site, family, ensemble) present x every batch variable x
     every hour from the batch's first time to that series' last time."""
     B = list(batch_cols)
-    series, variables = gapfill.series_tables(prepare(df, B), B)
+    series, variables, _ = gapfill.series_tables(prepare(df, B), B)
     series = broadcast_if_small(series)
     skey = gapfill.uniq(B + ["site_id", "family", "ensemble"])
     ch = chunk_days * 24

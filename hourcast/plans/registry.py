@@ -20,6 +20,7 @@ from hourcast.plans import planner, reports, stages
 from hourcast.schemas import FLUX_VARIABLES, NATIVE_VARIABLES, PSEUDO, STAGE1, STATE_VARIABLES
 from hourcast.session import scratch_dir
 from hourcast.sinks import writers
+from hourcast.sinks.util import materialize
 from hourcast.sources import datasets, legacy
 from hourcast.sources.events_adapter import forecast, pseudo
 from hourcast.sources.site_list import builtin_sites
@@ -39,11 +40,13 @@ def round_sw(df: DataFrame, col: str = "prediction") -> DataFrame:
 
 
 def _fc(spark, d):
-    return forecast(spark, d)
+    """Forecast-shaped input, derived once per query and checkpointed (it feeds
+    several branches of each plan)."""
+    return materialize(forecast(spark, d))
 
 
 def _ps(spark, d):
-    return pseudo(spark, d)
+    return materialize(pseudo(spark, d))
 
 
 def _bmax(df: DataFrame, B: list[str]) -> DataFrame:
