@@ -325,6 +325,21 @@ def q_sync_partitions(spark, d):
     return datasets.read_dataset(spark, dst, PSEUDO)
 
 
+def q_stage3_append_legacy(spark, d):
+    ps = legacy.legacy_stage1(_ps(spark, d))
+    hist = stages.legacy_stage3_frame(None, ps.filter(F.col("start_date") < UPDATE_SPLIT), UPDATE_SPLIT,
+                                      start_date="2023-12-01")
+    hist = materialize(hist.drop("reference_datetime"))
+    return stages.legacy_stage3_frame(hist, ps, "2024-01-31")
+
+
+def q_legacy_stage2_build(spark, d):
+    s1 = legacy.legacy_stage1(_ps(spark, d))
+    runs = planner.plan_runs(s1, None, ["2024-01-10", "2024-01-11", "2024-01-12"],
+                             cycles=(0, 6, 12, 18), force=True)
+    return round_sw(stages.legacy_stage2_frame(s1, runs, builtin_sites(spark)))
+
+
 QUERIES = {
     "variable_filter": q_variable_filter,
     "site_semi_join": q_site_semi_join,
@@ -355,6 +370,8 @@ QUERIES = {
     "stage2_build": q_stage2_build,
     "stage3_rebuild": q_stage3_rebuild,
     "stage3_update": q_stage3_update,
+    "stage3_append_legacy": q_stage3_append_legacy,
+    "legacy_stage2_build": q_legacy_stage2_build,
     "site_horizon_reached": q_site_horizon_reached,
     "run_planner": q_run_planner,
     "run_planner_forced": q_run_planner_forced,

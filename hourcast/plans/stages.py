@@ -172,5 +172,60 @@ def legacy_stage3_frame(history: DataFrame | None, stage1: DataFrame, run_date,
     out = new if kept is None else new.unionByName(
         kept.select("datetime", "site_id", "family", F.col("parameter").cast("int").alias("parameter"),
                     "variable", "prediction").join(plan.select("site_id"), "site_id", "left_semi"))
-    out = out.withColumn("reference_datetime", F.min("datetime").over(W.partitionBy("site_id")))
-    return out.withColumn("family", F.lit("ensemble"))
+    # AG-13: every row gets its site's earliest time (aggregate + join, not a
+    # whole-site window: a site's history never has to fit in one task)
+    first = out.groupBy("site_id").agg(F.min("datetime").alias("reference_datetime"))
+    out = out.join(F.broadcast(first), "site_id")  # one row per site of the list
+    return out.withColumn("family", F.lit("ensemble")).select(
+        "datetime", "site_id", "family", "parameter", "variable", "prediction", "reference_datetime")
+
+
+def legacy_stage2_frame(stage1: DataFrame, runs: DataFrame, sites: DataFrame, **hourly_kw) -> DataFrame:
+    """PL-09: legacy stage-2 build for planned runs, all runs in one plan.
+
+    stage1: legacy rows (start_date, cycle int, site_id, parameter int, horizon
+    numeric, datetime, variable, prediction, reference_datetime, family).
+    runs: date, cycle (e.g. the output of plan_runs). Each (date, cycle) is a
+    batch; members become 'ens%02d' codes for the operator and numbers again
+    after it.
+    """
+    r = runs.select(F.col("date").alias("start_date"), F.col("cycle").cast("int").alias("cycle"))
+    df = (native_variables(stage1).join(r, ["start_date", "cycle"], "left_semi")
+          .withColumn("ensemble", F.format_string("ens%02d", F.col("parameter").cast("int")))
+          .withColumn("horizon", F.lpad(F.col("horizon").cast("int").cast("string"), 3, "0")))
+    h = to_hourly(df, sites, ["start_date", "cycle", "reference_datetime"], pseudo=False, **hourly_kw)
+    return h.select("start_date", "cycle", "site_id", "family",
+                    F.substring("ensemble", 4, 2).cast("int").alias("parameter"),
+                    "datetime", "variable", "prediction", "reference_datetime")
+
+
+def build_legacy_stage2(spark: SparkSession, stage1: DataFrame, runs: DataFrame, sites: DataFrame,
+                        root: str) -> None:
+    """Job: PL-09 + IO-09, one folder per (cycle, start_date, site_id)."""
+    write_partitioned(legacy_stage2_frame(stage1, runs, sites), root, ["cycle", "start_date", "site_id"])
+
+
+def stage2_chain(spark: SparkSession, raw: DataFrame, stage1_root: str, stage2_root: str,
+                 sites: DataFrame, run_date, lookback_days: int = 7) -> DataFrame:
+    """PL-17: land the stage-1 backlog, then build the stage-2 backlog."""
+    from hourcast.plans.planner import stage1_backlog
+    from hourcast.sinks.writers import land_forecast
+    try:
+        present = partition_values(read_dataset(spark, stage1_root, STAGE1), "reference_datetime")
+    except Exception:
+        present = spark.createDataFrame([], "reference_datetime string")
+    land_forecast(raw, stage1_root, sites, stage1_backlog(spark, present, run_date), cycles=["00"])
+    return build_stage2(spark, stage1_root, stage2_root, sites, run_date, lookback_days)
+
+
+def stage3_chain(spark: SparkSession, raw: DataFrame, pseudo_root: str, stage3_root: str,
+                 sites: DataFrame, run_date) -> str:
+    """PL-17: land the pseudo-observation backlog, then update stage 3."""
+    from hourcast.plans.planner import pseudo_backlog
+    from hourcast.sinks.writers import land_forecast
+    try:
+        present = partition_values(read_dataset(spark, pseudo_root, PSEUDO), "reference_datetime")
+    except Exception:
+        present = spark.createDataFrame([], "reference_datetime string")
+    land_forecast(raw, pseudo_root, sites, pseudo_backlog(spark, present, run_date))
+    return update_stage3(spark, pseudo_root, stage3_root, sites)

@@ -78,7 +78,7 @@ def to_hourly_sql(src: str, out: str, batch: list[str], pseudo: bool, use_solar:
                       f" OR (o.variable IN ({FLUXES}) AND o.horizon <> '003')")
     else:
         obs_filter = f"o.variable IN ({STATES}, {FLUXES})"
-    ref = "CAST(NULL AS TIMESTAMP)" if pseudo else "CAST(CAST(reference_datetime AS DATE) AS TIMESTAMP)"
+    ref = "CAST(NULL AS TIMESTAMP)" if pseudo else "CAST(reference_datetime AS TIMESTAMP)"
     ordering = "datetime, prediction IS NOT NULL, horizon ASC NULLS FIRST, prediction ASC NULLS FIRST"
     ctes = f"""
 {p}src AS (SELECT {BX}site_id, family, ensemble, horizon, datetime, variable,

@@ -92,6 +92,50 @@ j AS (SELECT r.date, CAST(r.cycle AS INTEGER) AS cycle, CAST(r.cycle AS VARCHAR)
 SELECT * FROM j WHERE {str(bool(force)).upper()} OR files_present IS NULL OR files_present = 0"""
 
 
+def legacy_stage3_run(name: str, src: str, hist: str | None, run_date: str, start: str) -> str:
+    """CTEs for one legacy stage-3 append run into CTE ``name``."""
+    n = name
+    ctes = [f"""{n}_s1 AS (SELECT * FROM {src} WHERE variable IN ({STATES}, {FLUXES})
+  AND horizon IN (0.0, 3.0))"""]
+    if hist is None:
+        ctes.append(f"""{n}_plan AS (SELECT DISTINCT site_id, DATE '{start}' AS from_day FROM {n}_s1)""")
+        ctes.append(f"{n}_kept AS (SELECT * FROM (SELECT NULL::TIMESTAMP AS datetime, NULL::VARCHAR AS site_id,"
+                    " NULL::VARCHAR AS family, NULL::INTEGER AS parameter, NULL::VARCHAR AS variable,"
+                    " NULL::DOUBLE AS prediction) WHERE FALSE)")
+    else:
+        ctes.append(f"""{n}_last AS (SELECT site_id, max(CAST(datetime AS DATE)) AS max_start FROM {hist} GROUP BY ALL)""")
+        ctes.append(f"""{n}_plan AS (SELECT s.site_id, coalesce(l.max_start, DATE '{start}') AS from_day
+  FROM (SELECT DISTINCT site_id FROM {n}_s1) s LEFT JOIN {n}_last l USING (site_id))""")
+        ctes.append(f"""{n}_kept AS (SELECT h.datetime, h.site_id, h.family, h.parameter, h.variable, h.prediction
+  FROM {hist} h JOIN {n}_last l USING (site_id) WHERE CAST(h.datetime AS DATE) <> l.max_start)""")
+    ctes.append(f"""{n}_run AS (SELECT * FROM {n}_plan WHERE date_diff('day', from_day, DATE '{run_date}') >= 1)""")
+    ctes.append(f"""{n}_d1 AS (SELECT DISTINCT s.reference_date, s.site_id, s.parameter, s.horizon, s.variable,
+  s.datetime, s.reference_datetime, s.prediction, s.family,
+  'ens' || lpad(CAST(s.parameter AS VARCHAR), 2, '0') AS ensemble, CAST(NULL AS VARCHAR) AS horizon_s
+  FROM {n}_s1 s JOIN {n}_run r USING (site_id)
+  WHERE CAST(s.start_date AS DATE) >= r.from_day AND CAST(s.start_date AS DATE) <= DATE '{run_date}'
+    AND s.horizon < 6)""")
+    ctes.append(f"""{n}_in AS (SELECT site_id, family, ensemble, horizon_s AS horizon, datetime, variable, prediction
+  FROM {n}_d1)""")
+    ctes.append(to_hourly_sql(f"{n}_in", f"{n}_h", ["site_id"], True, use_solar=False, horizon_rules=False))
+    ctes.append(f"""{n}_new AS (SELECT datetime, site_id, family, CAST(substr(ensemble, 4, 2) AS INTEGER) AS parameter,
+  variable, prediction FROM {n}_h)""")
+    ctes.append(f"""{n}_all AS (SELECT * FROM {n}_new UNION ALL
+  SELECT k.* FROM {n}_kept k WHERE k.site_id IN (SELECT site_id FROM {n}_run))""")
+    ctes.append(f"""{n} AS (SELECT a.datetime, a.site_id, 'ensemble' AS family, a.parameter, a.variable, a.prediction,
+  f.first AS reference_datetime FROM {n}_all a
+  JOIN (SELECT site_id, min(datetime) AS first FROM {n}_all GROUP BY ALL) f USING (site_id))""")
+    return ",\n".join(ctes)
+
+
+LEGACY2_RUNS = """l2in AS (SELECT start_date, cycle, site_id, family,
+  'ens' || lpad(CAST(parameter AS VARCHAR), 2, '0') AS ensemble,
+  lpad(CAST(CAST(horizon AS INTEGER) AS VARCHAR), 3, '0') AS horizon, datetime, variable, prediction,
+  reference_datetime FROM legacy1p
+  WHERE variable IN ({S}, {F}) AND start_date IN ('2024-01-10', '2024-01-11', '2024-01-12')
+    AND cycle IN (0, 6, 12, 18))"""
+
+
 ORACLE = {
     "variable_filter": W(P) + f" SELECT * FROM pseudo WHERE variable IN ({STATES}, {FLUXES})",
     "site_semi_join": W(F, SITES) + " SELECT * FROM forecast WHERE site_id IN (SELECT site_id FROM sites)",
@@ -165,6 +209,16 @@ ORACLE = {
                        """old AS (SELECT DISTINCT h.* FROM hist h JOIN first_new f USING (site_id) WHERE h.datetime < f.first_new)""",
                        "final AS (SELECT * FROM new UNION ALL SELECT * FROM old)")
     + " " + rsw("final"),
+    "stage3_append_legacy": W(P, LEGACY1P,
+                              f"early1 AS (SELECT * FROM legacy1p WHERE start_date < '{UPDATE_SPLIT}')",
+                              legacy_stage3_run("r1", "early1", None, UPDATE_SPLIT, "2023-12-01"),
+                              "hist AS (SELECT datetime, site_id, family, parameter, variable, prediction FROM r1)",
+                              legacy_stage3_run("r2", "legacy1p", "hist", "2024-01-31", "2023-12-01"))
+    + " SELECT * FROM r2",
+    "legacy_stage2_build": W(P, LEGACY1P, SITES, LEGACY2_RUNS.format(S=STATES, F=FLUXES),
+                             to_hourly_sql("l2in", "l2h", ["start_date", "cycle", "reference_datetime"], False))
+    + " " + rsw("""(SELECT start_date, cycle, site_id, family, CAST(substr(ensemble, 4, 2) AS INTEGER) AS parameter,
+      datetime, variable, prediction, reference_datetime FROM l2h)"""),
     "site_horizon_reached": W(F, LEGACY1) + """ SELECT start_date, min(mh) AS horizon FROM (
       SELECT start_date, parameter, max(horizon) AS mh FROM legacy1
       WHERE cycle = 0 AND parameter < 31 AND variable = 'PRES' GROUP BY ALL) GROUP BY ALL""",
