@@ -100,21 +100,31 @@ def fill_hourly(obs: DataFrame, series: DataFrame, variables: DataFrame, batch_c
     u = (u.withColumn("k_lo", F.greatest(F.lit(0).cast("long"), F.col("chunk") * ch - F.col("e0")))
           .withColumn("k_hi", F.least(F.col("n_hours"), (F.col("chunk") + 1) * ch - 1 - F.col("e0"))))
 
-    order = ["`kind`", "`k`", "(`prediction` IS NOT NULL)", "`horizon` ASC NULLS FIRST",
-             "`prediction` ASC NULLS FIRST"]
-    over = _over(ckey, order)
-    wrun = f"{over[:-1]} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    is_knot = "(`kind` = 1 AND `prediction` IS NOT NULL)"
-
-    u = u.withColumn("next_k", F.expr(f"lead(`k`) {over}"))
-    u = u.withColumn("dup", F.expr(f"CASE WHEN `kind` = 1 AND `k` = lag(`k`) {over} THEN 1 ELSE 0 END"))
-    u = u.withColumn("dups", F.expr(f"sum(`dup`) {wrun}"))
-    u = u.withColumn("kp", F.expr(f"CASE WHEN {is_knot} THEN `k` + `dups` END"))
-    u = u.withColumn("kv", F.expr(f"CASE WHEN {is_knot} THEN `prediction` END"))
-    u = (u.withColumn("prev_p", F.expr(f"last(`kp`, true) {wrun}"))
-          .withColumn("prev_v", F.expr(f"last(`kv`, true) {wrun}"))
-          .withColumn("next_p", F.expr(f"lead(`kp`) IGNORE NULLS {over}"))
-          .withColumn("next_v", F.expr(f"lead(`kv`) IGNORE NULLS {over}")))
+    # One ordering for every window below (a real column, not an expression, so
+    # Spark sorts once and stacks the window passes on that sort).
+    u = u.withColumn("has_value", F.col("prediction").isNotNull())
+    order_cols = ["kind", "k", "has_value", F.col("horizon").asc_nulls_first(),
+                  F.col("prediction").asc_nulls_first()]
+    w = W.partitionBy(*ckey).orderBy(*order_cols)
+    wrun = w.rowsBetween(W.unboundedPreceding, W.currentRow)
+    over = _over(ckey, ["`kind`", "`k`", "`has_value`", "`horizon` ASC NULLS FIRST",
+                        "`prediction` ASC NULLS FIRST"])
+
+    # pass 1: next observation's hour, duplicate flag
+    u = u.select("*", F.lead("k").over(w).alias("next_k"), F.lag("k").over(w).alias("lag_k"))
+    u = u.withColumn("dup", F.when((F.col("kind") == KIND_OBS) & (F.col("k") == F.col("lag_k")), 1)
+                     .otherwise(0))
+    # pass 2: duplicates so far (positions count rows, not hours)
+    u = u.withColumn("dups", F.sum("dup").over(wrun))
+    is_knot = (F.col("kind") == KIND_OBS) & F.col("has_value")
+    u = (u.withColumn("kp", F.when(is_knot, F.col("k") + F.col("dups")))
+          .withColumn("kv", F.when(is_knot, F.col("prediction"))))
+    # pass 3: previous knot (at or before), next knot (strictly after)
+    u = u.select("*",
+                 F.last("kp", True).over(wrun).alias("prev_p"),
+                 F.last("kv", True).over(wrun).alias("prev_v"),
+                 F.expr(f"lead(`kp`) IGNORE NULLS {over}").alias("next_p"),
+                 F.expr(f"lead(`kv`) IGNORE NULLS {over}").alias("next_v"))
 
     # per-chunk summary on the same partitioning (no new shuffle of the rows)
     summ = (u.groupBy(*ckey)

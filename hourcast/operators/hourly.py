@@ -74,9 +74,14 @@ def disaggregate(df: DataFrame, batch_cols=("reference_datetime",), pseudo: bool
                            n_series=n_series, skey=skey, B=B, src=src)
 
 
-def with_potential(d, sites: DataFrame, bin_seconds: float | None = None) -> DataFrame:
-    """TS-04/TS-05: flux rows of ``disaggregate`` output with rpot attached."""
-    out = d.filled.filter(~F.col("variable").isin(STATE_VARIABLES))
+def with_potential(d, sites: DataFrame, bin_seconds: float | None = None,
+                   rows: DataFrame | None = None, only: str | None = None) -> DataFrame:
+    """TS-04/TS-05: rows of ``disaggregate`` output with rpot attached.
+
+    ``rows`` defaults to the flux rows; with ``only`` set, rpot is computed for
+    that variable and NULL elsewhere (the rows pass through unchanged).
+    """
+    out = d.filled.filter(~F.col("variable").isin(STATE_VARIABLES)) if rows is None else rows
     B = d.B
     if bin_seconds is None:
         dt = solar_bin_table(d.chunks, d.series, d.variables, B)
@@ -85,7 +90,8 @@ def with_potential(d, sites: DataFrame, bin_seconds: float | None = None) -> Dat
                else out.crossJoin(F.broadcast(dt)))
     else:
         out = out.withColumn("bin_seconds", F.lit(float(bin_seconds)))
-    return add_potential(out, broadcast_if_small(sites.select("site_id", "latitude", "longitude")))
+    return add_potential(out, broadcast_if_small(sites.select("site_id", "latitude", "longitude")),
+                         only=only)
 
 
 def to_hourly(df: DataFrame, sites: DataFrame | None = None, batch_cols=("reference_datetime",),
@@ -108,10 +114,10 @@ def to_hourly(df: DataFrame, sites: DataFrame | None = None, batch_cols=("refere
     if use_solar_geom:
         if sites is None:
             raise ValueError("use_solar_geom needs a sites table (site_id, latitude, longitude)")
-        fluxes = with_potential(d, sites, bin_seconds)
-        fluxes = reshape_shortwave(fluxes, d.skey + ["variable", "chunk"], SHORTWAVE)
-        out = out.filter(F.col("variable").isin(STATE_VARIABLES)).unionByName(
-            fluxes.drop("rpot", "bin_seconds"))
+        # one pipeline for all variables: rpot only where it is used (shortwave),
+        # daily means on the (series, chunk) partitioning the rows already have
+        out = with_potential(d, sites, bin_seconds, rows=out, only=SHORTWAVE)
+        out = reshape_shortwave(out, d.skey + ["variable", "chunk"], SHORTWAVE).drop("rpot", "bin_seconds")
 
     out = out.withColumn("variable", flux_rename(F.col("variable")))
     if names is not None:

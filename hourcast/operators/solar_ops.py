@@ -75,13 +75,16 @@ def bin_step_seconds(series: DataFrame, batch_cols: list[str], n_flux_vars: Data
     return med.select(*batch_cols, ((F.col("v_lo") + F.col("v_hi")) / 2 * 86400).alias("bin_seconds"))
 
 
-def add_potential(fluxes: DataFrame, sites: DataFrame, dt_col: str = "bin_seconds") -> DataFrame:
-    """Attach rpot (potential shortwave) to every flux row; unknown sites get NULL."""
+def add_potential(fluxes: DataFrame, sites: DataFrame, dt_col: str = "bin_seconds",
+                  only: str | None = None) -> DataFrame:
+    """Attach rpot (potential shortwave) to every row (or only to rows of
+    variable ``only``; NULL elsewhere); unknown sites get NULL."""
     doy = day_of_year_frac("datetime")
     f = fluxes.join(sites.select("site_id", "latitude", "longitude"), "site_id", "left")
-    return (f.withColumn("doy", doy)
-            .withColumn("rpot", potential_shortwave(F.col("doy"), wrap_longitude("longitude"),
-                                                    F.col("latitude"), F.col(dt_col)))
+    rpot = potential_shortwave(F.col("doy"), wrap_longitude("longitude"), F.col("latitude"), F.col(dt_col))
+    if only is not None:
+        rpot = F.when(F.col("variable") == only, rpot)
+    return (f.withColumn("doy", doy).withColumn("rpot", rpot)
             .drop("doy", "latitude", "longitude"))
 
 

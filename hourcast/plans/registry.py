@@ -172,7 +172,8 @@ def q_solar_potential(spark, d):
 def q_daily_mean_broadcast(spark, d):
     dd = disaggregate(_fc(spark, d), FB)
     f = daily_means(with_potential(dd, builtin_sites(spark)), dd.skey + ["variable", "chunk"])
-    return f.select("reference_datetime", "site_id", "family", "ensemble", "variable", "datetime",
+    return f.select("reference_datetime", "site_id", "family", "ensemble",
+                    flux_rename(F.col("variable")).alias("variable"), "datetime",
                     F.round("avg_rpot", 6).alias("avg_rpot"), F.round("avg_sw", 6).alias("avg_sw"))
 
 
