@@ -89,8 +89,14 @@ def add_potential(fluxes: DataFrame, sites: DataFrame, dt_col: str = "bin_second
 
 
 def daily_means(fluxes: DataFrame, group_cols: list[str]) -> DataFrame:
-    """WN-03: daily mean of rpot and of the value (NULLs skipped), on every row."""
-    wd = W.partitionBy(*group_cols, "_day")
+    """WN-03: daily mean of rpot and of the value (NULLs skipped), on every row.
+
+    The frame is the whole day, read in time order, so the floating-point sum
+    is the same on every run and every retry.
+    """
+    wd = (W.partitionBy(*group_cols, "_day")
+          .orderBy("datetime", F.col("prediction").asc_nulls_first())
+          .rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
     return (fluxes.withColumn("_day", F.to_date("datetime"))
             .select("*", F.avg("rpot").over(wd).alias("avg_rpot"),
                     F.avg("prediction").over(wd).alias("avg_sw"))
