@@ -69,6 +69,12 @@ def build_stage2(spark: SparkSession, stage1_root: str, stage2_root: str, sites:
     except Exception:  # no stage-2 dataset yet
         produced = spark.createDataFrame([], "reference_datetime string")
     missing = stage2_backlog(spark, produced, run_date, lookback_days)
+    # At most ``lookback_days`` values: fetched so the scan is pruned to those
+    # partition folders when it is planned (a join alone would list them all).
+    wanted = [r[0] for r in missing.collect()]
+    if not wanted:
+        return missing
+    stage1 = stage1.filter(F.col("reference_datetime").isin(wanted))
     write_stage2(stage2_frame(stage1, sites, missing), stage2_root)
     return missing
 
@@ -120,6 +126,14 @@ def update_stage3(spark: SparkSession, pseudo_root: str, stage3_root: str, sites
     so a failed job cannot lose history. Returns the staging path."""
     stage3 = read_dataset(spark, stage3_root, STAGE3_READ)
     pseudo = read_dataset(spark, pseudo_root, PSEUDO)
+    # One scalar (the earliest per-site read start) prunes the pseudo scan to the
+    # last days' partitions at planning time; the per-site cut-off still applies.
+    look = rewrite_days if lookback_issue_days is None else lookback_issue_days
+    first = (stage3.groupBy("site_id").agg(F.max(F.to_date("datetime")).alias("d"))
+             .agg(F.date_format(F.date_sub(F.min("d"), look), "yyyy-MM-dd")).first()[0])
+    if first is None:  # no history at all: nothing is ever started
+        return None
+    pseudo = pseudo.filter(F.col("reference_datetime") >= F.lit(first))
     frame = stage3_update_frame(stage3, pseudo, sites, rewrite_days, lookback_issue_days)
     staging = scratch_dir(spark, "stage3-staging")
     write_partitioned(frame, staging, ["site_id"])
