@@ -84,7 +84,7 @@ def with_potential(d, sites: DataFrame, bin_seconds: float | None = None,
     out = d.filled.filter(~F.col("variable").isin(STATE_VARIABLES)) if rows is None else rows
     B = d.B
     if bin_seconds is None:
-        dt = solar_bin_table(d.chunks, d.series, d.variables, B)
+        dt = solar_bin_table(flux_duplicates(d.src, d.series, B), d.series, d.variables, B)
         # one row per batch: bounded by the series count checked in disaggregate
         out = (out.join(broadcast_if_small(dt, n_rows=d.n_series), B, "left") if B
                else out.crossJoin(F.broadcast(dt)))
@@ -139,11 +139,28 @@ def _reference(src: DataFrame, B: list[str], pseudo: bool, out: DataFrame):
     raise ValueError("forecast batches need reference_datetime among batch_cols")
 
 
-def solar_bin_table(chunks: DataFrame, series: DataFrame, variables: DataFrame,
+def solar_bin_table(dups: DataFrame, series: DataFrame, variables: DataFrame,
                     B: list[str]) -> DataFrame:
-    """Per batch: exact median step (seconds) of the flux frame (TS-05)."""
+    """Per batch: exact median step (seconds) of the flux frame (TS-05).
+
+    dups: batch cols + n_dups (extra flux rows from several observations at one
+    hour), e.g. ``flux_duplicates``.
+    """
     nflux = (variables.filter(F.col("variable").isin(FLUX_VARIABLES))
              .groupBy(*B).agg(F.count("*").alias("n_vars")))
-    dups = (chunks.filter(F.col("variable").isin(FLUX_VARIABLES))
-            .groupBy(*B).agg(F.sum("n_dups").alias("n_dups")))
     return bin_step_seconds(series, B, nflux, dups)
+
+
+def flux_duplicates(src: DataFrame, series: DataFrame, B: list[str]) -> DataFrame:
+    """Extra flux rows per batch: on-grid flux observations (after the flux
+    horizon rule) sharing an hour with another. A narrow aggregation over the
+    flux observation keys."""
+    skey = gapfill.uniq(B + ["site_id", "family", "ensemble"])
+    o = (src.filter(F.col("variable").isin(FLUX_VARIABLES) & flux_horizon_rule())
+         .select(*skey, "variable", "datetime")
+         .join(series.select(*skey, "bmin"), skey))
+    k = F.timestamp_diff("HOUR", F.col("bmin"), F.col("datetime"))
+    o = o.filter(F.timestamp_add("HOUR", k, F.col("bmin")) == F.col("datetime"))
+    per_hour = o.groupBy(*skey, "variable", "datetime").agg(F.count("*").alias("n"))
+    return (per_hour.filter(F.col("n") > 1).groupBy(*B)
+            .agg(F.sum(F.col("n") - 1).alias("n_dups")))

@@ -157,8 +157,8 @@ def q_member_number(spark, d):
 def q_solar_bin_step(spark, d):
     one = _fc(spark, d).filter(F.col("variable").isin("TMP", "DSWRF"))
     dd = disaggregate(one, FB)
-    from hourcast.operators.hourly import solar_bin_table
-    return solar_bin_table(dd.chunks, dd.series, dd.variables, FB).select(
+    from hourcast.operators.hourly import flux_duplicates, solar_bin_table
+    return solar_bin_table(flux_duplicates(dd.src, dd.series, FB), dd.series, dd.variables, FB).select(
         "reference_datetime", F.round("bin_seconds", 6).alias("bin_seconds"))
 
 

@@ -16,14 +16,19 @@ def ensure_checkpoint_dir(spark) -> None:
         scratch_dir(spark)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute a small derived table once and cut its lineage.
-
-    Uses a reliable checkpoint in the shared checkpoint folder, so a lost
-    executor does not force recomputation from the raw scan.
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Compute a derived table once and cut its lineage.
+
+    The rows are written as Parquet to a fresh folder under the shared
+    checkpoint folder and read back: one job (an eager reliable checkpoint of
+    an unpersisted plan computes it twice), columnar, and the read-back plan
+    carries real size statistics. A lost executor never forces recomputation
+    from the raw scan.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import at, pseudo, series, stage1
 from hourcast.functions.naming import member_number
-from hourcast.operators.hourly import disaggregate, solar_bin_table, to_hourly
+from hourcast.operators.hourly import disaggregate, flux_duplicates, solar_bin_table, to_hourly
 from hourcast.operators.pseudo import repair_datetime
 from hourcast.sources.site_list import builtin_sites, read_sites
 
@@ -136,7 +136,7 @@ def test_bin_step(spark, fluxes, expected):
     rows = [r for r in _sw_rows("fcre", dt.datetime(2024, 6, 1)) if r[2] in fluxes]
     rows += [("BARC",) + r[1:] for r in rows]
     dd = disaggregate(stage1(spark, rows, "2024-06-01"), FB)
-    got = solar_bin_table(dd.chunks, dd.series, dd.variables, FB).collect()
+    got = solar_bin_table(flux_duplicates(dd.src, dd.series, FB), dd.series, dd.variables, FB).collect()
     assert len(got) == 1 and got[0].bin_seconds == pytest.approx(expected, abs=1e-6)
 
 
