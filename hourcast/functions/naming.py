@@ -33,6 +33,13 @@ def flux_rename(variable: Column) -> Column:
     return F.when(variable == "APCP", F.lit(RATE_NAME)).otherwise(variable)
 
 
+def pad_left(x: Column | str, width: int, fill: str = "0") -> Column:
+    """SC-04: left-pad to ``width``; longer text is kept whole (plain lpad would cut it)."""
+    x = F.col(x) if isinstance(x, str) else x
+    x = x.cast("string")
+    return F.when(F.length(x) >= width, x).otherwise(F.lpad(x, width, fill))
+
+
 def member_number(ensemble: Column | str) -> Column:
     """Characters 4-5 of the member code as a number; anything else -> NULL."""
     ensemble = F.col(ensemble) if isinstance(ensemble, str) else ensemble

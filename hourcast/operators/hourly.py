@@ -87,7 +87,7 @@ def with_potential(d, sites: DataFrame, bin_seconds: float | None = None,
         dt = solar_bin_table(flux_duplicates(d.src, d.series, B), d.series, d.variables, B)
         # one row per batch: bounded by the series count checked in disaggregate
         out = (out.join(broadcast_if_small(dt, n_rows=d.n_series), B, "left") if B
-               else out.crossJoin(F.broadcast(dt)))
+               else out.withColumn("bin_seconds", dt.select("bin_seconds").scalar()))
     else:
         out = out.withColumn("bin_seconds", F.lit(float(bin_seconds)))
     return add_potential(out, broadcast_if_small(sites.select("site_id", "latitude", "longitude")),
@@ -125,6 +125,8 @@ def to_hourly(df: DataFrame, sites: DataFrame | None = None, batch_cols=("refere
     out = out.withColumn("reference_datetime", _reference(d.src, B, pseudo, out))
     cols = [c for c in B if c not in ("site_id", "family", "ensemble", "reference_datetime")]
     cols += ["site_id", "family", "ensemble", "datetime", "variable", "prediction", "reference_datetime"]
+    # PF-16: output columns follow the input's column order where they exist
+    cols = [c for c in df.columns if c in cols] + [c for c in cols if c not in df.columns]
     if keep_chunk:
         cols.append("chunk")
     return out.select(*cols)

@@ -82,6 +82,9 @@ def add_potential(fluxes: DataFrame, sites: DataFrame, dt_col: str = "bin_second
     doy = day_of_year_frac("datetime")
     f = fluxes.join(sites.select("site_id", "latitude", "longitude"), "site_id", "left")
     rpot = potential_shortwave(F.col("doy"), wrap_longitude("longitude"), F.col("latitude"), F.col(dt_col))
+    # SC-18: the equation of time is only defined for day-of-year <= 367; a
+    # violation stops the job, as the original assertion does (never for real dates)
+    rpot = F.when(F.assert_true(F.col("doy") <= 367, "day of year above 367").isNull(), rpot)
     if only is not None:
         rpot = F.when(F.col("variable") == only, rpot)
     return (f.withColumn("doy", doy).withColumn("rpot", rpot)

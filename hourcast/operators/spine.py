@@ -47,7 +47,8 @@ def observations_on_spine(df: DataFrame, batch_cols=("reference_datetime",), pse
     src = prepare(df, B)
     skey = gapfill.uniq(B + ["site_id", "family", "ensemble"])
     bmax = src.groupBy(*B).agg(F.max("datetime").alias("bmax"))
-    obs = src.join(broadcast_if_small(bmax), B) if B else src.crossJoin(bmax)
+    obs = (src.join(broadcast_if_small(bmax), B) if B
+           else src.withColumn("bmax", bmax.select("bmax").scalar()))
     keep = (F.when(F.col("variable").isin(STATE_VARIABLES), state_horizon_rule(pseudo))
             .when(F.col("variable").isin(FLUX_VARIABLES), flux_horizon_rule()).otherwise(F.lit(False)))
     obs = obs.filter(keep).select(*skey, "variable", "datetime", "prediction")

@@ -76,8 +76,8 @@ def plan_runs(stage1: DataFrame, stage2: DataFrame | None, dates: list[str], cyc
     avail = horizon_reached(
         stage1.filter(F.col("start_date").isin(list(dates)) & (F.col("cycle") == 0)
                       & (F.col("parameter") < max_member) & (F.col("variable") == state_var)))
-    runs = avail.select(F.col("start_date").alias("date")).crossJoin(
-        spark.createDataFrame([(int(c),) for c in cycles], "cycle int"))
+    runs = avail.select(F.col("start_date").alias("date"),
+                        F.explode(F.array(*[F.lit(int(c)) for c in cycles])).alias("cycle"))
     runs = runs.withColumn("dir_parquet", F.concat_ws("/", F.col("cycle").cast("string"), "date"))
     if stage2 is not None:
         s2 = stage2.filter(F.col("start_date").isin(list(dates)))
@@ -123,13 +123,14 @@ def availability_gate(listing: DataFrame, run_date, required_files: int = 1,
     latest_day, latest_name, n_files, ready.
     """
     days = listing_days(listing)
-    latest = days.filter(F.col("day").isNotNull()).agg(
-        F.max("day").alias("latest_day"), F.max_by("name", "day").alias("latest_name"))
-    files = (days.join(latest, days["name"] == latest["latest_name"])
-             .filter(F.col("path").startswith(F.concat_ws("/", "latest_name", F.lit(cycle), F.lit(sub))))
-             .filter(F.col("path").contains(horizon_tag) & F.col("path").contains(member_tag))
-             .agg(F.count("*").alias("n_files")))
-    return (latest.crossJoin(files)
+    dated = days.filter(F.col("day").isNotNull())
+    latest_name = dated.agg(F.max_by("name", "day")).scalar()
+    files = (days.filter(F.col("name") == latest_name)
+             .filter(F.col("path").startswith(F.concat_ws("/", latest_name, F.lit(cycle), F.lit(sub))))
+             .filter(F.col("path").contains(horizon_tag) & F.col("path").contains(member_tag)))
+    return (dated.agg(F.max("day").alias("latest_day"))
+            .select("latest_day", latest_name.alias("latest_name"),
+                    files.agg(F.count("*")).scalar().alias("n_files"))
             .withColumn("ready", (F.col("n_files") >= required_files)
                         & (F.col("latest_day") == F.to_date(F.lit(str(run_date)))))
             .select("latest_day", "latest_name", "n_files", "ready"))

@@ -23,11 +23,10 @@ def report_short_cycles(stage1: DataFrame, n: int = 93, var: str = "TMP", site:
                         member: int = 1, cycles=(6, 12, 18), date_col: str = "reference_date") -> DataFrame:
     """PL-14: the short cycles of the newest two issue dates for one site/member."""
     newest = (stage1.filter((F.col("variable") == var) & (F.col("cycle") == 0))
-              .agg(F.max(F.to_date(date_col)).alias("_d")))
+              .agg(F.max(F.to_date(date_col))).scalar())
     rows = (stage1.filter((F.col("variable") == var) & F.col("cycle").isin(list(cycles))
                           & (F.col("site_id") == site) & (F.col("parameter") == member))
-            .crossJoin(newest)
-            .filter(F.to_date(date_col).isin(F.col("_d"), F.date_sub("_d", 1)))
+            .filter(F.to_date(date_col).isin(newest, F.date_sub(newest, 1)))
             .select(date_col, "cycle", "horizon", "reference_datetime", "datetime"))
     return rows.orderBy(F.desc(date_col), F.desc("cycle"), "horizon", "datetime").limit(n)
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from pyspark.sql import types as T
 
-from hourcast.functions.naming import member_number
+from hourcast.functions.naming import member_number, pad_left
 from hourcast.operators.hourly import to_hourly
 from hourcast.operators.pseudo import repair_datetime
 from hourcast.plans.planner import stage2_backlog
@@ -206,7 +206,7 @@ def legacy_stage2_frame(stage1: DataFrame, runs: DataFrame, sites: DataFrame, **
     r = runs.select(F.col("date").alias("start_date"), F.col("cycle").cast("int").alias("cycle"))
     df = (native_variables(stage1).join(r, ["start_date", "cycle"], "left_semi")
           .withColumn("ensemble", F.format_string("ens%02d", F.col("parameter").cast("int")))
-          .withColumn("horizon", F.lpad(F.col("horizon").cast("int").cast("string"), 3, "0")))
+          .withColumn("horizon", pad_left(F.col("horizon").cast("int"), 3)))
     h = to_hourly(df, sites, ["start_date", "cycle", "reference_datetime"], pseudo=False, **hourly_kw)
     return h.select("start_date", "cycle", "site_id", "family",
                     F.substring("ensemble", 4, 2).cast("int").alias("parameter"),

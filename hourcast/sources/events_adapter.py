@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from hourcast.functions.naming import pad_left
 from hourcast.schemas import NATIVE_VARIABLES
 
 # ---------------------------------------------------------------------------
@@ -57,8 +58,8 @@ def pseudo_from_events(events: DataFrame) -> DataFrame:
     m = _mapped(events)
     issue = F.timestamp_add("HOUR", -F.col("hz"), F.col("datetime"))
     return (m.select("site_id", "family", "ensemble", "datetime", "variable", "value",
-                     F.lpad(F.col("hz").cast("string"), 3, "0").alias("horizon"),
-                     F.lpad(F.hour(issue).cast("string"), 2, "0").alias("cycle"),
+                     pad_left(F.col("hz"), 3).alias("horizon"),
+                     pad_left(F.hour(issue), 2).alias("cycle"),
                      F.date_format(issue, "yyyy-MM-dd").alias("reference_datetime"))
             .groupBy("site_id", "family", "ensemble", "horizon", "cycle", "datetime", "variable",
                      "reference_datetime")
@@ -75,7 +76,7 @@ def forecast_from_events(events: DataFrame) -> DataFrame:
     hours = F.datediff(d, F.col("monday")) * 24 + F.hour("datetime")
     return (m.withColumn("monday", monday)
             .select("site_id", "family", "ensemble", "datetime", "variable", "value",
-                    F.lpad(hours.cast("string"), 3, "0").alias("horizon"),
+                    pad_left(hours, 3).alias("horizon"),
                     F.date_format("monday", "yyyy-MM-dd").alias("reference_datetime"))
             .groupBy("site_id", "family", "ensemble", "horizon", "datetime", "variable",
                      "reference_datetime")

@@ -168,3 +168,19 @@ def test_chunk_boundaries_do_not_change_results(spark):
     a = to_hourly(stage1(spark, rows), None, FB, use_solar_geom=False, chunk_days=1)
     b = to_hourly(stage1(spark, rows), None, FB, use_solar_geom=False, chunk_days=30)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_pad_left_keeps_long_text(spark):
+    from hourcast.functions.naming import pad_left
+    df = spark.createDataFrame([("6",), ("840",), ("1234",)], "h string")
+    assert [r[0] for r in df.select(pad_left("h", 3)).collect()] == ["006", "840", "1234"]
+
+
+def test_output_follows_input_column_order(spark):
+    rows = [("fcre", "gec00", "TMP", 0, "000", 1.0), ("fcre", "gec00", "TMP", 3, "003", 2.0)]
+    df = stage1(spark, rows)
+    df = df.select("reference_datetime", "datetime", "variable", "prediction", "site_id", "family",
+                   "ensemble", "horizon")
+    out = to_hourly(df, None, FB, use_solar_geom=False)
+    assert out.columns == ["reference_datetime", "datetime", "variable", "prediction", "site_id",
+                           "family", "ensemble"]
