@@ -33,40 +33,32 @@ def bin_step_seconds(series: DataFrame, batch_cols: list[str], n_flux_vars: Data
     flux_dups:   batch_cols + n_dups   (extra duplicate flux rows)
     """
     skey = ["site_id", "family", "ensemble"]
-    s = series.join(n_flux_vars, batch_cols)
-    end = add_hours("bmin", F.col("n_hours"))
-    s = s.withColumn("end", end)
-    s = s.withColumn("n_wrap", F.year("end") - F.year("bmin"))
     ws = W.partitionBy(*batch_cols).orderBy(*skey) if batch_cols else W.orderBy(*skey)
-    s = s.withColumn("is_last", F.lead(F.lit(1)).over(ws).isNull())
-
-    per_batch = (s.groupBy(*batch_cols)
-                 .agg(F.first("n_vars").alias("n_vars"),
-                      F.sum(F.col("n_hours") + 1).alias("hours"),
-                      F.sum("n_hours").alias("steps"),
-                      F.sum("n_wrap").alias("wraps"))
-                 .join(flux_dups, batch_cols, "left")
-                 .withColumn("n_dups", F.coalesce("n_dups", F.lit(0).cast("long"))))
-    zeros = per_batch.select(*batch_cols, F.lit(0.0).alias("value"),
-                             ((F.col("n_vars") - 1) * F.col("hours") + F.col("n_dups")).alias("w"))
-    steps = per_batch.select(*batch_cols, F.lit(STEP).alias("value"),
-                             (F.col("steps") - F.col("wraps")).alias("w"))
-    wraps = (s.filter(F.col("n_wrap") > 0)
-             .select(*batch_cols, F.explode(F.sequence(F.year("bmin") + 1, F.year("end"))).alias("y"))
-             .select(*batch_cols,
-                     (F.lit(1.0) - (F.dayofyear(F.make_date(F.col("y") - 1, F.lit(12), F.lit(31)))
-                                    + F.lit(23) / 24)).alias("value"),
-                     F.lit(1).cast("long").alias("w")))
-    jumps = (s.filter(~F.col("is_last"))
-             .select(*batch_cols, (day_of_year_frac("bmin") - day_of_year_frac("end")).alias("value"),
-                     F.lit(1).cast("long").alias("w")))
-    hist = (zeros.unionByName(steps).unionByName(wraps).unionByName(jumps)
-            .filter(F.col("w") > 0)
+    end = add_hours("bmin", F.col("n_hours"))
+    s = (series.join(n_flux_vars, batch_cols)
+         .select(*batch_cols, "n_vars", "n_hours", "bmin", end.alias("end"),
+                 F.lead(F.lit(1)).over(ws).isNull().alias("is_last")))
+    # every series row emits its share of the histogram (value, weight)
+    wrap_years = F.sequence(F.year("bmin") + 1, F.greatest(F.year("end"), F.year("bmin")))
+    wrap_value = lambda y: F.lit(1.0) - (F.dayofyear(F.make_date(y - 1, F.lit(12), F.lit(31)))
+                                         + F.lit(23) / 24)
+    n_wrap = F.year("end") - F.year("bmin")
+    parts = F.concat(
+        F.array(
+            F.struct(F.lit(0.0).alias("value"),
+                     ((F.col("n_vars") - 1) * (F.col("n_hours") + 1)).alias("w")),
+            F.struct(F.lit(STEP).alias("value"), (F.col("n_hours") - n_wrap).alias("w")),
+            F.struct((day_of_year_frac("bmin") - day_of_year_frac("end")).alias("value"),
+                     F.when(F.col("is_last"), 0).otherwise(1).cast("long").alias("w"))),
+        F.transform(F.when(n_wrap > 0, wrap_years).otherwise(F.array().cast("array<int>")),
+                    lambda y: F.struct(wrap_value(y).alias("value"), F.lit(1).cast("long").alias("w"))))
+    per_series = s.select(*batch_cols, F.explode(parts).alias("h")).select(*batch_cols, "h.value", "h.w")
+    dups = flux_dups.select(*batch_cols, F.lit(0.0).alias("value"), F.col("n_dups").cast("long").alias("w"))
+    hist = (per_series.unionByName(dups).filter(F.col("w") > 0)
             .groupBy(*batch_cols, "value").agg(F.sum("w").alias("w")))
     wb = W.partitionBy(*batch_cols) if batch_cols else W.partitionBy(F.lit(0))
-    hist = (hist.withColumn("n", F.sum("w").over(wb))
-            .withColumn("cum", F.sum("w").over(wb.orderBy("value")
-                                               .rowsBetween(W.unboundedPreceding, 0))))
+    hist = hist.select("*", F.sum("w").over(wb).alias("n"),
+                       F.sum("w").over(wb.orderBy("value").rowsBetween(W.unboundedPreceding, 0)).alias("cum"))
     lo = F.floor((F.col("n") + 1) / 2)
     hi = F.floor(F.col("n") / 2) + 1
     med = (hist.groupBy(*batch_cols)

@@ -184,3 +184,29 @@ def test_output_follows_input_column_order(spark):
     out = to_hourly(df, None, FB, use_solar_geom=False)
     assert out.columns == ["reference_datetime", "datetime", "variable", "prediction", "site_id",
                            "family", "ensemble"]
+
+
+def _brute_bin_seconds(series_hours, base):
+    """Median of successive day-of-year diffs over the flux frame (one flux variable)."""
+    import statistics
+    doys = []
+    for n in series_hours:  # series in sort order, each from the batch start
+        for h in range(n + 1):
+            t = base + dt.timedelta(hours=h)
+            doys.append(t.timetuple().tm_yday + t.hour / 24)
+    diffs = [b - a for a, b in zip(doys, doys[1:])]
+    return statistics.median(diffs) * 86400
+
+
+@pytest.mark.parametrize("hours", [(30, 30), (30, 2), (1, 1, 1), (0, 40)])
+def test_bin_step_year_wrap_matches_brute_force(spark, hours):
+    base = dt.datetime(2023, 12, 31, 12)
+    sites = ["BARC", "TOOK", "fcre"][:len(hours)]
+    rows = []
+    for site, n in zip(sites, hours):
+        rows.append((site, "gec00", "DSWRF", 0, "000", 100.0, base))
+        rows.append((site, "gec00", "DSWRF", n, f"{n:03d}", 100.0, base))
+    dd = disaggregate(stage1(spark, rows, "2023-12-31"), FB)
+    got = solar_bin_table(flux_duplicates(dd.src, dd.series, FB), dd.series, dd.variables, FB).collect()
+    want = _brute_bin_seconds(hours, base)
+    assert got[0].bin_seconds == pytest.approx(want, abs=1e-6)
