@@ -95,14 +95,14 @@ def fill_hourly(obs: DataFrame, series: DataFrame, variables: DataFrame, batch_c
                  F.lit(KIND_OBS).alias("kind"), "k", "prediction", "horizon",
                  "bmin", "n_hours", "e0")
 
-    u = headers.unionByName(o)
-    # chunk range of hours (relative to bmin)
-    u = (u.withColumn("k_lo", F.greatest(F.lit(0).cast("long"), F.col("chunk") * ch - F.col("e0")))
-          .withColumn("k_hi", F.least(F.col("n_hours"), (F.col("chunk") + 1) * ch - 1 - F.col("e0"))))
-
-    # One ordering for every window below (a real column, not an expression, so
-    # Spark sorts once and stacks the window passes on that sort).
-    u = u.withColumn("has_value", F.col("prediction").isNotNull())
+    # chunk range of hours (relative to bmin); one ordering for every window
+    # below (a real column, not an expression, so Spark sorts once and stacks
+    # the window passes on that sort)
+    u = headers.unionByName(o).select(
+        "*",
+        F.greatest(F.lit(0).cast("long"), F.col("chunk") * ch - F.col("e0")).alias("k_lo"),
+        F.least(F.col("n_hours"), (F.col("chunk") + 1) * ch - 1 - F.col("e0")).alias("k_hi"),
+        F.col("prediction").isNotNull().alias("has_value"))
     order_cols = ["kind", "k", "has_value", F.col("horizon").asc_nulls_first(),
                   F.col("prediction").asc_nulls_first()]
     w = W.partitionBy(*ckey).orderBy(*order_cols)
@@ -112,13 +112,12 @@ def fill_hourly(obs: DataFrame, series: DataFrame, variables: DataFrame, batch_c
 
     # pass 1: next observation's hour, duplicate flag
     u = u.select("*", F.lead("k").over(w).alias("next_k"), F.lag("k").over(w).alias("lag_k"))
-    u = u.withColumn("dup", F.when((F.col("kind") == KIND_OBS) & (F.col("k") == F.col("lag_k")), 1)
-                     .otherwise(0))
     # pass 2: duplicates so far (positions count rows, not hours)
-    u = u.withColumn("dups", F.sum("dup").over(wrun))
+    dup = F.when((F.col("kind") == KIND_OBS) & (F.col("k") == F.col("lag_k")), 1).otherwise(0)
+    u = u.select("*", dup.alias("dup"), F.sum(dup).over(wrun).alias("dups"))
     is_knot = (F.col("kind") == KIND_OBS) & F.col("has_value")
-    u = (u.withColumn("kp", F.when(is_knot, F.col("k") + F.col("dups")))
-          .withColumn("kv", F.when(is_knot, F.col("prediction"))))
+    u = u.select("*", F.when(is_knot, F.col("k") + F.col("dups")).alias("kp"),
+                 F.when(is_knot, F.col("prediction")).alias("kv"))
     # pass 3: previous knot (at or before), next knot (strictly after)
     u = u.select("*",
                  F.last("kp", True).over(wrun).alias("prev_p"),
@@ -134,8 +133,8 @@ def fill_hourly(obs: DataFrame, series: DataFrame, variables: DataFrame, batch_c
     wk = W.partitionBy(*key).orderBy("chunk")
     summ = summ.withColumn("off", F.coalesce(
         F.sum("n_dups").over(wk.rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast("long")))
-    summ = (summ.withColumn("first_g", F.col("first_p") + F.col("off"))
-                .withColumn("last_g", F.col("last_p") + F.col("off")))
+    summ = summ.select("*", (F.col("first_p") + F.col("off")).alias("first_g"),
+                       (F.col("last_p") + F.col("off")).alias("last_g"))
     before = wk.rowsBetween(W.unboundedPreceding, -1)
     after = wk.rowsBetween(1, W.unboundedFollowing)
     summ = summ.select(
