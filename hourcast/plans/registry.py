@@ -50,7 +50,8 @@ def _ps(spark, d):
 
 
 def _bmax(df: DataFrame, B: list[str]) -> DataFrame:
-    return df.join(F.broadcast(df.groupBy(*B).agg(F.max("datetime").alias("bmax"))), B)
+    # one row per batch; no hint: the planner sizes it at run time (AQE)
+    return df.join(df.groupBy(*B).agg(F.max("datetime").alias("bmax")), B)
 
 
 # --- inputs and rules -------------------------------------------------------

@@ -189,7 +189,8 @@ def legacy_stage3_frame(history: DataFrame | None, stage1: DataFrame, run_date,
     # AG-13: every row gets its site's earliest time (aggregate + join, not a
     # whole-site window: a site's history never has to fit in one task)
     first = out.groupBy("site_id").agg(F.min("datetime").alias("reference_datetime"))
-    out = out.join(F.broadcast(first), "site_id")  # one row per site of the list
+    # one row per site; no hint: the planner sizes it at run time (AQE)
+    out = out.join(first, "site_id")
     return out.withColumn("family", F.lit("ensemble")).select(
         "datetime", "site_id", "family", "parameter", "variable", "prediction", "reference_datetime")
 

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from hourcast.session import scratch_dir
 
-# Rows a side may have to be broadcast (small keyed tables of ~10 columns).
-BROADCAST_MAX_ROWS = 2_000_000
+# Rows a side may have to be broadcast: keyed tables of ~10 narrow columns, so
+# about 40 MB per executor at most. Larger sides are left to the planner (AQE
+# converts to a broadcast only when runtime sizes allow, else a shuffle join).
+BROADCAST_MAX_ROWS = 500_000
 
 
 def ensure_checkpoint_dir(spark) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hourcast.schemas import NATIVE_VARIABLES
-from hourcast.sinks.util import materialize
+from hourcast.sinks.util import broadcast_if_small, materialize
 from hourcast.sources.datasets import missing_partitions, read_dataset
 
 
@@ -54,7 +54,7 @@ def land_forecast(raw: DataFrame, root: str, sites: DataFrame, dates: DataFrame,
     returns the landed rows.
     """
     df = raw.filter(F.col("variable").isin(NATIVE_VARIABLES))
-    df = df.join(F.broadcast(sites.select("site_id").distinct()), "site_id", "left_semi")
+    df = df.join(broadcast_if_small(sites.select("site_id").distinct()), "site_id", "left_semi")
     df = df.join(dates.select(F.col("reference_datetime").cast("string").alias("reference_datetime")),
                  "reference_datetime", "left_semi")
     hz = F.col("horizon").try_cast("int")

@@ -30,8 +30,10 @@ def native_variables(df: DataFrame) -> DataFrame:
 
 
 def listed_sites(df: DataFrame, sites: DataFrame) -> DataFrame:
-    """PF-02: keep rows of listed sites (semi join against the small site list)."""
-    return df.join(F.broadcast(sites.select("site_id").distinct()), "site_id", "left_semi")
+    """PF-02: keep rows of listed sites (semi join against the site list, broadcast
+    after its row count is checked)."""
+    from hourcast.sinks.util import broadcast_if_small
+    return df.join(broadcast_if_small(sites.select("site_id").distinct()), "site_id", "left_semi")
 
 
 def partition_values(df: DataFrame, column: str) -> DataFrame:
