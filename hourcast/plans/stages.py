@@ -61,9 +61,13 @@ def stage2_frame(stage1: DataFrame, sites: DataFrame, dates: DataFrame | None =
 
 
 def build_stage2(spark: SparkSession, stage1_root: str, stage2_root: str, sites: DataFrame,
-                 run_date, lookback_days: int = 7) -> DataFrame:
-    """Job: find missing stage-2 dates (PL-03), build them all in one plan, write."""
-    stage1 = read_dataset(spark, stage1_root, STAGE1)
+                 run_date, lookback_days: int = 7, schema: T.StructType = STAGE1) -> DataFrame:
+    """Job: find missing stage-2 dates (PL-03), build them all in one plan, write.
+
+    ``schema`` is the stage-1 read schema (use TimestampType for ``datetime``
+    when the files hold UTC-adjusted timestamps; the session runs in UTC).
+    """
+    stage1 = read_dataset(spark, stage1_root, schema)
     try:
         produced = partition_values(read_dataset(spark, stage2_root, STAGE2_READ), "reference_datetime")
     except Exception:  # no stage-2 dataset yet
@@ -85,8 +89,10 @@ def stage3_frame(pseudo: DataFrame, sites: DataFrame, **hourly_kw) -> DataFrame:
     return finish(to_hourly(df, sites, ["site_id"], pseudo=True, **hourly_kw), False)
 
 
-def rebuild_stage3(spark: SparkSession, pseudo_root: str, stage3_root: str, sites: DataFrame) -> None:
-    write_stage3(stage3_frame(read_dataset(spark, pseudo_root, PSEUDO), sites), stage3_root)
+def rebuild_stage3(spark: SparkSession, pseudo_root: str, stage3_root: str, sites: DataFrame,
+                   schema: T.StructType = PSEUDO) -> None:
+    """Job: PL-05 for all listed sites in one plan."""
+    write_stage3(stage3_frame(read_dataset(spark, pseudo_root, schema), sites), stage3_root)
 
 
 def stage3_update_frame(stage3: DataFrame, pseudo: DataFrame, sites: DataFrame,
@@ -120,12 +126,13 @@ def stage3_update_frame(stage3: DataFrame, pseudo: DataFrame, sites: DataFrame,
 
 
 def update_stage3(spark: SparkSession, pseudo_root: str, stage3_root: str, sites: DataFrame,
-                  rewrite_days: int = 3, lookback_issue_days: int | None = None) -> str:
+                  rewrite_days: int = 3, lookback_issue_days: int | None = None,
+                  schema: T.StructType = PSEUDO) -> str:
     """Job: PL-06 for all sites at once. The result is staged in the shared
     checkpoint folder first, then swapped in with dynamic partition overwrite,
     so a failed job cannot lose history. Returns the staging path."""
     stage3 = read_dataset(spark, stage3_root, STAGE3_READ)
-    pseudo = read_dataset(spark, pseudo_root, PSEUDO)
+    pseudo = read_dataset(spark, pseudo_root, schema)
     # One scalar (the earliest per-site read start) prunes the pseudo scan to the
     # last days' partitions at planning time; the per-site cut-off still applies.
     look = rewrite_days if lookback_issue_days is None else lookback_issue_days

@@ -22,6 +22,25 @@ REQUIRED_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int) -> dict:
+    """Suggested sizes for a large run (not applied automatically).
+
+    Shuffle partitions start at ~2 per core or one per 256 MB of input,
+    whichever is larger; AQE coalesces them. The advisory partition size is kept
+    at 64 MB because the gap fill expands each shuffled observation into 3-6
+    hourly rows after the shuffle.
+    """
+    cores = executors * cores_per_executor
+    parts = max(2 * cores, input_bytes // (256 * 1024 * 1024))
+    return {
+        "spark.sql.shuffle.partitions": str(int(parts)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.autoBroadcastJoinThreshold": "32m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "hourcast",
               extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings in REQUIRED_CONF.
