@@ -210,3 +210,14 @@ def test_bin_step_year_wrap_matches_brute_force(spark, hours):
     got = solar_bin_table(flux_duplicates(dd.src, dd.series, FB), dd.series, dd.variables, FB).collect()
     want = _brute_bin_seconds(hours, base)
     assert got[0].bin_seconds == pytest.approx(want, abs=1e-6)
+
+
+def test_utc_timestamps_give_same_result(spark):
+    """Files holding UTC-adjusted timestamps (TIMESTAMP) give the same hours as NTZ."""
+    from hourcast.sources.events_adapter import forecast
+    fc = forecast(spark, "/root/testdata/sf0.001")
+    a = to_hourly(fc, builtin_sites(spark), FB)
+    b = to_hourly(fc.withColumn("datetime", F.col("datetime").cast("timestamp")), builtin_sites(spark), FB)
+    b = b.withColumn("datetime", F.col("datetime").cast("timestamp_ntz")) \
+         .withColumn("reference_datetime", F.col("reference_datetime").cast("timestamp_ntz"))
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
