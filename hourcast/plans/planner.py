@@ -112,6 +112,14 @@ def incomplete_dates(stage1: DataFrame, yesterday, full_horizon: float = FULL_HO
     return spark.createDataFrame([(str(yesterday),)], "date string").union(missing)
 
 
+def latest_landed_day(listing: DataFrame, path_col: str = "path") -> DataFrame:
+    """AG-07 / SC-07 / SC-08: newest day among landed folders, whose base names
+    are dates (entries that are not dates are ignored). One row: latest_day."""
+    from hourcast.functions.paths import basename
+    day = F.try_to_date(basename(F.col(path_col)), "yyyy-MM-dd")
+    return listing.agg(F.max(day).alias("latest_day"))
+
+
 def availability_gate(listing: DataFrame, run_date, required_files: int = 1,
                       horizon_tag: str = GATE_HORIZON_TAG, member_tag: str = GATE_MEMBER_TAG,
                       cycle: str = "00", sub: str = "atmos/pgrb2ap5") -> DataFrame:

@@ -278,6 +278,13 @@ def _listing(spark, d) -> DataFrame:
     return files.union(junk).distinct()
 
 
+def q_latest_landed_day(spark, d):
+    fc = _fc(spark, d)
+    listing = fc.select(F.concat(F.lit("stage1/0/"), F.col("reference_datetime")).alias("path")).union(
+        fc.select(F.concat(F.lit("stage1/0/"), F.col("site_id"), F.lit("/")).alias("path")))
+    return planner.latest_landed_day(listing)
+
+
 def q_availability_gate(spark, d):
     return planner.availability_gate(_listing(spark, d), "2024-01-29", required_files=1,
                                      horizon_tag="f006")
@@ -379,6 +386,7 @@ QUERIES = {
     "run_planner_forced": q_run_planner_forced,
     "incomplete_dates": q_incomplete_dates,
     "availability_gate": q_availability_gate,
+    "latest_landed_day": q_latest_landed_day,
     "report_stage1": q_report_stage1,
     "report_short_cycles": q_report_short_cycles,
     "report_stage2": q_report_stage2,

@@ -241,6 +241,10 @@ ORACLE = {
         WHERE starts_with(d.path, latest.latest_name || '/00/atmos/pgrb2ap5')
           AND contains(d.path, 'f006') AND contains(d.path, 'gep'))""")
     + " SELECT latest_day, latest_name, n_files, (n_files >= 1 AND latest_day = DATE '2024-01-29') AS ready FROM latest, files",
+    "latest_landed_day": W(F, """listing AS (SELECT 'stage1/0/' || reference_datetime AS path FROM forecast
+        UNION ALL SELECT 'stage1/0/' || site_id || '/' FROM forecast)""")
+    + """ SELECT max(TRY_STRPTIME(regexp_replace(regexp_replace(path, '/+$', ''), '^.*/', ''), '%Y-%m-%d')::DATE)
+      AS latest_day FROM listing""",
     "report_stage1": W(F, LEGACY1, """per AS (SELECT reference_date, parameter, max(horizon) AS max FROM legacy1
         WHERE variable = 'TMP' GROUP BY ALL)""")
     + " SELECT * FROM per WHERE reference_date = (SELECT max(reference_date) FROM per) ORDER BY parameter LIMIT 100",
