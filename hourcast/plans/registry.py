@@ -214,6 +214,17 @@ def q_stage2_build(spark, d):
     return round_sw(out.withColumn("reference_datetime", F.to_date("reference_datetime")))
 
 
+def q_stage2_chain(spark, d):
+    """PL-17: land every missing stage-1 date from the raw forecast rows, then
+    build the stage-2 backlog (one plan each)."""
+    sites = builtin_sites(spark)
+    s1, s2 = scratch_dir(spark, "chain-stage1"), scratch_dir(spark, "chain-stage2")
+    stages.stage2_chain(spark, _fc(spark, d), s1, s2, sites, run_date="2024-02-05",
+                        lookback_days=35, start="2023-12-25")
+    out = datasets.read_dataset(spark, s2, stages.STAGE2_READ)
+    return round_sw(out.withColumn("reference_datetime", F.to_date("reference_datetime")))
+
+
 def q_stage3_rebuild(spark, d):
     sites = builtin_sites(spark)
     p = _land(spark, _ps(spark, d), "pseudo")
@@ -377,6 +388,7 @@ QUERIES = {
     "to_hourly_pseudo": q_to_hourly_pseudo,
     "to_hourly_no_solar": q_to_hourly_no_solar,
     "stage2_build": q_stage2_build,
+    "stage2_chain": q_stage2_chain,
     "stage3_rebuild": q_stage3_rebuild,
     "stage3_update": q_stage3_update,
     "stage3_append_legacy": q_stage3_append_legacy,

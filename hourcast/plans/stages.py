@@ -228,15 +228,17 @@ def build_legacy_stage2(spark: SparkSession, stage1: DataFrame, runs: DataFrame,
 
 
 def stage2_chain(spark: SparkSession, raw: DataFrame, stage1_root: str, stage2_root: str,
-                 sites: DataFrame, run_date, lookback_days: int = 7) -> DataFrame:
+                 sites: DataFrame, run_date, lookback_days: int = 7, start=None) -> DataFrame:
     """PL-17: land the stage-1 backlog, then build the stage-2 backlog."""
     from hourcast.plans.planner import stage1_backlog
+    from hourcast.schemas import STAGE1_START
+    start = STAGE1_START if start is None else start
     from hourcast.sinks.writers import land_forecast
     try:
         present = partition_values(read_dataset(spark, stage1_root, STAGE1), "reference_datetime")
     except Exception:
         present = spark.createDataFrame([], "reference_datetime string")
-    land_forecast(raw, stage1_root, sites, stage1_backlog(spark, present, run_date), cycles=["00"])
+    land_forecast(raw, stage1_root, sites, stage1_backlog(spark, present, run_date, start), cycles=["00"])
     return build_stage2(spark, stage1_root, stage2_root, sites, run_date, lookback_days)
 
 

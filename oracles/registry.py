@@ -194,6 +194,7 @@ ORACLE = {
                                                     use_solar=False)) + " SELECT * FROM hn",
     "stage2_build": W(F, SITES, HF, STAGE2) + " " + rsw("stage2"),
     "stage3_rebuild": W(P, SITES, HP, STAGE3) + " " + rsw("stage3"),
+    "stage2_chain": W(F, SITES, HF, STAGE2) + " " + rsw("stage2"),
     "stage3_update": W(P, SITES,
                        f"early AS (SELECT * FROM pseudo WHERE reference_datetime < '{UPDATE_SPLIT}')",
                        to_hourly_sql("early", "he", ["site_id"], True),
