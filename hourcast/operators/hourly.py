@@ -122,7 +122,7 @@ def to_hourly(df: DataFrame, sites: DataFrame | None = None, batch_cols=("refere
     out = out.withColumn("variable", flux_rename(F.col("variable")))
     if names is not None:
         out = out.withColumn("variable", cf_name(F.col("variable"), names))
-    out = out.withColumn("reference_datetime", _reference(d.src, B, pseudo, out))
+    out = out.withColumn("reference_datetime", _reference(d.src, B, pseudo))
     cols = [c for c in B if c not in ("site_id", "family", "ensemble", "reference_datetime")]
     cols += ["site_id", "family", "ensemble", "datetime", "variable", "prediction", "reference_datetime"]
     # PF-16: output columns follow the input's column order where they exist
@@ -132,7 +132,7 @@ def to_hourly(df: DataFrame, sites: DataFrame | None = None, batch_cols=("refere
     return out.select(*cols)
 
 
-def _reference(src: DataFrame, B: list[str], pseudo: bool, out: DataFrame):
+def _reference(src: DataFrame, B: list[str], pseudo: bool):
     """Issue time of the batch as a timestamp; NULL for pseudo-observations."""
     if pseudo or "reference_datetime" not in src.columns:
         return F.lit(None).cast("timestamp_ntz")

@@ -9,7 +9,7 @@ arithmetic results are left as they are.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from hourcast.functions.naming import cf_name, flux_rename, member_number
 from hourcast.operators.hourly import disaggregate, to_hourly, with_potential
@@ -17,7 +17,7 @@ from hourcast.operators.pseudo import flux_horizon_rule, repair_datetime, state_
 from hourcast.operators.solar_ops import add_potential, daily_means
 from hourcast.operators.spine import hourly_spine, observations_on_spine
 from hourcast.plans import planner, reports, stages
-from hourcast.schemas import FLUX_VARIABLES, NATIVE_VARIABLES, PSEUDO, STAGE1, STATE_VARIABLES
+from hourcast.schemas import FLUX_VARIABLES, PSEUDO, STATE_VARIABLES
 from hourcast.session import scratch_dir
 from hourcast.sinks import writers
 from hourcast.sinks.util import materialize

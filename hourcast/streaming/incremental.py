@@ -11,7 +11,7 @@ update re-reads the last ``rewrite_days`` days of issues for those sites.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from hourcast.plans.stages import update_stage3
 from hourcast.schemas import PSEUDO
