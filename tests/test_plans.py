@@ -118,3 +118,14 @@ def test_stage2_build_prunes_stage1_partitions(spark):
     assert {r[0] for r in got.select("reference_datetime").distinct().collect()} == {"2024-01-08"}
     s1 = datasets.read_dataset(spark, root, STAGE1).filter(F.col("reference_datetime").isin(["2024-01-08"]))
     assert "PartitionFilters: [isnotnull(reference_datetime" in _plan(s1) and "2024-01-08" in _plan(s1)
+
+
+def test_update_never_starts_a_site_without_history(spark):
+    from hourcast.sources.events_adapter import pseudo as adapter_pseudo
+    sites = builtin_sites(spark)
+    ps = adapter_pseudo(spark, SF)
+    hist = stages.stage3_frame(ps.filter((F.col("site_id") == "fcre")
+                                         & (F.col("reference_datetime") < "2024-01-20")), sites)
+    out = stages.stage3_update_frame(hist, ps, sites)
+    got = {r[0] for r in out.select("site_id").distinct().collect()}
+    assert got == {"fcre"}   # BARC, TOOK, ALEX have new rows but no history
