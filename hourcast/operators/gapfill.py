@@ -85,9 +85,10 @@ def fill_hourly(obs: DataFrame, series: DataFrame, variables: DataFrame, batch_c
                        F.lit(None).cast("string").alias("horizon"),
                        "bmin", "n_hours", "e0"))
 
-    o = (obs.filter(F.col("variable").isin(list(method)))
-         .join(series, skey)
-         .withColumn("k", hours_between("bmin", "datetime")))
+    o = obs.filter(F.col("variable").isin(list(method)))
+    if not {"bmin", "n_hours", "e0"} <= set(obs.columns):  # series columns not attached yet
+        o = o.join(series.select(*skey, "bmin", "n_hours", "e0"), skey)
+    o = o.withColumn("k", hours_between("bmin", "datetime"))
     # keep observations on the hourly grid of the batch
     o = o.filter((F.col("k") >= 0) & (F.col("k") <= F.col("n_hours"))
                  & (add_hours("bmin", F.col("k")) == F.col("datetime")))

@@ -53,7 +53,8 @@ def disaggregate(df: DataFrame, batch_cols=("reference_datetime",), pseudo: bool
     series = broadcast_if_small(series, n_rows=n_series)
 
     skey = gapfill.uniq(B + ["site_id", "family", "ensemble"])
-    obs = src.join(series.select(*skey, "bmax"), skey)
+    # one join attaches everything the rules and the fill need from the series table
+    obs = src.join(series.select(*skey, "bmax", "bmin", "n_hours", "e0"), skey)
     if horizon_rules:
         keep = (F.when(F.col("variable").isin(STATE_VARIABLES), state_horizon_rule(pseudo))
                 .when(F.col("variable").isin(FLUX_VARIABLES), flux_horizon_rule())
