@@ -297,8 +297,9 @@ def q_latest_landed_day(spark, d):
 
 
 def q_availability_gate(spark, d):
-    return planner.availability_gate(_listing(spark, d), "2024-01-29", required_files=1,
-                                     horizon_tag="f006")
+    # the derived listing feeds several scalar subqueries: write it once
+    return planner.availability_gate(materialize(_listing(spark, d), "listing"), "2024-01-29",
+                                     required_files=1, horizon_tag="f006")
 
 
 # --- reports ----------------------------------------------------------------
