@@ -133,7 +133,9 @@ LEGACY2_RUNS = """l2in AS (SELECT start_date, cycle, site_id, family,
   lpad(CAST(CAST(horizon AS INTEGER) AS VARCHAR), 3, '0') AS horizon, datetime, variable, prediction,
   reference_datetime FROM legacy1p
   WHERE variable IN ({S}, {F}) AND start_date IN ('2024-01-10', '2024-01-11', '2024-01-12')
-    AND cycle IN (0, 6, 12, 18))"""
+    AND cycle IN (0, 6, 12, 18)
+    AND start_date IN (SELECT start_date FROM legacy1p WHERE cycle = 0 AND parameter < 31
+                       AND variable = 'PRES'))"""
 
 
 ORACLE = {
