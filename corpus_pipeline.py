@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hourcast.llm import langid, quality, simhash
+from hourcast.llm import decontaminate, langid, packing, quality, simhash, token_count
 from hourcast.llm.common import pick, table
 from hourcast.sinks.util import materialize
 
@@ -37,10 +37,23 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item are rejected."""
+    return decontaminate.without_leaks(pick(docs, **{c: c for c in COLUMNS}), table(spark, sf_dir, "benchmark"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all documents in training sequences; lengths are word-piece counts."""
+    counts = materialize(token_count.token_counts(docs).select("id", "n_tokens"), "lengths")
+    return packing.pack(counts, "id", "n_tokens").withColumnRenamed("id", "doc_id")
+
+
 STAGES = [
     ("language_id", language),
     ("quality_rules", quality_rules),
     ("simhash_near_dedup", near_dedup),
+    ("benchmark_decontamination", decontamination),
+    ("best_fit_packing", best_fit_packing),
 ]
 
 #: XXH64, the network and the tiling have no SQL form; tests hold the pipeline against brute force.

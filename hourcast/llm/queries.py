@@ -8,13 +8,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hourcast.llm import langid, quality, simhash
+from hourcast.llm import decontaminate, langid, packing, quality, simhash, token_count
 from hourcast.llm.common import table
+from hourcast.sinks.util import materialize
 
 #: A document is held out of training if crc32 of its id (as text) leaves 0.
 HOLD_OUT = 5
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) where greedy string tiling covers half the item or more."""
+    found = decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of ``documents`` by 4-word SimHash at 4 bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -22,6 +29,17 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy word-piece counts of every document."""
+    return token_count.token_counts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences of 512 to 4096 tokens."""
+    counts = materialize(token_count.token_counts(table(spark, sf_dir, "documents")).select("id", "n_tokens"), "lengths")
+    return packing.pack(counts, "id", "n_tokens").withColumnRenamed("id", "doc_id")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line-first cleaning verdicts for ``documents``."""
     return quality.cleaned(table(spark, sf_dir, "documents")).select(
@@ -45,7 +63,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op6_token_counts": op6_token_counts,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
 }
