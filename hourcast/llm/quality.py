@@ -7,7 +7,8 @@ Every non-blank line of a text is judged on its own:
 * navigation: at least ``MIN_SEPARATORS`` menu separators, one for every
   ``WORDS_PER_SEPARATOR`` words or more;
 * symbols: more than one of ``#*$%&|<>`` for every ``WORDS_PER_SYMBOL`` words;
-* boilerplate: a stock phrase of sites (cookies, rights, licences, sign-up).
+* boilerplate: a line of at most ``BOILERPLATE_CHARS`` characters with a stock phrase
+  of sites (cookies, rights, licences, sign-up); longer lines are prose about it.
 
 Failing lines are removed. A document is kept if it passes the base rules (20
 words or more, at most 30 % of the words in repeated 8-word windows) and the
@@ -31,6 +32,7 @@ WINDOW = 8
 MIN_SEPARATORS = 3
 WORDS_PER_SEPARATOR = 4
 WORDS_PER_SYMBOL = 2
+BOILERPLATE_CHARS = 200
 MAX_LOST = 0.5
 
 #: Patterns are kept to what Java and RE2 read alike, so that the SQL oracle can share them.
@@ -46,16 +48,11 @@ BOILERPLATE = (
     r"|tous droits r.serv.s|politique de confidentialit.|alle rechte vorbehalten"
     r"|datenschutzerkl.rung|todos los derechos reservados|pol.tica de privacidad)"
 )
-BLANKS = " \t\n\x0b\x0c\r"
 
 
-def _word_chars(text: Column) -> Column:
-    return F.length(F.translate(text, BLANKS, "")).cast("long")
-
-
-def _others(text: Column, chars: str) -> Column:
+def _count(text: Column, chars: str) -> Column:
     """Characters of ``text`` that are in ``chars``."""
-    return (F.length(text) - F.length(F.translate(text, chars, ""))).cast("long")
+    return (F.length(text) - F.length(F.regexp_replace(text, f"[{chars}]", ""))).cast("long")
 
 
 def _words(text: Column) -> Column:
@@ -78,23 +75,29 @@ def _covered(hashes: Column) -> Column:
     return F.aggregate(let(ordered, repeated), start, step, lambda acc: acc["n"])
 
 
+def _doubled(hashes: Column, step: int) -> Column:
+    """Hashes of 2 * ``step`` words from those of ``step`` words."""
+    return let(hashes, lambda h: F.transform(
+        F.slice(h, 1, F.size(h) - step), lambda x, i: F.xxhash64(x, F.get(h, i + step))))
+
+
 def _repeat_words(words: Column) -> Column:
     """Words in 8-word windows found twice or more; 64-bit hashes stand for the windows."""
     def count(w: Column) -> Column:
-        windows = F.transform(F.sequence(F.lit(1), F.size(w) - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(w, i, WINDOW)))
+        hashes = _doubled(_doubled(_doubled(F.transform(w, lambda x: F.xxhash64(x)), 1), 2), 4)  # WINDOW words
         return F.when(F.size(w) < WINDOW, F.lit(0).cast("long")).otherwise(
-            let(windows, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long"))
+            let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long"))
                 .otherwise(_covered(h))))
     return let(words, count)
 
 
 def _line_fails(line: Column) -> Column:
     n = F.size(_words(line))
-    separators = _others(line, SEPARATORS)
+    separators, symbols = _count(line, SEPARATORS), _count(line, SYMBOLS)
     return (~line.rlike(SENTENCE_END)
             | ((separators >= MIN_SEPARATORS) & (separators * WORDS_PER_SEPARATOR >= n))
-            | (_others(line, SYMBOLS) * WORDS_PER_SYMBOL > n)
-            | line.rlike(BOILERPLATE))
+            | ((symbols > 0) & (symbols * WORDS_PER_SYMBOL > n))
+            | ((F.length(line) <= BOILERPLATE_CHARS) & line.rlike(BOILERPLATE)))
 
 
 def cleaned(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
@@ -112,8 +115,8 @@ def cleaned(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry
         "lines": F.split("t", "\n"),
     }).withColumns({
         "n_words": F.size("word_list").cast("long"),
-        "word_chars": _word_chars(F.col("t")),
-        "n_symbols": _others(F.col("t"), SYMBOLS),
+        "word_chars": F.length(F.array_join("word_list", "")).cast("long"),
+        "n_symbols": _count(F.col("t"), SYMBOLS),
         "n_repeat_words": _repeat_words(F.col("word_list")),
         "full": F.filter("lines", lambda x: x.rlike(WORD)),
         "judged": F.transform("lines", lambda x: F.struct(
@@ -125,7 +128,7 @@ def cleaned(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry
         "left": F.filter("judged", lambda x: ~x["fails"]),
     }).withColumns({
         "n_removed": F.size("bad").cast("long"),
-        "lost_chars": _word_chars(F.concat_ws("", F.transform("bad", lambda x: x["line"]))),
+        "lost_chars": F.length(F.regexp_replace(F.concat_ws("", F.transform("bad", lambda x: x["line"])), SPLIT, "")).cast("long"),
         "clean_text": F.concat_ws("\n", F.transform("left", lambda x: x["line"])),
         "base_failed": (F.col("n_words") < MIN_WORDS)
         | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
