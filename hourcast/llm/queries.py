@@ -8,14 +8,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hourcast.llm import decontaminate, langid, packing, quality, simhash, token_count
+from hourcast.llm import decontaminate, html_extract, langid, packing, quality, simhash, token_count, token_store
 from hourcast.llm.common import table
+from hourcast.session import scratch_dir
 from hourcast.sinks.util import materialize
 
 #: A document is held out of training if crc32 of its id (as text) leaves 0.
 HOLD_OUT = 5
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    model = html_extract.train(html_extract.labelled_pages())
+    return html_extract.extract(table(spark, sf_dir, "pages"), model).withColumnRenamed("id", "page_id")
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) where greedy string tiling covers half the item or more."""
     found = decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -29,6 +36,13 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op5_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and checksum, decoded from the token files written for ``documents``."""
+    path = scratch_dir(spark, "token_shards")
+    token_store.write_tokens(table(spark, sf_dir, "documents"), path)
+    return token_store.read_tokens(spark, path).withColumnRenamed("id", "doc_id")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy word-piece counts of every document."""
     return token_count.token_counts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -63,8 +77,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_token_binary": op5_token_binary,
     "op6_token_counts": op6_token_counts,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from hourcast.llm.common import pick, prepare
 
 #: Words whose counts a worker remembers.
-MEMO = 200_000
+MEMO = 600_000
 
 
 class Automaton:
