@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hourcast.llm import decontaminate, html_extract, langid, packing, quality, simhash, token_count, token_store
+from hourcast.llm import (
+    decontaminate, html_extract, langid, license_scan, packing, quality, simhash, token_count, token_store, warc_fixity)
 from hourcast.llm.common import table
 from hourcast.session import scratch_dir
 from hourcast.sinks.util import materialize
@@ -29,6 +30,15 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document, in a tree made of its source and id: source/thousands/fifties/id.txt."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", F.floor(F.col("doc_id") / 1000), F.floor(F.col("doc_id") / 50),
+                       F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    files = docs.select("doc_id", "text", F.when(F.col("doc_id").isNotNull(), path).alias("path"))
+    return license_scan.inherit(license_scan.scan(files)).withColumnRenamed("id", "doc_id")
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of ``documents`` by 4-word SimHash at 4 bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -48,6 +58,23 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op7_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records in which a replica of the archive of ``pages`` differs from it.
+
+    The replica is the written archive with damage by a stated rule: where the url's
+    MD5 starts with 00 to 02, the record's last payload byte is another one; records
+    with 03 to 05 are gone.
+    """
+    archive = warc_fixity.records(table(spark, sf_dir, "pages"))
+    digest = F.coalesce(F.substring(F.md5(F.col("url").cast("binary")), 1, 2), F.lit(""))
+    flipped = F.concat(F.expr("substring(record, 1, octet_length(record) - 5)"), F.lit("?\r\n\r\n").cast("binary"))
+    replica = archive.where(~digest.between("03", "05")).withColumn("record", F.when(digest.between("00", "02"), flipped).otherwise(F.col("record")))
+    replica = materialize(replica.select("file", "number", "record"), "replica")
+    found = warc_fixity.audit(archive, replica)
+    ids = archive.select("file", "number", F.col("id").alias("page_id"))
+    return found.join(ids, ["file", "number"]).select("page_id", "file", "number", "offset", "length", "kind")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of 512 to 4096 tokens."""
     counts = materialize(token_count.token_counts(table(spark, sf_dir, "documents")).select("id", "n_tokens"), "lengths")
@@ -79,15 +106,29 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_license_scan": op3_license_scan,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_token_binary": op5_token_binary,
     "op6_token_counts": op6_token_counts,
+    "op7_warc_fixity": op7_warc_fixity,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL = {
+    "op7_warc_fixity": f"""
+WITH r AS (SELECT page_id, url, coalesce(html, '') AS payload, row_number() OVER (ORDER BY page_id NULLS FIRST) - 1 AS number FROM pages),
+s AS (SELECT *, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)
+             || CASE WHEN url IS NULL THEN '' ELSE 'WARC-Target-URI: ' || url || chr(13) || chr(10) END
+             || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(payload)::VARCHAR
+             || chr(13) || chr(10) || chr(13) || chr(10) AS head FROM r),
+l AS (SELECT *, strlen(head) + strlen(payload) + 4 AS length, number // {warc_fixity.FILE_RECORDS} AS file FROM s),
+o AS (SELECT *, sum(length) OVER (PARTITION BY file ORDER BY number) - length AS "offset" FROM l)
+SELECT page_id, file::BIGINT AS file, number::BIGINT AS number, "offset"::BIGINT AS "offset", length::BIGINT AS length,
+       CASE WHEN md5(url)[1:2] BETWEEN '03' AND '05' THEN 'missing' ELSE 'changed' END AS kind
+FROM o WHERE md5(url)[1:2] BETWEEN '03' AND '05' OR (md5(url)[1:2] BETWEEN '00' AND '02' AND right(head || payload, 1) <> '?')
+""",
     "op9_quality_rules": rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT rid, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
