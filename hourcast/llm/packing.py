@@ -3,8 +3,8 @@
 Documents are placed longest first. Each goes into the open bin whose free room is
 the smallest that fits. If none fits, a bin is opened whose size costs least for
 every token that the documents of this length would put into it (``cost`` of a
-size: its length plus a fixed charge per sequence; ties: the larger size). At the
-end each bin shrinks to the smallest permitted length that holds its contents.
+size: its length plus a fixed charge per sequence; ties: the larger size). Of bins
+with equal room the first opened is taken. At the end each bin shrinks to the smallest permitted length that holds its contents.
 
 The packing depends on the lengths alone, so it is planned on the histogram of
 lengths, which has at most as many rows as the longest permitted length: bins in
@@ -20,6 +20,7 @@ and no bin. Null ids come first; repeated rows are packed one by one.
 
 from __future__ import annotations
 
+import heapq
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -64,7 +65,7 @@ def plan(histogram: dict[int, int], capacities: tuple[int, ...] = CAPACITIES,
     """Best fit, longest first, over (length -> number of documents)."""
     sizes = sorted(capacities)
     rooms: list[int] = []                                  # free rooms of open bins, ascending
-    runs: dict[int, list[tuple[int, int, int]]] = {}       # room -> (first bin, bins, size), oldest last
+    runs: dict[int, list[tuple[int, int, int]]] = {}       # room -> heap of (first bin, bins, size)
     steps, closed, bins, rank = [], [], 0, 0
 
     def put(room: int, first: int, n: int, size: int) -> None:
@@ -73,7 +74,7 @@ def plan(histogram: dict[int, int], capacities: tuple[int, ...] = CAPACITIES,
         elif n:
             if room not in runs:
                 insort(rooms, room)
-            runs.setdefault(room, []).insert(0, (first, n, size))
+            heapq.heappush(runs.setdefault(room, []), (first, n, size))
 
     for length in sorted(histogram, reverse=True):
         left = histogram[length]
@@ -82,12 +83,13 @@ def plan(histogram: dict[int, int], capacities: tuple[int, ...] = CAPACITIES,
             if at == len(rooms):
                 size = min((c for c in sizes if c >= length),
                            key=lambda c: (cost(c) / (length * min(left, c // length)), -c))
-                n = max(1, left // (size // length))
+                most = max(sizes) // length  # while no bin could take all that is left, the choice stays
+                n = max(1, (left - most) // (size // length) + 1)
                 put(size, bins, n, size)
                 bins += n
                 continue
             room = rooms[at]
-            first, n, size = runs[room].pop()
+            first, n, size = heapq.heappop(runs[room])
             if not runs[room]:
                 del runs[room]
                 rooms.pop(at)
