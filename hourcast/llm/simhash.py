@@ -75,16 +75,16 @@ def majority(hashes: np.ndarray) -> int:
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp) for every row; ``fp`` is the fingerprint as a signed long."""
+    """(id, text_hash, fp) for every row; ``fp`` is the fingerprint as a signed long."""
     prepare(df.sparkSession)
-    d = pick(df, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
+    d = pick(df, id=id_col, text=text_col).select(F.col("id").cast("long").alias("id"), F.xxhash64("text").alias("text_hash"), "text")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             fp = np.array([majority(hashes_of(x.as_py(), shingle)) for x in batch.column("text")], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fp.view(np.int64))], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fp.view(np.int64))], names=["id", "text_hash", "fp"])
 
-    return d.mapInArrow(run, "id long, fp long")
+    return d.mapInArrow(run, "id long, text_hash long, fp long")
 
 
 def _schemes(radius: int, n: int) -> list[tuple[int, ...]]:
@@ -193,26 +193,31 @@ def links(fps: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> D
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """(id, fp, component) per row; ``component`` is the smallest id reachable by links."""
+    """(id, text_hash, fp, root, component) per row.
+
+    ``component`` is the smallest id reachable by links, ``root`` names the class
+    itself (ids may repeat or be null, so two classes may show the same component).
+    """
     docs = materialize(fingerprints(df, id_col, text_col, shingle), "fingerprints")
     reps = materialize(docs.groupBy("fp").agg(F.min("id").alias("rep")), "distinct_fps")
     roots = connected_components(links(reps.select("fp"), radius, tile_rows)).withColumnRenamed("node", "fp")
     reps = reps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = reps.groupBy("root").agg(F.min("rep").alias("component"))
-    named = materialize(reps.join(least, "root").select("fp", "component"), "components")
-    return docs.join(named, "fp").select("id", "fp", "component")
+    named = materialize(reps.join(least, "root").select("fp", "root", "component"), "components")
+    return docs.join(named, "fp").select("id", "text_hash", "fp", "root", "component")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
              radius: int = RADIUS) -> DataFrame:
-    """The rows whose id is their component's smallest; of repeated such rows, one.
+    """One row of every class, with all its columns: the smallest id's (then the smallest text hash's).
 
-    Rows whose component has no id at all keep one row per component's fingerprint.
+    A null id comes after all others. Of equal rows of that id and text one is kept.
     """
     found = near_duplicates(df, id_col, text_col, shingle, radius)
-    first = found.where("id <=> component").select(F.col("id").alias("_keep")).distinct()
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("k"))
+    first = first.select(F.col("k.id").alias("_id"), F.col("k.text_hash").alias("_hash")).distinct()
     names = df.columns
     d = df.toDF(*[f"_{i}" for i in range(len(names))])
-    key = f"_{names.index(id_col)}"
-    kept = d.join(first, F.col(key).cast("long").eqNullSafe(F.col("_keep")), "left_semi").dropDuplicates([key])
-    return kept.toDF(*names)
+    d = d.withColumn("_key", F.col(f"_{names.index(id_col)}").cast("long")).withColumn("_text", F.xxhash64(f"_{names.index(text_col)}"))
+    kept = d.join(first, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_semi")
+    return kept.dropDuplicates(["_key", "_text"]).drop("_key", "_text").toDF(*names)
