@@ -20,13 +20,27 @@ def _c(x):
     return F.col(x) if isinstance(x, str) else (F.lit(x) if isinstance(x, (int, float)) else x)
 
 
+# ---------------------------------------------------------------------------
+# Coefficients of the published equation of time (seconds) and the
+# sun's declination at the solstices (degrees).
+# ---------------------------------------------------------------------------
+EOT_PHASE = (279.5, 0.9856)
+EOT_SIN = {1: -104.7, 2: 596.2, 4: 4.3}
+EOT_COS = {1: -429.3, 2: -2.0, 3: 19.3}
+DECLINATION = -23.45
+# ---------------------------------------------------------------------------
+
+
 def equation_of_time(doy) -> Column:
     """Equation of time in hours."""
     doy = _c(doy)
-    f = F.lit(PI) / 180 * (F.lit(279.5) + F.lit(0.9856) * doy)
-    return (F.lit(-104.7) * F.sin(f) + F.lit(596.2) * F.sin(2 * f) + F.lit(4.3) * F.sin(4 * f)
-            - F.lit(429.3) * F.cos(f) - F.lit(2.0) * F.cos(2 * f)
-            + F.lit(19.3) * F.cos(3 * f)) / 3600
+    f = F.lit(PI) / 180 * (F.lit(EOT_PHASE[0]) + F.lit(EOT_PHASE[1]) * doy)
+    terms = [F.lit(a) * F.sin(f if k == 1 else k * f) for k, a in EOT_SIN.items()]
+    terms += [F.lit(a) * F.cos(f if k == 1 else k * f) for k, a in EOT_COS.items()]
+    total = terms[0]
+    for term in terms[1:]:
+        total = total + term
+    return total / 3600
 
 
 def cos_zenith(doy, lat, lon, dt, hr) -> Column:
@@ -44,7 +58,7 @@ def cos_zenith(doy, lat, lon, dt, hr) -> Column:
     midbin = F.lit(0.5) * dt / 86400 * 24
     t0 = F.lit(12.0) + lc - et - tz - midbin
     h = F.lit(PI) / 12 * (hr - t0)
-    dec = F.lit(-23.45) * F.lit(PI) / 180 * F.cos(2 * F.lit(PI) * (doy + 10) / 365)
+    dec = F.lit(DECLINATION) * F.lit(PI) / 180 * F.cos(2 * F.lit(PI) * (doy + 10) / 365)
     cosz = (F.sin(lat * F.lit(PI) / 180) * F.sin(dec)
             + F.cos(lat * F.lit(PI) / 180) * F.cos(dec) * F.cos(h))
     return F.when(cosz < 0, F.lit(0.0)).otherwise(cosz)

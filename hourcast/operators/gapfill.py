@@ -126,7 +126,7 @@ def fill_hourly(obs: DataFrame, series: DataFrame, variables: DataFrame, batch_c
                  F.expr(f"lead(`kp`) IGNORE NULLS {over}").alias("next_p"),
                  F.expr(f"lead(`kv`) IGNORE NULLS {over}").alias("next_v"))
 
-    # per-chunk summary on the same partitioning (no new shuffle of the rows)
+    # per-chunk summary; unless the planner reuses the exchange above, these narrower rows are shuffled again
     summ = (u.groupBy(*ckey)
             .agg(F.count("kv").alias("n_knots"), F.sum("dup").alias("n_dups"),
                  F.min("kp").alias("first_p"), F.min_by("kv", "kp").alias("first_v"),
@@ -190,10 +190,12 @@ def series_tables(obs: DataFrame, batch_cols: list[str]):
     sv = materialize(obs.groupBy(*skey, "variable").agg(F.min("datetime").alias("vmin"),
                                                        F.max("datetime").alias("vmax")))
     series = sv.groupBy(*skey).agg(F.min("vmin").alias("smin"), F.max("vmax").alias("smax"))
-    wb = W.partitionBy(*batch_cols) if batch_cols else W.partitionBy(F.lit(0))
-    series = (series.withColumn("bmin", F.min("smin").over(wb))
-              .withColumn("bmax", F.max("smax").over(wb))
-              .withColumn("n_hours", hours_between("bmin", "smax"))
+    bounds = series.groupBy(*batch_cols).agg(F.min("smin").alias("bmin"), F.max("smax").alias("bmax"))
+    if batch_cols:  # an aggregate and a join: no task holds a batch's series
+        series = series.join(bounds, batch_cols)
+    else:
+        series = series.withColumns({c: bounds.select(c).scalar() for c in ("bmin", "bmax")})
+    series = (series.withColumn("n_hours", hours_between("bmin", "smax"))
               .withColumn("e0", epoch_hour("bmin"))
               .drop("smin"))
     variables = sv.select(*batch_cols, "variable").distinct()

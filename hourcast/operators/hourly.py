@@ -12,13 +12,14 @@ from __future__ import annotations
 from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import types as T
 
 from hourcast.functions.naming import cf_name, flux_rename, flux_units, state_units
 from hourcast.operators import gapfill
 from hourcast.operators.pseudo import flux_horizon_rule, state_horizon_rule
 from hourcast.operators.solar_ops import add_potential, bin_step_seconds, reshape_shortwave
 from hourcast.schemas import ACCUM_HOURS, CF_NAMES, FLUX_VARIABLES, SHORTWAVE, STATE_VARIABLES
-from hourcast.sinks.util import broadcast_if_small
+from hourcast.sinks.util import materialize
 
 
 def _batch_cols(batch_cols) -> list[str]:
@@ -37,22 +38,36 @@ def prepare(df: DataFrame, batch_cols: list[str]) -> DataFrame:
                        and "reference_datetime" not in extra else []))
 
 
+def encode_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, dict]:
+    """Key columns as text that is never NULL, and their types.
+
+    The reference's joins match missing to missing; with keys encoded once, every
+    grouping, window and equi-join treats a NULL key as a value like any other.
+    """
+    types = {k: df.schema[k].dataType for k in keys}
+    return df.withColumns({k: F.coalesce(F.concat(F.lit("="), F.col(k).cast("string")), F.lit("")) for k in keys}), types
+
+
+def decode_keys(df: DataFrame, types: dict) -> DataFrame:
+    """The key columns as they were (columns that are absent are skipped)."""
+    return df.withColumns({k: F.when(F.col(k) != "", F.substring(F.col(k), 2, 1 << 30)).cast(t)
+                           for k, t in types.items() if k in df.columns})
+
+
 def disaggregate(df: DataFrame, batch_cols=("reference_datetime",), pseudo: bool = False,
                  horizon_rules: bool = True, accum_hours: int = ACCUM_HOURS,
                  chunk_days: int = 30, methods: dict | None = None, convert: bool = True):
     """Steps TS-01..TS-03: grid, horizon rules, fills, unit steps.
 
     Returns a namespace with ``filled`` (batch cols + site_id, family, ensemble,
-    variable, datetime, prediction, chunk), ``chunks``, ``series``,
-    ``variables``, ``n_series`` and ``skey``.
+    variable, datetime, prediction, chunk), ``chunks``, ``series``, ``variables``,
+    ``skey`` and ``key_types``. Key columns are encoded; ``decode_keys`` gives
+    them back.
     """
     B = _batch_cols(batch_cols)
-    src = prepare(df, B)
-    series, variables, stats = gapfill.series_tables(src, B)
-    n_series = stats.count()  # materialised: cheap; bounds the series and batch counts
-    series = broadcast_if_small(series, n_rows=n_series)
-
     skey = gapfill.uniq(B + ["site_id", "family", "ensemble"])
+    src, key_types = encode_keys(prepare(df, B), skey)
+    series, variables, _ = gapfill.series_tables(src, B)
     # one join attaches everything the rules and the fill need from the series table
     obs = src.join(series.select(*skey, "bmax", "bmin", "n_hours", "e0"), skey)
     if horizon_rules:
@@ -72,7 +87,7 @@ def disaggregate(df: DataFrame, batch_cols=("reference_datetime",), pseudo: bool
         # would hide the (series, chunk) partitioning from the solar windows
         filled = filled.withColumn("prediction", value)
     return SimpleNamespace(filled=filled, chunks=chunks, series=series, variables=variables,
-                           n_series=n_series, skey=skey, B=B, src=src)
+                           skey=skey, B=B, src=src, key_types=key_types)
 
 
 def with_potential(d, sites: DataFrame, bin_seconds: float | None = None,
@@ -85,14 +100,13 @@ def with_potential(d, sites: DataFrame, bin_seconds: float | None = None,
     out = d.filled.filter(~F.col("variable").isin(STATE_VARIABLES)) if rows is None else rows
     B = d.B
     if bin_seconds is None:
-        dt = solar_bin_table(flux_duplicates(d.src, d.series, B), d.series, d.variables, B)
-        # one row per batch: bounded by the series count checked in disaggregate
-        out = (out.join(broadcast_if_small(dt, n_rows=d.n_series), B, "left") if B
+        dt = solar_bin_table(flux_duplicates(d.src, d.series, B, d.variables), d.series, d.variables, B)
+        out = (out.join(dt, B, "left") if B
                else out.withColumn("bin_seconds", dt.select("bin_seconds").scalar()))
     else:
         out = out.withColumn("bin_seconds", F.lit(float(bin_seconds)))
-    return add_potential(out, broadcast_if_small(sites.select("site_id", "latitude", "longitude")),
-                         only=only)
+    coded, _ = encode_keys(sites.select("site_id", "latitude", "longitude"), ["site_id"])
+    return add_potential(out, coded, only=only)
 
 
 def to_hourly(df: DataFrame, sites: DataFrame | None = None, batch_cols=("reference_datetime",),
@@ -120,7 +134,7 @@ def to_hourly(df: DataFrame, sites: DataFrame | None = None, batch_cols=("refere
         out = with_potential(d, sites, bin_seconds, rows=out, only=SHORTWAVE)
         out = reshape_shortwave(out, d.skey + ["variable", "chunk"], SHORTWAVE).drop("rpot", "bin_seconds")
 
-    out = out.withColumn("variable", flux_rename(F.col("variable")))
+    out = decode_keys(out, d.key_types).withColumn("variable", flux_rename(F.col("variable")))
     if names is not None:
         out = out.withColumn("variable", cf_name(F.col("variable"), names))
     out = out.withColumn("reference_datetime", _reference(d.src, B, pseudo))
@@ -154,11 +168,23 @@ def solar_bin_table(dups: DataFrame, series: DataFrame, variables: DataFrame,
     return bin_step_seconds(series, B, nflux, dups)
 
 
-def flux_duplicates(src: DataFrame, series: DataFrame, B: list[str]) -> DataFrame:
+def flux_duplicates(src: DataFrame, series: DataFrame, B: list[str], variables: DataFrame) -> DataFrame:
     """Extra flux rows per batch: on-grid flux observations (after the flux
-    horizon rule) sharing an hour with another. A narrow aggregation over the
-    flux observation keys."""
+    horizon rule) sharing an hour with another.
+
+    Only batches with a single flux variable are looked at. With two or more the
+    steps of zero, (variables - 1) for every hour, outnumber all other steps, so the
+    median is 0 whatever the duplicates; their rows are not read.
+    """
     skey = gapfill.uniq(B + ["site_id", "family", "ensemble"])
+    one = (variables.filter(F.col("variable").isin(FLUX_VARIABLES)).groupBy(*B)
+           .agg(F.count("*").alias("n")).filter(F.col("n") == 1))
+    if B:
+        found = materialize(one.select(*B), "one_flux_batches")  # from the small series statistics
+        if found.isEmpty():
+            return src.sparkSession.createDataFrame([], T.StructType(
+                [*(src.schema[c] for c in B), T.StructField("n_dups", T.LongType())]))
+        src = src.join(found, B, "left_semi")
     o = (src.filter(F.col("variable").isin(FLUX_VARIABLES) & flux_horizon_rule())
          .select(*skey, "variable", "datetime")
          .join(series.select(*skey, "bmin"), skey))

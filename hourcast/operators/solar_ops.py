@@ -83,16 +83,22 @@ def add_potential(fluxes: DataFrame, sites: DataFrame, dt_col: str = "bin_second
             .drop("doy", "latitude", "longitude"))
 
 
-def daily_means(fluxes: DataFrame, group_cols: list[str]) -> DataFrame:
+def daily_means(fluxes: DataFrame, group_cols: list[str], only: str | None = None) -> DataFrame:
     """WN-03: daily mean of rpot and of the value (NULLs skipped), on every row.
 
+    With ``only``, just that variable's rows form days; the others are groups of one
+    hour (their means are of no use), so that they pass without a wide frame.
+
     The frame is the whole day, read in time order, so the floating-point sum
     is the same on every run and every retry.
     """
     wd = (W.partitionBy(*group_cols, "_day")
           .orderBy("datetime", F.col("prediction").asc_nulls_first())
           .rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
-    return (fluxes.withColumn("_day", F.to_date("datetime"))
+    day = F.to_date("datetime").cast("timestamp_ntz")
+    if only is not None:
+        day = F.when(F.col("variable") == only, day).otherwise(F.col("datetime"))
+    return (fluxes.withColumn("_day", day)
             .select("*", F.avg("rpot").over(wd).alias("avg_rpot"),
                     F.avg("prediction").over(wd).alias("avg_sw"))
             .drop("_day"))
@@ -106,7 +112,7 @@ def reshape_shortwave(fluxes: DataFrame, group_cols: list[str], shortwave: str =
     night); NULL where it is unknown (site without coordinates). Daily means
     skip NULLs and are taken per ``group_cols`` + UTC date.
     """
-    f = daily_means(fluxes, group_cols)
+    f = daily_means(fluxes, group_cols, only=shortwave)
     is_sw = F.col("variable") == shortwave
     new = (F.when(~is_sw, F.col("prediction"))
            .when(F.col("avg_rpot") > 0, F.col("rpot") * (F.col("avg_sw") / F.col("avg_rpot")))

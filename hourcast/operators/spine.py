@@ -14,24 +14,20 @@ from hourcast.operators import gapfill
 from hourcast.operators.hourly import prepare
 from hourcast.operators.pseudo import flux_horizon_rule, state_horizon_rule
 from hourcast.schemas import FLUX_VARIABLES, STATE_VARIABLES
-from hourcast.sinks.util import broadcast_if_small
 
 
-def hourly_spine(df: DataFrame, batch_cols=("reference_datetime",), chunk_days: int = 30,
-                 tasks: int | None = None) -> DataFrame:
+def hourly_spine(df: DataFrame, batch_cols=("reference_datetime",), chunk_days: int = 30) -> DataFrame:
     """Per batch: every (site, family, ensemble) present x every batch variable x
     every hour from the batch's first time to that series' last time."""
     B = list(batch_cols)
     series, variables, _ = gapfill.series_tables(prepare(df, B), B)
-    series = broadcast_if_small(series)
     skey = gapfill.uniq(B + ["site_id", "family", "ensemble"])
     ch = chunk_days * 24
     sv = series.join(variables, B)
     c_lo = F.floor(F.col("e0") / ch)
     c_hi = F.floor((F.col("e0") + F.col("n_hours")) / ch)
     chunks = sv.withColumn("chunk", F.explode(F.sequence(c_lo, c_hi)))
-    n = tasks or df.sparkSession.sparkContext.defaultParallelism
-    chunks = chunks.repartition(n, *skey, "variable", "chunk")
+    chunks = chunks.hint("rebalance")  # as many tasks as the series table's size asks for
     k_lo = F.greatest(F.lit(0).cast("long"), F.col("chunk") * ch - F.col("e0"))
     k_hi = F.least(F.col("n_hours"), (F.col("chunk") + 1) * ch - 1 - F.col("e0"))
     hours = chunks.withColumn("k", F.explode(F.sequence(k_lo, k_hi)))
@@ -47,7 +43,7 @@ def observations_on_spine(df: DataFrame, batch_cols=("reference_datetime",), pse
     src = prepare(df, B)
     skey = gapfill.uniq(B + ["site_id", "family", "ensemble"])
     bmax = src.groupBy(*B).agg(F.max("datetime").alias("bmax"))
-    obs = (src.join(broadcast_if_small(bmax), B) if B
+    obs = (src.join(bmax, B) if B
            else src.withColumn("bmax", bmax.select("bmax").scalar()))
     keep = (F.when(F.col("variable").isin(STATE_VARIABLES), state_horizon_rule(pseudo))
             .when(F.col("variable").isin(FLUX_VARIABLES), flux_horizon_rule()).otherwise(F.lit(False)))

@@ -130,15 +130,13 @@ def availability_gate(listing: DataFrame, run_date, required_files: int = 1,
     contain ``horizon_tag`` and ``member_tag`` are counted. Returns one row:
     latest_day, latest_name, n_files, ready.
     """
-    days = listing_days(listing)
-    dated = days.filter(F.col("day").isNotNull())
-    latest_name = dated.agg(F.max_by("name", "day")).scalar()
-    files = (days.filter(F.col("name") == latest_name)
-             .filter(F.col("path").startswith(F.concat_ws("/", latest_name, F.lit(cycle), F.lit(sub))))
-             .filter(F.col("path").contains(horizon_tag) & F.col("path").contains(member_tag)))
-    return (dated.agg(F.max("day").alias("latest_day"))
-            .select("latest_day", latest_name.alias("latest_name"),
-                    files.agg(F.count("*")).scalar().alias("n_files"))
+    wanted = (F.col("path").startswith(F.concat_ws("/", "name", F.lit(cycle), F.lit(sub)))
+              & F.col("path").contains(horizon_tag) & F.col("path").contains(member_tag))
+    per_day = (listing_days(listing).filter(F.col("day").isNotNull())
+               .groupBy("name", "day").agg(F.count(F.when(wanted, 1)).alias("n_files")))
+    newest = per_day.agg(F.max(F.struct("day", "name", "n_files")).alias("top"))  # one pass, one row a folder
+    return (newest.select(F.col("top.day").alias("latest_day"), F.col("top.name").alias("latest_name"),
+                          F.coalesce("top.n_files", F.lit(0).cast("long")).alias("n_files"))
             .withColumn("ready", (F.col("n_files") >= required_files)
                         & (F.col("latest_day") == F.to_date(F.lit(str(run_date)))))
             .select("latest_day", "latest_name", "n_files", "ready"))

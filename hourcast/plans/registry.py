@@ -10,11 +10,13 @@ arithmetic results are left as they are.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import types as T
 
 from hourcast.functions.naming import cf_name, flux_rename, member_number
-from hourcast.operators.hourly import disaggregate, to_hourly, with_potential
+from hourcast.operators.hourly import (
+    decode_keys, disaggregate, flux_duplicates, solar_bin_table, to_hourly, with_potential)
 from hourcast.operators.pseudo import flux_horizon_rule, repair_datetime, state_horizon_rule
-from hourcast.operators.solar_ops import add_potential, daily_means
+from hourcast.operators.solar_ops import daily_means
 from hourcast.operators.spine import hourly_spine, observations_on_spine
 from hourcast.plans import planner, reports, stages
 from hourcast.schemas import FLUX_VARIABLES, PSEUDO, STATE_VARIABLES
@@ -23,7 +25,7 @@ from hourcast.sinks import writers
 from hourcast.sinks.util import materialize
 from hourcast.sources import datasets, legacy
 from hourcast.sources.events_adapter import forecast, pseudo
-from hourcast.sources.site_list import builtin_sites
+from hourcast.sources.site_list import builtin_sites, read_sites
 
 SW = "surface_downwelling_shortwave_flux_in_air"
 FB = ["reference_datetime"]  # forecast batches
@@ -56,16 +58,28 @@ def _bmax(df: DataFrame, B: list[str]) -> DataFrame:
 
 # --- inputs and rules -------------------------------------------------------
 
+# The derived tables hold only rows that pass these rules, so each query first changes
+# some rows (by their own values) in a way that the rule must catch.
+
+def _changed(df: DataFrame, column: str, where, value) -> DataFrame:
+    return df.withColumn(column, F.when(where, value).otherwise(F.col(column)))
+
+
 def q_variable_filter(spark, d):
-    return datasets.native_variables(_ps(spark, d))
+    """Rows at 21 h carry a ninth variable."""
+    return datasets.native_variables(_changed(_ps(spark, d), "variable", F.hour("datetime") == 21, F.lit("VIS")))
 
 
 def q_site_semi_join(spark, d):
-    return datasets.listed_sites(_fc(spark, d), builtin_sites(spark))
+    """Member gep02 belongs to a site that is not listed."""
+    return datasets.listed_sites(_changed(_fc(spark, d), "site_id", F.col("ensemble") == "gep02", F.lit("NONE")),
+                                 builtin_sites(spark))
 
 
 def q_state_horizon_rule(spark, d):
+    """Each site's newest rows have horizon 006: the exception of the rule."""
     p = _bmax(_ps(spark, d), PB)
+    p = _changed(p, "horizon", F.col("datetime") == F.col("bmax"), F.lit("006"))
     return (p.filter(F.col("variable").isin(STATE_VARIABLES) & state_horizon_rule(True))
             .drop("bmax"))
 
@@ -84,13 +98,27 @@ def q_pseudo_overlap(spark, d):
 
 
 def q_repair_datetime(spark, d):
-    return repair_datetime(_ps(spark, d))
+    """Cycle 06 is stored five hours late."""
+    late = F.timestamp_add("HOUR", F.lit(5), F.col("datetime"))
+    return repair_datetime(_changed(_ps(spark, d), "datetime", F.col("cycle") == "06", late))
 
 
 # --- inventories and backlogs -----------------------------------------------
 
 def q_partition_inventory(spark, d):
-    return datasets.partition_values(_ps(spark, d), "reference_datetime")
+    """Inventory of a partitioned dataset: folder names only, no column is read."""
+    root = _land(spark, _ps(spark, d), "inventory")
+    return datasets.partition_values(datasets.read_dataset(spark, root, PSEUDO), "reference_datetime")
+
+
+def q_site_csv(spark, d):
+    """Rows of each site of a list read from CSV (blanks around fields, as in the published list)."""
+    root = scratch_dir(spark, "site-csv")
+    blank = builtin_sites(spark).withColumn("site_id", F.concat(F.lit(" "), "site_id", F.lit(" ")))
+    blank.write.option("header", True).csv(root)
+    listed = datasets.listed_sites(_ps(spark, d), read_sites(spark, root))
+    return (listed.groupBy("site_id").agg(F.count("*").alias("n"))
+            .join(read_sites(spark, root), "site_id").select("site_name", "site_id", "latitude", "longitude", "n"))
 
 
 def q_stage1_backlog(spark, d):
@@ -121,14 +149,19 @@ def q_hourly_spine(spark, d):
 
 
 def q_observations_on_spine(spark, d):
-    return observations_on_spine(_ps(spark, d), PB, pseudo=True)
+    """RH lies half an hour off the grid; TMP has a second value at every hour."""
+    ps = _ps(spark, d)
+    off = F.timestamp_add("MINUTE", F.lit(30), F.col("datetime"))
+    twice = ps.filter(F.col("variable") == "TMP").withColumn("prediction", F.col("prediction") + 1)
+    moved = _changed(ps, "datetime", (F.col("variable") == "RH") & (F.hour("datetime") == 12), off)
+    return observations_on_spine(moved.unionByName(twice), PB, pseudo=True)
 
 
 # --- fills and units --------------------------------------------------------
 
 def _filled(spark, d, variables, convert=False):
     dd = disaggregate(_fc(spark, d), FB, pseudo=False, convert=convert)
-    return dd.filled.filter(F.col("variable").isin(variables)).drop("chunk")
+    return decode_keys(dd.filled.filter(F.col("variable").isin(variables)).drop("chunk"), dd.key_types)
 
 
 def q_interpolate_states(spark, d):
@@ -150,29 +183,38 @@ def q_cf_rename(spark, d):
 
 
 def q_member_number(spark, d):
-    return _fc(spark, d).select("ensemble").distinct().withColumn("parameter", member_number("ensemble"))
+    """The members, and malformed codes made from them."""
+    codes = _fc(spark, d).select("ensemble")
+    bad = codes.select(F.explode(F.array(F.concat(F.lit("x"), "ensemble"), F.substring("ensemble", 1, 3))).alias("ensemble"))
+    return codes.union(bad).distinct().withColumn("parameter", member_number("ensemble"))
 
 
 # --- solar ------------------------------------------------------------------
 
 def q_solar_bin_step(spark, d):
-    one = _fc(spark, d).filter(F.col("variable").isin("TMP", "DSWRF"))
-    dd = disaggregate(one, FB)
-    from hourcast.operators.hourly import flux_duplicates, solar_bin_table
-    return solar_bin_table(flux_duplicates(dd.src, dd.series, FB), dd.series, dd.variables, FB).select(
-        "reference_datetime", F.round("bin_seconds", 6).alias("bin_seconds"))
+    """The step of every batch with its three flux variables, and were it reported with two or one."""
+    fc, out = _fc(spark, d), None
+    for n in (1, 2, 3):
+        dropped = {1: ["DSWRF", "DLWRF"], 2: ["DSWRF"], 3: []}[n]
+        dd = disaggregate(fc.filter(~F.col("variable").isin(dropped)) if dropped else fc, FB)
+        dups = flux_duplicates(dd.src, dd.series, FB, dd.variables)
+        step = decode_keys(solar_bin_table(dups, dd.series, dd.variables, FB), dd.key_types).select(
+            F.lit(n).alias("n_fluxes"), "reference_datetime", F.round("bin_seconds", 6).alias("bin_seconds"))
+        out = step if out is None else out.unionByName(step)
+    return out
 
 
 def q_solar_potential(spark, d):
-    sp = hourly_spine(_fc(spark, d), FB).filter(F.col("variable") == "DSWRF")
-    rp = add_potential(sp.withColumn("bin_seconds", F.lit(0.0)), builtin_sites(spark))
-    return rp.select("reference_datetime", "site_id", "family", "ensemble", "datetime",
-                     F.round("rpot", 6).alias("rpot"))
+    """rpot of every flux hour, with the batch's own step."""
+    dd = disaggregate(_fc(spark, d), FB)
+    rp = decode_keys(with_potential(dd, builtin_sites(spark)), dd.key_types)
+    return rp.select("reference_datetime", "site_id", "family", "ensemble", flux_rename(F.col("variable")).alias("variable"),
+                     "datetime", F.round("rpot", 6).alias("rpot"))
 
 
 def q_daily_mean_broadcast(spark, d):
     dd = disaggregate(_fc(spark, d), FB)
-    f = daily_means(with_potential(dd, builtin_sites(spark)), dd.skey + ["variable", "chunk"])
+    f = decode_keys(daily_means(with_potential(dd, builtin_sites(spark)), dd.skey + ["variable", "chunk"]), dd.key_types)
     return f.select("reference_datetime", "site_id", "family", "ensemble",
                     flux_rename(F.col("variable")).alias("variable"), "datetime",
                     F.round("avg_rpot", 6).alias("avg_rpot"), F.round("avg_sw", 6).alias("avg_sw"))
@@ -233,6 +275,17 @@ def q_stage3_rebuild(spark, d):
     return round_sw(datasets.read_dataset(spark, s3, stages.STAGE3_READ))
 
 
+def q_stage3_chain(spark, d):
+    """PL-17: stage 3 from the early dates, then land the missing dates and update."""
+    sites = builtin_sites(spark)
+    ps = _ps(spark, d)
+    root = _land(spark, ps.filter(F.col("reference_datetime") < UPDATE_SPLIT), "chain-pseudo")
+    s3 = scratch_dir(spark, "chain-stage3")
+    stages.rebuild_stage3(spark, root, s3, sites)
+    stages.stage3_chain(spark, ps, root, s3, sites, run_date="2024-02-05", start="2023-12-25")
+    return round_sw(datasets.read_dataset(spark, s3, stages.STAGE3_READ))
+
+
 def q_stage3_update(spark, d):
     sites = builtin_sites(spark)
     ps = _ps(spark, d)
@@ -270,7 +323,7 @@ def q_run_planner(spark, d):
 
 
 def q_run_planner_forced(spark, d):
-    return planner.plan_runs(_legacy_s1(spark, d), _legacy_s2(spark, d), PLAN_DATES[:3],
+    return planner.plan_runs(_legacy_s1(spark, d), _legacy_s2(spark, d), PLAN_DATES,
                              min_horizon=PLANNER_MIN_HORIZON, force=True)
 
 
@@ -330,11 +383,22 @@ def q_positional_partition_scan(spark, d):
     return datasets.read_positional(spark, root, ["cycle", "start_date", "site_id"], schema)
 
 
+def q_positional_bare_scan(spark, d):
+    """IO-02 on folders that carry bare values: one folder a cycle."""
+    leg = materialize(legacy.legacy_stage1(_ps(spark, d)))
+    root = scratch_dir(spark, "bare")
+    for c in (0, 6, 12, 18):
+        leg.filter(F.col("cycle") == c).drop("cycle").write.parquet(f"{root}/{c}")
+    return datasets.read_positional(spark, root, ["cycle"], leg.drop("cycle").schema)
+
+
 def q_land_forecast(spark, d):
-    ps = _ps(spark, d)
+    """RH has horizon 009, which only cycle 00 may keep; cycle 18 is not wanted, nor horizons above 9 (UGRD)."""
+    ps = _changed(_ps(spark, d), "horizon", F.col("variable") == "RH", F.lit("009"))
+    ps = _changed(ps, "horizon", F.col("variable") == "UGRD", F.lit("012"))
     dates = planner.date_range(spark, "2024-01-05", "2024-01-12")
     root = scratch_dir(spark, "landing")
-    writers.land_forecast(ps, root, builtin_sites(spark), dates)
+    writers.land_forecast(ps, root, builtin_sites(spark), dates, cycles=["00", "06", "12"], max_horizon=9)
     return datasets.read_dataset(spark, root, PSEUDO)
 
 
@@ -351,14 +415,53 @@ def q_stage3_append_legacy(spark, d):
     hist = stages.legacy_stage3_frame(None, ps.filter(F.col("start_date") < UPDATE_SPLIT), UPDATE_SPLIT,
                                       start_date="2023-12-01")
     hist = materialize(hist.drop("reference_datetime"))
-    return stages.legacy_stage3_frame(hist, ps, "2024-01-31")
+    return stages.legacy_stage3_frame(hist, ps, "2024-01-31", places=builtin_sites(spark))
+
+
+def _odd_members(rows: DataFrame) -> DataFrame:
+    """Member 1 becomes 100 and member 2 unknown."""
+    p = F.col("parameter")
+    return rows.withColumn("parameter", F.when(p == 1, 100).when(p != 2, p))
+
+
+def q_legacy_members(spark, d):
+    """The legacy append with member 100 and unknown members, each site's first time on every row."""
+    ps = _odd_members(legacy.legacy_stage1(_ps(spark, d)))
+    rows = stages.legacy_stage3_frame(None, ps, "2024-01-31", start_date="2023-12-01", places=builtin_sites(spark))
+    return stages.legacy_reference_times(rows)
+
+
+def _legacy_dates(s1: DataFrame) -> list[str]:
+    """All start dates (one value a day)."""
+    return sorted(r[0] for r in s1.select("start_date").distinct().collect() if r[0] is not None)
+
+
+def _legacy_read(spark, root):
+    schema = T.StructType([T.StructField("family", T.StringType()), T.StructField("parameter", T.IntegerType()),
+                           T.StructField("datetime", T.TimestampNTZType()), T.StructField("variable", T.StringType()),
+                           T.StructField("prediction", T.DoubleType()), T.StructField("reference_datetime", T.TimestampNTZType()),
+                           T.StructField("cycle", T.IntegerType()), T.StructField("start_date", T.StringType()),
+                           T.StructField("site_id", T.StringType())])
+    return datasets.read_dataset(spark, root, schema)
 
 
 def q_legacy_stage2_build(spark, d):
-    s1 = legacy.legacy_stage1(_ps(spark, d))
-    runs = planner.plan_runs(s1, None, ["2024-01-10", "2024-01-11", "2024-01-12"],
-                             cycles=(0, 6, 12, 18), force=True)
-    return round_sw(stages.legacy_stage2_frame(s1, runs, builtin_sites(spark)))
+    """Every run of every date, through the write job (one folder a cycle, date and site)."""
+    s1 = materialize(legacy.legacy_stage1(_ps(spark, d)))
+    runs = planner.plan_runs(s1, None, _legacy_dates(s1), cycles=(0, 6, 12, 18), force=True)
+    root = scratch_dir(spark, "legacy-stage2")
+    stages.build_legacy_stage2(spark, s1, runs, builtin_sites(spark), root)
+    return round_sw(_legacy_read(spark, root))
+
+
+def q_legacy_chain(spark, d):
+    """PL-17, legacy: stage 2 of every run and the stage-3 append; rows of both by site and variable."""
+    s1 = materialize(legacy.legacy_stage1(_ps(spark, d)))
+    s2, s3 = scratch_dir(spark, "legacy-chain2"), scratch_dir(spark, "legacy-chain3")
+    stages.legacy_chain(spark, s1, s2, s3, builtin_sites(spark), _legacy_dates(s1), "2024-01-31", "2023-12-01")
+    count = lambda df, n: df.groupBy("site_id", "variable").agg(
+        F.count("*").alias("n"), F.count("prediction").alias("n_values"), F.max("datetime").alias("last")).select(F.lit(n).alias("stage"), "*")
+    return count(_legacy_read(spark, s2), 2).unionByName(count(spark.read.parquet(s3), 3))
 
 
 QUERIES = {
@@ -393,6 +496,11 @@ QUERIES = {
     "stage3_rebuild": q_stage3_rebuild,
     "stage3_update": q_stage3_update,
     "stage3_append_legacy": q_stage3_append_legacy,
+    "stage3_chain": q_stage3_chain,
+    "legacy_members": q_legacy_members,
+    "legacy_chain": q_legacy_chain,
+    "site_csv": q_site_csv,
+    "positional_bare_scan": q_positional_bare_scan,
     "legacy_stage2_build": q_legacy_stage2_build,
     "site_horizon_reached": q_site_horizon_reached,
     "run_planner": q_run_planner,

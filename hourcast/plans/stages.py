@@ -10,14 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from hourcast.functions.naming import member_number, pad_left
+from hourcast.functions.naming import cf_name, flux_rename, member_number, pad_left
 from hourcast.operators.hourly import to_hourly
 from hourcast.operators.pseudo import repair_datetime
-from hourcast.plans.planner import stage2_backlog
-from hourcast.schemas import PSEUDO, STAGE1
-from hourcast.session import scratch_dir
-from hourcast.sinks.writers import write_partitioned, write_stage2, write_stage3
-from hourcast.sources.datasets import listed_sites, native_variables, partition_values, read_dataset
+from hourcast.plans.planner import plan_runs, pseudo_backlog, stage1_backlog, stage2_backlog
+from hourcast.schemas import LEGACY_START, PSEUDO, PSEUDO_START, STAGE1, STAGE1_START
+from hourcast.session import drop_scratch, scratch_dir
+from hourcast.sinks.writers import land_forecast, write_partitioned, write_positional_runs, write_stage2, write_stage3
+from hourcast.sources.datasets import (
+    listed_sites, native_variables, partition_values, read_dataset, read_if_exists, read_partitions)
 
 STAGE2_READ = T.StructType([
     T.StructField("family", T.StringType()),
@@ -61,26 +62,24 @@ def stage2_frame(stage1: DataFrame, sites: DataFrame, dates: DataFrame | None =
 
 
 def build_stage2(spark: SparkSession, stage1_root: str, stage2_root: str, sites: DataFrame,
-                 run_date, lookback_days: int = 7, schema: T.StructType = STAGE1) -> DataFrame:
-    """Job: find missing stage-2 dates (PL-03), build them all in one plan, write.
+                 run_date, lookback_days: int = 7, schema: T.StructType = STAGE1) -> list[str]:
+    """Job: find missing stage-2 dates (PL-03), build them all in one plan, write. Returns the dates.
 
     ``schema`` is the stage-1 read schema (use TimestampType for ``datetime``
     when the files hold UTC-adjusted timestamps; the session runs in UTC).
     """
-    stage1 = read_dataset(spark, stage1_root, schema)
-    try:
-        produced = partition_values(read_dataset(spark, stage2_root, STAGE2_READ), "reference_datetime")
-    except Exception:  # no stage-2 dataset yet
-        produced = spark.createDataFrame([], "reference_datetime string")
-    missing = stage2_backlog(spark, produced, run_date, lookback_days)
+    produced = partition_values(read_if_exists(spark, stage2_root, STAGE2_READ), "reference_datetime")
     # At most ``lookback_days`` values: fetched so the scan is pruned to those
     # partition folders when it is planned (a join alone would list them all).
-    wanted = [r[0] for r in missing.collect()]
-    if not wanted:
-        return missing
-    stage1 = stage1.filter(F.col("reference_datetime").isin(wanted))
-    write_stage2(stage2_frame(stage1, sites, missing), stage2_root)
-    return missing
+    wanted = sorted(r[0] for r in stage2_backlog(spark, produced, run_date, lookback_days).collect())
+    if wanted:
+        write_stage2(stage2_frame(wanted_stage1(spark, stage1_root, wanted, schema), sites), stage2_root)
+    return wanted
+
+
+def wanted_stage1(spark: SparkSession, root: str, dates: list[str], schema: T.StructType = STAGE1) -> DataFrame:
+    """The scan of ``build_stage2``: only the wanted dates' partition folders."""
+    return read_partitions(spark, root, "reference_datetime", dates, schema)
 
 
 def stage3_frame(pseudo: DataFrame, sites: DataFrame, **hourly_kw) -> DataFrame:
@@ -97,16 +96,18 @@ def rebuild_stage3(spark: SparkSession, pseudo_root: str, stage3_root: str, site
 
 def stage3_update_frame(stage3: DataFrame, pseudo: DataFrame, sites: DataFrame,
                         rewrite_days: int = 3, lookback_issue_days: int | None = None,
-                        **hourly_kw) -> DataFrame:
+                        keep_new=lambda new: new, **hourly_kw) -> DataFrame:
     """PL-06: rows to write back for every site that has history and new data.
 
     Per site: cut-off = date(newest stored time) - rewrite_days; pseudo issues
     on or after the cut-off (``lookback_issue_days`` earlier if given) are
     redone; stored rows strictly before the first new time are kept. Both
     parts are de-duplicated. Sites without history are never started; sites
-    without new rows are absent (their partition stays as it is).
+    without new rows are absent (their partition stays as it is). The new rows are
+    used twice: ``keep_new`` may write them first.
     """
     look = rewrite_days if lookback_issue_days is None else lookback_issue_days
+    stage3 = listed_sites(stage3, sites)
     last = stage3.groupBy("site_id").agg(F.max(F.to_date("datetime")).alias("last_day"))
     cut = last.select("site_id",
                       F.date_format(F.date_sub("last_day", look), "yyyy-MM-dd").alias("read_from"),
@@ -118,7 +119,7 @@ def stage3_update_frame(stage3: DataFrame, pseudo: DataFrame, sites: DataFrame,
     if look != rewrite_days:
         new = (new.join(cut.select("site_id", "rewrite_from"), "site_id")
                .filter(F.to_date("datetime") >= F.col("rewrite_from")).drop("rewrite_from"))
-    new = new.distinct()
+    new = keep_new(new.distinct())
     first_new = new.groupBy("site_id").agg(F.min("datetime").alias("first_new"))
     old = (stage3.select(*OUT_COLS).join(first_new, "site_id")
            .filter(F.col("datetime") < F.col("first_new")).drop("first_new").distinct())
@@ -127,45 +128,78 @@ def stage3_update_frame(stage3: DataFrame, pseudo: DataFrame, sites: DataFrame,
 
 def update_stage3(spark: SparkSession, pseudo_root: str, stage3_root: str, sites: DataFrame,
                   rewrite_days: int = 3, lookback_issue_days: int | None = None,
-                  schema: T.StructType = PSEUDO) -> str:
-    """Job: PL-06 for all sites at once. The result is staged in the shared
-    checkpoint folder first, then swapped in with dynamic partition overwrite,
-    so a failed job cannot lose history. Returns the staging path."""
-    stage3 = read_dataset(spark, stage3_root, STAGE3_READ)
-    pseudo = read_dataset(spark, pseudo_root, schema)
-    # One scalar (the earliest per-site read start) prunes the pseudo scan to the
-    # last days' partitions at planning time; the per-site cut-off still applies.
+                  schema: T.StructType = PSEUDO) -> list[str]:
+    """Job: PL-06 for all listed sites at once; returns the sites that have history.
+
+    The result is staged in the shared checkpoint folder first, then swapped in with
+    dynamic partition overwrite, so a failed job cannot lose history; the staging
+    is deleted after the swap.
+    """
     look = rewrite_days if lookback_issue_days is None else lookback_issue_days
-    first = (stage3.groupBy("site_id").agg(F.max(F.to_date("datetime")).alias("d"))
-             .agg(F.date_format(F.date_sub(F.min("d"), look), "yyyy-MM-dd")).first()[0])
-    if first is None:  # no history at all: nothing is ever started
-        return None
-    pseudo = pseudo.filter(F.col("reference_datetime") >= F.lit(first))
-    frame = stage3_update_frame(stage3, pseudo, sites, rewrite_days, lookback_issue_days)
-    staging = scratch_dir(spark, "stage3-staging")
-    write_partitioned(frame, staging, ["site_id"])
-    staged = read_dataset(spark, staging, STAGE3_READ)
+    stage3 = read_if_exists(spark, stage3_root, STAGE3_READ)
+    starts = site_starts(stage3, sites, look)
+    if not starts:  # no history at all: nothing is ever started
+        return []
+    stage3 = stage3.filter(F.col("site_id").isin(sorted(starts)))
+    pseudo = since(read_dataset(spark, pseudo_root, schema), starts)
+    scratch = [scratch_dir(spark, "stage3-new"), scratch_dir(spark, "stage3-staging")]
+
+    def keep_new(new: DataFrame) -> DataFrame:
+        new.write.parquet(scratch[0])
+        return spark.read.schema(new.schema).parquet(scratch[0])
+
+    frame = stage3_update_frame(stage3, pseudo, sites, rewrite_days, lookback_issue_days, keep_new)
+    write_partitioned(frame, scratch[1], ["site_id"])
+    staged = read_if_exists(spark, scratch[1], STAGE3_READ)
     write_stage3(staged.select(*OUT_COLS), stage3_root)
-    return staging
+    for path in scratch:
+        drop_scratch(spark, path)
+    return sorted(starts)
+
+
+def site_starts(stage3: DataFrame, sites: DataFrame, days: int) -> dict[str, str]:
+    """First issue date to read again, by listed site with history (one value a listed site).
+
+    Reads the time column of the listed sites' partitions only.
+    """
+    rows = (listed_sites(stage3, sites).groupBy("site_id")
+            .agg(F.date_format(F.date_sub(F.max(F.to_date("datetime")), days), "yyyy-MM-dd").alias("start"))).collect()
+    return {r["site_id"]: r["start"] for r in rows if r["site_id"] is not None and r["start"] is not None}
+
+
+def since(pseudo: DataFrame, starts: dict[str, str]) -> DataFrame:
+    """Rows of each site from its own start on, as literals: the partition part of the
+    condition prunes folders, the site part row groups, so a site that stopped long
+    ago does not make the others' old days be read."""
+    groups: dict[str, list[str]] = {}
+    for site, start in starts.items():
+        groups.setdefault(start, []).append(site)
+    keep = F.lit(False)
+    for start, names in sorted(groups.items()):
+        keep = keep | (F.col("site_id").isin(sorted(names)) & (F.col("reference_datetime").cast("string") >= start))
+    return pseudo.filter(keep)
 
 
 def legacy_stage3_frame(history: DataFrame | None, stage1: DataFrame, run_date,
-                        start_date: str = "2020-09-25", accum_hours: int = 6) -> DataFrame:
+                        start_date: str = LEGACY_START, accum_hours: int = 6,
+                        places: DataFrame | None = None) -> DataFrame:
     """PL-10: legacy stage-3 append for all sites at once.
 
+    Columns: datetime, site_id, longitude, latitude, family, parameter, variable,
+    height, prediction. ``places`` (site_id, latitude, longitude) gives the
+    coordinates; height is the history's or the variable's in stage 1 where those
+    have the column, else NULL. ``legacy_reference_times`` adds the AG-13 column.
+
     history: datetime, site_id, family, parameter, variable, prediction (may be None).
     stage1:  legacy rows (start_date text, cycle int, site_id, parameter int,
              horizon numeric, datetime, variable, prediction, family).
     Per site: drop the newest stored day, redo from that day to run_date when
     that spans more than one day (sites without history from ``start_date``),
-    using horizons 0 and 3 and keeping horizon < 6; union; reference_datetime
-    = the site's earliest time. Disaggregation runs with horizon rules and
+    using horizons 0 and 3 and keeping horizon < 6; union. Members are carried
+    whole, NULL included. Disaggregation runs with horizon rules and
     solar reshaping off (the legacy chain had neither).
     """
-    spark = stage1.sparkSession
-    s1 = stage1.filter(F.col("variable").isin(["PRES", "TMP", "RH", "UGRD", "VGRD", "APCP",
-                                               "DSWRF", "DLWRF"])
-                       & F.col("horizon").cast("double").isin(0.0, 3.0))
+    s1 = native_variables(stage1).filter(F.col("horizon").cast("double").isin(0.0, 3.0))
     sites = s1.select("site_id").distinct()
     if history is not None:
         h = history.withColumn("start_date", F.to_date("datetime"))
@@ -183,23 +217,37 @@ def legacy_stage3_frame(history: DataFrame | None, stage1: DataFrame, run_date,
                   & (F.to_date("start_date") <= F.to_date(F.lit(str(run_date)))))
           .drop("start_date", "cycle", "from_day").distinct()
           .filter(F.col("horizon").cast("double") < 6))
-    d1 = d1.withColumn("ensemble", F.format_string("ens%02d", F.col("parameter").cast("int")))
+    d1 = d1.withColumn("ensemble", F.col("parameter").cast("string"))
     hourly = to_hourly(d1.withColumn("horizon", F.lit(None).cast("string")), None, ["site_id"],
                        pseudo=True, use_solar_geom=False, horizon_rules=False,
                        accum_hours=accum_hours)
-    new = hourly.select("datetime", "site_id", "family",
-                        F.substring("ensemble", 4, 2).cast("int").alias("parameter"),
+    new = hourly.select("datetime", "site_id", "family", F.col("ensemble").cast("int").alias("parameter"),
                         "variable", "prediction")
-    out = new if kept is None else new.unionByName(
-        kept.select("datetime", "site_id", "family", F.col("parameter").cast("int").alias("parameter"),
-                    "variable", "prediction").join(plan.select("site_id"), "site_id", "left_semi"))
-    # AG-13: every row gets its site's earliest time (aggregate + join, not a
-    # whole-site window: a site's history never has to fit in one task)
-    first = out.groupBy("site_id").agg(F.min("datetime").alias("reference_datetime"))
-    # one row per site; no hint: the planner sizes it at run time (AQE)
-    out = out.join(first, "site_id")
-    return out.withColumn("family", F.lit("ensemble")).select(
-        "datetime", "site_id", "family", "parameter", "variable", "prediction", "reference_datetime")
+    if "height" in stage1.columns:  # a handful of variables
+        heights = native_variables(stage1).groupBy(cf_name(flux_rename(F.col("variable"))).alias("variable")).agg(
+            F.max("height").alias("height"))
+        new = new.join(heights, "variable", "left")
+    else:
+        new = new.withColumn("height", F.lit(None).cast("string"))
+    if kept is not None:
+        height = F.col("height").cast("string") if "height" in kept.columns else F.lit(None).cast("string")
+        new = new.unionByName(
+            kept.select("datetime", "site_id", "family", F.col("parameter").cast("int").alias("parameter"),
+                        "variable", "prediction", height.alias("height"))
+            .join(plan.select("site_id"), "site_id", "left_semi"))
+    if places is None:
+        new = new.withColumns({c: F.lit(None).cast("double") for c in ("longitude", "latitude")})
+    else:
+        new = new.join(places.select("site_id", "longitude", "latitude"), "site_id", "left")
+    return new.withColumn("family", F.lit("ensemble")).select(
+        "datetime", "site_id", "longitude", "latitude", "family", "parameter", "variable", "height", "prediction")
+
+
+def legacy_reference_times(rows: DataFrame) -> DataFrame:
+    """AG-13: every row gets its site's earliest time as ``reference_datetime`` (an
+    aggregate and a join: a site's history never has to fit in one task)."""
+    first = rows.groupBy("site_id").agg(F.min("datetime").alias("reference_datetime"))
+    return rows.join(first, "site_id")
 
 
 def legacy_stage2_frame(stage1: DataFrame, runs: DataFrame, sites: DataFrame, **hourly_kw) -> DataFrame:
@@ -208,48 +256,45 @@ def legacy_stage2_frame(stage1: DataFrame, runs: DataFrame, sites: DataFrame, **
     stage1: legacy rows (start_date, cycle int, site_id, parameter int, horizon
     numeric, datetime, variable, prediction, reference_datetime, family).
     runs: date, cycle (e.g. the output of plan_runs). Each (date, cycle) is a
-    batch; members become 'ens%02d' codes for the operator and numbers again
-    after it.
+    batch; members are carried whole, NULL included.
     """
     r = runs.select(F.col("date").alias("start_date"), F.col("cycle").cast("int").alias("cycle"))
     df = (native_variables(stage1).join(r, ["start_date", "cycle"], "left_semi")
-          .withColumn("ensemble", F.format_string("ens%02d", F.col("parameter").cast("int")))
+          .withColumn("ensemble", F.col("parameter").cast("string"))
           .withColumn("horizon", pad_left(F.col("horizon").cast("int"), 3)))
     h = to_hourly(df, sites, ["start_date", "cycle", "reference_datetime"], pseudo=False, **hourly_kw)
     return h.select("start_date", "cycle", "site_id", "family",
-                    F.substring("ensemble", 4, 2).cast("int").alias("parameter"),
+                    F.col("ensemble").cast("int").alias("parameter"),
                     "datetime", "variable", "prediction", "reference_datetime")
 
 
 def build_legacy_stage2(spark: SparkSession, stage1: DataFrame, runs: DataFrame, sites: DataFrame,
                         root: str) -> None:
     """Job: PL-09 + IO-09, one folder per (cycle, start_date, site_id)."""
-    write_partitioned(legacy_stage2_frame(stage1, runs, sites), root, ["cycle", "start_date", "site_id"])
+    write_positional_runs(legacy_stage2_frame(stage1, runs, sites), root)
 
 
 def stage2_chain(spark: SparkSession, raw: DataFrame, stage1_root: str, stage2_root: str,
-                 sites: DataFrame, run_date, lookback_days: int = 7, start=None) -> DataFrame:
+                 sites: DataFrame, run_date, lookback_days: int = 7, start=None) -> list[str]:
     """PL-17: land the stage-1 backlog, then build the stage-2 backlog."""
-    from hourcast.plans.planner import stage1_backlog
-    from hourcast.schemas import STAGE1_START
     start = STAGE1_START if start is None else start
-    from hourcast.sinks.writers import land_forecast
-    try:
-        present = partition_values(read_dataset(spark, stage1_root, STAGE1), "reference_datetime")
-    except Exception:
-        present = spark.createDataFrame([], "reference_datetime string")
+    present = partition_values(read_if_exists(spark, stage1_root, STAGE1), "reference_datetime")
     land_forecast(raw, stage1_root, sites, stage1_backlog(spark, present, run_date, start), cycles=["00"])
     return build_stage2(spark, stage1_root, stage2_root, sites, run_date, lookback_days)
 
 
 def stage3_chain(spark: SparkSession, raw: DataFrame, pseudo_root: str, stage3_root: str,
-                 sites: DataFrame, run_date) -> str:
+                 sites: DataFrame, run_date, start=PSEUDO_START) -> list[str]:
     """PL-17: land the pseudo-observation backlog, then update stage 3."""
-    from hourcast.plans.planner import pseudo_backlog
-    from hourcast.sinks.writers import land_forecast
-    try:
-        present = partition_values(read_dataset(spark, pseudo_root, PSEUDO), "reference_datetime")
-    except Exception:
-        present = spark.createDataFrame([], "reference_datetime string")
-    land_forecast(raw, pseudo_root, sites, pseudo_backlog(spark, present, run_date))
+    present = partition_values(read_if_exists(spark, pseudo_root, PSEUDO), "reference_datetime")
+    land_forecast(raw, pseudo_root, sites, pseudo_backlog(spark, present, run_date, start))
     return update_stage3(spark, pseudo_root, stage3_root, sites)
+
+
+def legacy_chain(spark: SparkSession, stage1: DataFrame, stage2_root: str, stage3_root: str, sites: DataFrame,
+                 dates: list[str], run_date, start_date: str = LEGACY_START) -> None:
+    """PL-17: the legacy 1 -> 2 -> 3 chain: every planned run's stage 2, then the stage-3 append."""
+    runs = plan_runs(stage1, None, dates, cycles=(0, 6, 12, 18), force=True)
+    build_legacy_stage2(spark, stage1, runs, sites, stage2_root)
+    rows = legacy_stage3_frame(None, stage1, run_date, start_date, places=sites)
+    write_partitioned(rows, stage3_root, ["site_id"], ["datetime", "variable", "parameter"])

@@ -61,35 +61,9 @@ STAGE1 = T.StructType([
 
 PSEUDO = T.StructType(STAGE1.fields[:4] + [T.StructField("cycle", T.StringType())] + STAGE1.fields[4:])
 
-HOURLY_COLUMNS = ["site_id", "family", "ensemble", "datetime", "variable", "prediction",
-                  "reference_datetime"]
-
-STAGE_OUT = T.StructType([
-    T.StructField("site_id", T.StringType()),
-    T.StructField("family", T.StringType()),
-    T.StructField("parameter", T.DoubleType()),
-    T.StructField("datetime", T.TimestampNTZType()),
-    T.StructField("variable", T.StringType()),
-    T.StructField("prediction", T.DoubleType()),
-    T.StructField("reference_datetime", T.DateType()),
-])
-
 SITES = T.StructType([
     T.StructField("site_name", T.StringType()),
     T.StructField("site_id", T.StringType()),
     T.StructField("latitude", T.DoubleType()),
     T.StructField("longitude", T.DoubleType()),
 ])
-
-# Legacy positional layout cycle/start_date/site_id/part-0.parquet.
-LEGACY_STAGE1 = T.StructType([
-    T.StructField("parameter", T.IntegerType()),
-    T.StructField("horizon", T.DoubleType()),
-    T.StructField("datetime", T.TimestampNTZType()),
-    T.StructField("variable", T.StringType()),
-    T.StructField("reference_datetime", T.TimestampNTZType()),
-    T.StructField("prediction", T.DoubleType()),
-    T.StructField("longitude", T.DoubleType()),
-    T.StructField("latitude", T.DoubleType()),
-    T.StructField("family", T.StringType()),
-])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -22,25 +23,6 @@ REQUIRED_CONF = {
 }
 
 
-def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int) -> dict:
-    """Suggested sizes for a large run (not applied automatically).
-
-    Shuffle partitions start at ~2 per core or one per 256 MB of input,
-    whichever is larger; AQE coalesces them. The advisory partition size is kept
-    at 64 MB because the gap fill expands each shuffled observation into 3-6
-    hourly rows after the shuffle.
-    """
-    cores = executors * cores_per_executor
-    parts = max(2 * cores, input_bytes // (256 * 1024 * 1024))
-    return {
-        "spark.sql.shuffle.partitions": str(int(parts)),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
-        "spark.sql.files.maxPartitionBytes": "256m",
-        "spark.sql.autoBroadcastJoinThreshold": "32m",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-    }
-
-
 def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "hourcast",
               extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings in REQUIRED_CONF.
@@ -72,15 +54,26 @@ def apply_conf(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only when
-    neither is set, as in local tests, a folder under the system temp dir is
-    created and registered as the checkpoint dir.
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). Where neither
+    is set a cluster has no folder that all executors share, so this fails; only a
+    local master gets a folder under the system temp dir.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not base and not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not base:
         base = tempfile.mkdtemp(prefix="hourcast-ckpt-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base
     base = base.rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``scratch_dir`` named, once a job no longer needs it."""
+    if not re.search(r"/[^/]+-[0-9a-f]{12}$", path):
+        raise ValueError(f"not a scratch folder: {path}")
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

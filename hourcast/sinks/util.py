@@ -1,22 +1,11 @@
-"""Materialisation and size-checked broadcast helpers."""
+"""Materialisation of derived tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from hourcast.session import scratch_dir
 
-# Rows a side may have to be broadcast: keyed tables of ~10 narrow columns, so
-# about 40 MB per executor at most. Larger sides are left to the planner (AQE
-# converts to a broadcast only when runtime sizes allow, else a shuffle join).
-BROADCAST_MAX_ROWS = 500_000
-
-
-def ensure_checkpoint_dir(spark) -> None:
-    """Make sure reliable checkpoints have a home (the cluster's, or a test folder)."""
-    if not spark.sparkContext.getCheckpointDir():
-        scratch_dir(spark)
-
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Compute a derived table once and cut its lineage.
@@ -31,15 +20,3 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_dir(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       n_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only when its row count is known to be at most ``max_rows``.
-
-    Pass ``n_rows`` when a bound is already proven; otherwise the rows are
-    counted (call this on materialised or local tables only). Above the bound
-    the planner's size-based choice (with AQE runtime statistics) decides.
-    """
-    n = df.count() if n_rows is None else n_rows
-    return F.broadcast(df) if n <= max_rows else df

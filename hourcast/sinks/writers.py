@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hourcast.schemas import NATIVE_VARIABLES
-from hourcast.sinks.util import broadcast_if_small, materialize
-from hourcast.sources.datasets import missing_partitions, read_dataset
+from hourcast.sources.datasets import listed_sites, missing_partitions, read_dataset, read_if_exists
 
 
 def write_partitioned(df: DataFrame, root: str, partition_cols: list[str],
@@ -45,18 +44,19 @@ def write_positional_runs(df: DataFrame, root: str, keys=("cycle", "start_date",
 
 def land_forecast(raw: DataFrame, root: str, sites: DataFrame, dates: DataFrame,
                   cycles: list[str] | None = None, max_horizon: int | None = None,
-                  short_cycle_horizon: int | None = 6) -> DataFrame:
+                  short_cycle_horizon: int | None = 6) -> list[str]:
     """IO-11/IO-12: land already-tabular forecast rows for the wanted dates.
 
     Keeps the native variables, listed sites, wanted issue dates (``dates`` has
     a reference_datetime column) and cycles; cycle 00 in full, other cycles only
     up to ``short_cycle_horizon``. Writes reference_datetime partitions and
-    returns the landed rows.
+    returns the wanted dates.
     """
     df = raw.filter(F.col("variable").isin(NATIVE_VARIABLES))
-    df = df.join(broadcast_if_small(sites.select("site_id").distinct()), "site_id", "left_semi")
-    df = df.join(dates.select(F.col("reference_datetime").cast("string").alias("reference_datetime")),
-                 "reference_datetime", "left_semi")
+    df = listed_sites(df, sites)
+    # one value a wanted day: as literals they prune the scan to those partition folders
+    wanted = sorted({str(r[0]) for r in dates.select("reference_datetime").collect()})
+    df = df.filter(F.col("reference_datetime").isin(wanted))
     hz = F.col("horizon").try_cast("int")
     if cycles is not None and "cycle" in df.columns:
         df = df.filter(F.col("cycle").isin(list(cycles)))
@@ -65,22 +65,21 @@ def land_forecast(raw: DataFrame, root: str, sites: DataFrame, dates: DataFrame,
     if max_horizon is not None:
         df = df.filter(hz <= max_horizon)
     write_partitioned(df, root, ["reference_datetime"], ["site_id", "variable", "datetime"], mode="overwrite")
-    return df
+    return wanted
 
 
 def sync_partitions(spark: SparkSession, src_root: str, dst_root: str, column: str,
-                    schema=None) -> DataFrame:
+                    schema=None) -> list[str]:
     """IO-13: copy partitions of ``column`` that src has and dst lacks.
 
-    Returns the inventory of copied values. Existing dst partitions are untouched.
+    Returns the copied values. Existing dst partitions are untouched; an absent dst
+    copies everything, a dst that cannot be read stops the job. Partitions are
+    replaced whole (dynamic overwrite), so a repeated copy adds nothing.
     """
     src = read_dataset(spark, src_root, schema)
-    try:
-        dst = read_dataset(spark, dst_root, schema)
-        missing = missing_partitions(src, dst, column)
-    except Exception:  # empty or absent destination: copy everything
-        missing = src.select(F.col(column).cast("string").alias(column)).distinct()
-    missing = materialize(missing)  # fixed before dst changes
-    todo = src.join(missing, column, "left_semi")
-    write_partitioned(todo, dst_root, [column], mode="append")
+    dst = read_if_exists(spark, dst_root, src.schema)
+    # one value a partition folder: as literals they prune the source scan
+    missing = sorted(r[0] for r in missing_partitions(src, dst, column).collect() if r[0] is not None)
+    if missing:
+        write_partitioned(src.filter(F.col(column).cast("string").isin(missing)), dst_root, [column])
     return missing

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +18,16 @@ def read_dataset(spark: SparkSession, root: str, schema: T.StructType | None = N
     return r.parquet(root)
 
 
+def read_if_exists(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """Like ``read_dataset``; a root that does not exist reads as empty, any other failure is raised."""
+    try:
+        return read_dataset(spark, root, schema)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_partitions(spark: SparkSession, root: str, column: str, values, schema=None) -> DataFrame:
     """IO-03: read only some partitions (pruned by Catalyst), values kept as a column."""
     df = read_dataset(spark, root, schema)
@@ -30,10 +41,8 @@ def native_variables(df: DataFrame) -> DataFrame:
 
 
 def listed_sites(df: DataFrame, sites: DataFrame) -> DataFrame:
-    """PF-02: keep rows of listed sites (semi join against the site list, broadcast
-    after its row count is checked)."""
-    from hourcast.sinks.util import broadcast_if_small
-    return df.join(broadcast_if_small(sites.select("site_id").distinct()), "site_id", "left_semi")
+    """PF-02: keep rows of listed sites (semi join; the planner broadcasts the list by its size in bytes)."""
+    return df.join(sites.select("site_id").distinct(), "site_id", "left_semi")
 
 
 def partition_values(df: DataFrame, column: str) -> DataFrame:

@@ -15,16 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hourcast.plans.stages import update_stage3
 from hourcast.schemas import PSEUDO
-from hourcast.session import scratch_dir
 
 
 def stage3_stream(spark: SparkSession, pseudo_root: str, stage3_root: str, sites: DataFrame,
-                  checkpoint: str | None = None, rewrite_days: int = 3):
+                  checkpoint: str, rewrite_days: int = 3):
     """Start an AvailableNow stream that updates stage 3 for newly landed files.
 
-    Returns the StreamingQuery (call ``awaitTermination()``).
+    ``checkpoint`` is a shared folder that stays the same from run to run: it holds
+    which files were seen. Returns the StreamingQuery (call ``awaitTermination()``).
     """
-    checkpoint = checkpoint or scratch_dir(spark, "stage3-stream")
     landed = (spark.readStream.schema(PSEUDO)
               .option("basePath", pseudo_root)
               .parquet(pseudo_root))

@@ -9,8 +9,16 @@ from __future__ import annotations
 
 import math
 
-from hourcast.schemas import FLUX_VARIABLES, STATE_VARIABLES
-from hourcast.sources.site_list import SITE_LIST
+# Stated here on their own, so that a wrong vocabulary in the library shows.
+STATE_VARIABLES = ["PRES", "TMP", "RH", "UGRD", "VGRD"]
+FLUX_VARIABLES = ["APCP", "DSWRF", "DLWRF"]
+# The sites of the derived tables.
+SITE_LIST = [
+    ("Ordway-Swisher Biological Station - Barco Lake", "BARC", 29.67647, -82.00909),
+    ("Toolik Lake", "TOOK", 68.630692, -149.610636),
+    ("Falling Creek Reservoir", "fcre", 37.303153, -79.837217),
+    ("Lake Alexandrina", "ALEX", -35.436808, 139.168997),
+]
 
 PI = f"{math.pi!r}::DOUBLE"
 
@@ -66,6 +74,7 @@ def to_hourly_sql(src: str, out: str, batch: list[str], pseudo: bool, use_solar:
     ensemble, datetime, variable, prediction, reference_datetime.
     """
     p = out + "_"
+    on = lambda a, b, cols: " AND ".join(f"{a}.{c} IS NOT DISTINCT FROM {b}.{c}" for c in cols)
     series = ["site_id", "family", "ensemble"]
     bx = [c for c in batch if c not in series]  # batch columns beyond the series keys
     B = ", ".join(batch)
@@ -89,14 +98,14 @@ def to_hourly_sql(src: str, out: str, batch: list[str], pseudo: bool, use_solar:
 {p}spine AS (
   SELECT {", ".join("s." + c for c in bx + series)}, v.variable, b.bmax,
          unnest(generate_series(b.bmin, s.smax, INTERVAL 1 HOUR)) AS datetime
-  FROM {p}stats s JOIN {p}bounds b USING ({B}) JOIN {p}vars v USING ({B})
+  FROM {p}stats s JOIN {p}bounds b ON {on("s", "b", batch)} JOIN {p}vars v ON {on("s", "v", batch)}
   WHERE v.variable IN ({STATES}, {FLUXES})),
 {p}obs AS (
-  SELECT o.* FROM {p}src o JOIN {p}bounds b USING ({B}) WHERE {obs_filter}),
+  SELECT o.* FROM {p}src o JOIN {p}bounds b ON {on("o", "b", batch)} WHERE {obs_filter}),
 {p}j AS (
   SELECT sp.*, o.prediction, o.horizon FROM {p}spine sp
-  LEFT JOIN {p}obs o USING ({key}, datetime)),
-{p}w1 AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {ordering}) AS pos FROM {p}j),
+  LEFT JOIN {p}obs o ON {on("sp", "o", bx + series + ["variable"])} AND sp.datetime = o.datetime),
+{p}w1 AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {ordering}) AS pos FROM {p}j),
 {p}w2 AS (SELECT *,
   last_value(CASE WHEN prediction IS NOT NULL THEN pos END IGNORE NULLS) OVER wp AS p0,
   last_value(prediction IGNORE NULLS) OVER wp AS v0,
@@ -114,7 +123,7 @@ def to_hourly_sql(src: str, out: str, batch: list[str], pseudo: bool, use_solar:
            ELSE v0 + (v1 - v0) * ((pos - p0) / (p1 - p0)) END
     ELSE v1 END AS prediction
   FROM {p}w2),
-{p}units AS (
+{p}units AS MATERIALIZED (
   SELECT {skey}, datetime,
     CASE WHEN variable = 'APCP' THEN 'PRATE' ELSE variable END AS variable,
     CASE WHEN variable = 'TMP' THEN prediction + {D(273.0)}
@@ -125,15 +134,15 @@ def to_hourly_sql(src: str, out: str, batch: list[str], pseudo: bool, use_solar:
     if use_solar:
         doy = doy_sql("u.datetime")
         ctes += f""",
-{p}flux AS (SELECT u.*, s.latitude,
+{p}flux AS MATERIALIZED (SELECT u.*, s.latitude,
     CASE WHEN s.longitude < 0 THEN {D(360.0)} + s.longitude ELSE s.longitude END AS lonw,
     {doy} AS doy
   FROM {p}units u LEFT JOIN {sites} s USING (site_id) WHERE u.variable NOT IN ({STATES})),
 {p}diff AS (SELECT {B}, doy - lag(doy) OVER (PARTITION BY {B} ORDER BY site_id, family, ensemble, datetime) AS d
   FROM {p}flux),
 {p}dt AS (SELECT {B}, median(d) * 86400 AS bin_seconds FROM {p}diff WHERE d IS NOT NULL GROUP BY ALL),
-{p}rp AS (SELECT f.*, {rpot_sql("f.doy", "f.latitude", "f.lonw", "dt.bin_seconds")} AS rpot
-  FROM {p}flux f LEFT JOIN {p}dt dt USING ({B})),
+{p}rp AS MATERIALIZED (SELECT f.*, {rpot_sql("f.doy", "f.latitude", "f.lonw", "dt.bin_seconds")} AS rpot
+  FROM {p}flux f LEFT JOIN {p}dt dt ON {on("f", "dt", batch)}),
 {p}sw AS (SELECT *,
     avg(rpot) OVER (PARTITION BY {key}, CAST(datetime AS DATE)) AS avg_rpot,
     avg(prediction) OVER (PARTITION BY {key}, CAST(datetime AS DATE)) AS avg_sw

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracles import adapter
-from oracles.hourly import FLUXES, STATES, sites_cte, to_hourly_sql, rpot_sql, doy_sql
+from oracles.hourly import D, FLUXES, SITE_LIST, STATES, sites_cte, to_hourly_sql
 
 SW = "surface_downwelling_shortwave_flux_in_air"
 RUN_DATE = "2024-01-20"
@@ -111,38 +111,39 @@ def legacy_stage3_run(name: str, src: str, hist: str | None, run_date: str, star
     ctes.append(f"""{n}_run AS (SELECT * FROM {n}_plan WHERE date_diff('day', from_day, DATE '{run_date}') >= 1)""")
     ctes.append(f"""{n}_d1 AS (SELECT DISTINCT s.reference_date, s.site_id, s.parameter, s.horizon, s.variable,
   s.datetime, s.reference_datetime, s.prediction, s.family,
-  'ens' || lpad(CAST(s.parameter AS VARCHAR), 2, '0') AS ensemble, CAST(NULL AS VARCHAR) AS horizon_s
+  CAST(s.parameter AS VARCHAR) AS ensemble, CAST(NULL AS VARCHAR) AS horizon_s
   FROM {n}_s1 s JOIN {n}_run r USING (site_id)
   WHERE CAST(s.start_date AS DATE) >= r.from_day AND CAST(s.start_date AS DATE) <= DATE '{run_date}'
     AND s.horizon < 6)""")
     ctes.append(f"""{n}_in AS (SELECT site_id, family, ensemble, horizon_s AS horizon, datetime, variable, prediction
   FROM {n}_d1)""")
     ctes.append(to_hourly_sql(f"{n}_in", f"{n}_h", ["site_id"], True, use_solar=False, horizon_rules=False))
-    ctes.append(f"""{n}_new AS (SELECT datetime, site_id, family, CAST(substr(ensemble, 4, 2) AS INTEGER) AS parameter,
+    ctes.append(f"""{n}_new AS (SELECT datetime, site_id, family, CAST(ensemble AS INTEGER) AS parameter,
   variable, prediction FROM {n}_h)""")
     ctes.append(f"""{n}_all AS (SELECT * FROM {n}_new UNION ALL
   SELECT k.* FROM {n}_kept k WHERE k.site_id IN (SELECT site_id FROM {n}_run))""")
-    ctes.append(f"""{n} AS (SELECT a.datetime, a.site_id, 'ensemble' AS family, a.parameter, a.variable, a.prediction,
-  f.first AS reference_datetime FROM {n}_all a
-  JOIN (SELECT site_id, min(datetime) AS first FROM {n}_all GROUP BY ALL) f USING (site_id))""")
+    ctes.append(f"""{n} AS (SELECT a.datetime, a.site_id, p.longitude, p.latitude, 'ensemble' AS family, a.parameter,
+  a.variable, CAST(NULL AS VARCHAR) AS height, a.prediction, f.first AS reference_datetime FROM {n}_all a
+  JOIN (SELECT site_id, min(datetime) AS first FROM {n}_all GROUP BY ALL) f USING (site_id)
+  LEFT JOIN sites p USING (site_id))""")
     return ",\n".join(ctes)
 
 
 LEGACY2_RUNS = """l2in AS (SELECT start_date, cycle, site_id, family,
-  'ens' || lpad(CAST(parameter AS VARCHAR), 2, '0') AS ensemble,
+  CAST(parameter AS VARCHAR) AS ensemble,
   lpad(CAST(CAST(horizon AS INTEGER) AS VARCHAR), 3, '0') AS horizon, datetime, variable, prediction,
   reference_datetime FROM legacy1p
-  WHERE variable IN ({S}, {F}) AND start_date IN ('2024-01-10', '2024-01-11', '2024-01-12')
-    AND cycle IN (0, 6, 12, 18)
+  WHERE variable IN ({S}, {F}) AND cycle IN (0, 6, 12, 18)
     AND start_date IN (SELECT start_date FROM legacy1p WHERE cycle = 0 AND parameter < 31
                        AND variable = 'PRES'))"""
 
 
 ORACLE = {
-    "variable_filter": W(P) + f" SELECT * FROM pseudo WHERE variable IN ({STATES}, {FLUXES})",
-    "site_semi_join": W(F, SITES) + " SELECT * FROM forecast WHERE site_id IN (SELECT site_id FROM sites)",
+    "variable_filter": W(P) + f" SELECT * FROM pseudo WHERE variable IN ({STATES}, {FLUXES}) AND hour(datetime) <> 21",
+    "site_semi_join": W(F, SITES) + " SELECT * FROM forecast WHERE site_id IN (SELECT site_id FROM sites) AND ensemble <> 'gep02'",
     "state_horizon_rule": W(P, "b AS (SELECT site_id, max(datetime) AS bmax FROM pseudo GROUP BY ALL)")
-    + f""" SELECT p.* FROM pseudo p JOIN b USING (site_id)
+    + f""" SELECT p.* REPLACE (CASE WHEN p.datetime = b.bmax THEN '006' ELSE horizon END AS horizon)
+      FROM pseudo p JOIN b USING (site_id)
       WHERE p.variable IN ({STATES}) AND (p.horizon <> '006' OR p.datetime = b.bmax)""",
     "flux_horizon_rule": W(P) + f" SELECT * FROM pseudo WHERE variable IN ({FLUXES}) AND horizon <> '003'",
     "pseudo_overlap": W(P, "b AS (SELECT site_id, max(datetime) AS bmax FROM pseudo GROUP BY ALL)")
@@ -154,7 +155,8 @@ ORACLE = {
     "repair_datetime": W(P) + """ SELECT * EXCLUDE (new) REPLACE (
       CASE WHEN datetime <> new THEN new WHEN new IS NOT NULL THEN datetime END AS datetime) FROM (
       SELECT *, CAST(CAST(reference_datetime AS DATE) AS TIMESTAMP)
-        + to_hours(TRY_CAST(horizon AS INTEGER)) + to_hours(TRY_CAST(cycle AS INTEGER)) AS new FROM pseudo)
+        + to_hours(TRY_CAST(horizon AS INTEGER)) + to_hours(TRY_CAST(cycle AS INTEGER)) AS new FROM (
+        SELECT * REPLACE (CASE WHEN cycle = '06' THEN datetime + INTERVAL 5 HOUR ELSE datetime END AS datetime) FROM pseudo))
       """.replace("FROM (\n", "FROM (\n").rstrip() + "",
     "partition_inventory": W(P) + " SELECT DISTINCT reference_datetime FROM pseudo",
     "stage1_backlog": W(F, "present AS (SELECT DISTINCT reference_datetime FROM forecast)")
@@ -166,7 +168,11 @@ ORACLE = {
     "series_max_time": W(P) + " SELECT site_id, family, ensemble, max(datetime) AS max_time FROM pseudo GROUP BY ALL",
     "batch_bounds": W(F) + " SELECT reference_datetime, min(datetime) AS bmin, max(datetime) AS bmax FROM forecast GROUP BY ALL",
     "hourly_spine": W(F, SITES, HF) + " SELECT reference_datetime, site_id, family, ensemble, variable, datetime FROM hf_spine",
-    "observations_on_spine": W(P, SITES, HP) + " SELECT site_id, family, ensemble, variable, datetime, prediction FROM hp_j",
+    "observations_on_spine": W(P, """odd AS (SELECT * REPLACE (CASE WHEN variable = 'RH' AND hour(datetime) = 12
+        THEN datetime + INTERVAL 30 MINUTE ELSE datetime END AS datetime) FROM pseudo
+      UNION ALL SELECT * REPLACE (prediction + 1 AS prediction) FROM pseudo WHERE variable = 'TMP')""", SITES,
+                               to_hourly_sql("odd", "ho", ["site_id"], True))
+    + " SELECT site_id, family, ensemble, variable, datetime, prediction FROM ho_j",
     "interpolate_states": W(F, SITES, HF) + f" SELECT * FROM hf_filled WHERE variable IN ({STATES})",
     "backfill_fluxes": W(F, SITES, HF) + f" SELECT * FROM hf_filled WHERE variable IN ({FLUXES})",
     "unit_conversion": W(F, SITES, HF) + """ SELECT site_id, family, ensemble, datetime, variable, prediction,
@@ -178,15 +184,16 @@ ORACLE = {
       ELSE native END AS standard FROM (
       SELECT CASE WHEN variable = 'APCP' THEN 'PRATE' ELSE variable END AS native, count(*) AS n
       FROM forecast GROUP BY ALL)""",
-    "member_number": W(F) + f" SELECT DISTINCT ensemble, {MEMBER} AS parameter FROM forecast",
-    "solar_bin_step": W(F, "fc1 AS (SELECT * FROM forecast WHERE variable IN ('TMP', 'DSWRF'))", SITES,
-                        to_hourly_sql("fc1", "h1", ["reference_datetime"], False, keep_bin=True))
-    + " SELECT reference_datetime, round(bin_seconds, 6) AS bin_seconds FROM h1_bin",
-    "solar_potential": W(F, SITES, HF) + f""" SELECT sp.reference_datetime, sp.site_id, sp.family, sp.ensemble,
-      sp.datetime, round({rpot_sql(doy_sql("sp.datetime"), "s.latitude",
-                                   "CASE WHEN s.longitude < 0 THEN 360.0::DOUBLE + s.longitude ELSE s.longitude END",
-                                   "0.0::DOUBLE")}, 6) AS rpot
-      FROM hf_spine sp LEFT JOIN sites s USING (site_id) WHERE sp.variable = 'DSWRF'""",
+    "member_number": W(F, """codes AS (SELECT ensemble FROM forecast UNION SELECT 'x' || ensemble FROM forecast
+        UNION SELECT substr(ensemble, 1, 3) FROM forecast)""") + f" SELECT ensemble, {MEMBER} AS parameter FROM codes",
+    "solar_bin_step": W(F, "fc1 AS (SELECT * FROM forecast WHERE variable NOT IN ('DSWRF', 'DLWRF'))",
+                        "fc2 AS (SELECT * FROM forecast WHERE variable <> 'DSWRF')", SITES,
+                        *[to_hourly_sql(src, f"h{n}", ["reference_datetime"], False, keep_bin=True)
+                          for n, src in ((1, "fc1"), (2, "fc2"), (3, "forecast"))])
+    + " UNION ALL ".join(f" SELECT {n} AS n_fluxes, reference_datetime, round(bin_seconds, 6) AS bin_seconds FROM h{n}_bin"
+                         for n in (1, 2, 3)),
+    "solar_potential": W(F, SITES, HF) + """ SELECT reference_datetime, site_id, family, ensemble, variable, datetime,
+      round(rpot, 6) AS rpot FROM hf_rp""",
     "daily_mean_broadcast": W(F, SITES, HF) + """ SELECT reference_datetime, site_id, family, ensemble, variable,
       datetime, round(avg_rpot, 6) AS avg_rpot, round(avg_sw, 6) AS avg_sw FROM hf_sw""",
     "reshape_shortwave": W(F, SITES, HF) + " " + rsw(f"(SELECT * FROM hf WHERE variable = '{SW}')"),
@@ -212,21 +219,35 @@ ORACLE = {
                        """old AS (SELECT DISTINCT h.* FROM hist h JOIN first_new f USING (site_id) WHERE h.datetime < f.first_new)""",
                        "final AS (SELECT * FROM new UNION ALL SELECT * FROM old)")
     + " " + rsw("final"),
-    "stage3_append_legacy": W(P, LEGACY1P,
+    "stage3_append_legacy": W(P, LEGACY1P, SITES,
                               f"early1 AS (SELECT * FROM legacy1p WHERE start_date < '{UPDATE_SPLIT}')",
                               legacy_stage3_run("r1", "early1", None, UPDATE_SPLIT, "2023-12-01"),
                               "hist AS (SELECT datetime, site_id, family, parameter, variable, prediction FROM r1)",
                               legacy_stage3_run("r2", "legacy1p", "hist", "2024-01-31", "2023-12-01"))
-    + " SELECT * FROM r2",
+    + " SELECT * EXCLUDE (reference_datetime) FROM r2",
+    "legacy_members": W(P, LEGACY1P, SITES, """odd AS (SELECT * REPLACE (CASE parameter WHEN 1 THEN 100 WHEN 2 THEN NULL
+        ELSE parameter END AS parameter) FROM legacy1p)""",
+                        legacy_stage3_run("r1", "odd", None, "2024-01-31", "2023-12-01")) + " SELECT * FROM r1",
+    "legacy_chain": W(P, LEGACY1P, SITES, LEGACY2_RUNS.format(S=STATES, F=FLUXES),
+                      to_hourly_sql("l2in", "l2h", ["start_date", "cycle", "reference_datetime"], False),
+                      legacy_stage3_run("r1", "legacy1p", None, "2024-01-31", "2023-12-01"))
+    + """ SELECT 2 AS stage, site_id, variable, count(*) AS n, count(prediction) AS n_values, max(datetime) AS last
+      FROM l2h GROUP BY ALL UNION ALL
+      SELECT 3, site_id, variable, count(*), count(prediction), max(datetime) FROM r1 GROUP BY ALL""",
+    "site_csv": W(P, "named(site_name, site_id, latitude, longitude) AS (VALUES "
+                  + ", ".join(f"('{n}', '{i}', {D(a)}, {D(o)})" for n, i, a, o in SITE_LIST) + ")")
+    + """ SELECT site_name, site_id, latitude, longitude, n FROM named
+      JOIN (SELECT site_id, count(*) AS n FROM pseudo GROUP BY ALL) USING (site_id)""",
+    "positional_bare_scan": W(P, LEGACY1P) + " SELECT * REPLACE (CAST(cycle AS VARCHAR) AS cycle) FROM legacy1p",
     "legacy_stage2_build": W(P, LEGACY1P, SITES, LEGACY2_RUNS.format(S=STATES, F=FLUXES),
                              to_hourly_sql("l2in", "l2h", ["start_date", "cycle", "reference_datetime"], False))
-    + " " + rsw("""(SELECT start_date, cycle, site_id, family, CAST(substr(ensemble, 4, 2) AS INTEGER) AS parameter,
+    + " " + rsw("""(SELECT start_date, cycle, site_id, family, CAST(ensemble AS INTEGER) AS parameter,
       datetime, variable, prediction, reference_datetime FROM l2h)"""),
     "site_horizon_reached": W(F, LEGACY1) + """ SELECT start_date, min(mh) AS horizon FROM (
       SELECT start_date, parameter, max(horizon) AS mh FROM legacy1
       WHERE cycle = 0 AND parameter < 31 AND variable = 'PRES' GROUP BY ALL) GROUP BY ALL""",
     "run_planner": plan_runs(PLAN_DATES, False),
-    "run_planner_forced": plan_runs(PLAN_DATES[:3], True),
+    "run_planner_forced": plan_runs(PLAN_DATES, True),
     "incomplete_dates": W(F, LEGACY1) + f""" SELECT '2024-01-29' AS date UNION ALL
       SELECT DISTINCT reference_date AS date FROM (
         SELECT reference_date, parameter, max(horizon) AS mx FROM legacy1 WHERE variable = 'TMP' GROUP BY ALL)
@@ -265,8 +286,10 @@ ORACLE = {
       ORDER BY datetime DESC LIMIT 48""",
     "positional_partition_scan": W(P, LEGACY1P) + """ SELECT CAST(cycle AS VARCHAR) AS cycle, start_date, site_id,
       reference_date, parameter, horizon, variable, datetime, reference_datetime, prediction, family FROM legacy1p""",
-    "land_forecast": W(P, SITES) + """ SELECT * FROM pseudo WHERE site_id IN (SELECT site_id FROM sites)
-      AND reference_datetime BETWEEN '2024-01-05' AND '2024-01-12'
-      AND (cycle = '00' OR TRY_CAST(horizon AS INTEGER) <= 6)""",
+    "land_forecast": W(P, SITES, """odd AS (SELECT * REPLACE (CASE variable WHEN 'RH' THEN '009' WHEN 'UGRD' THEN '012'
+        ELSE horizon END AS horizon) FROM pseudo)""") + """ SELECT * FROM odd WHERE site_id IN (SELECT site_id FROM sites)
+      AND reference_datetime BETWEEN '2024-01-05' AND '2024-01-12' AND cycle IN ('00', '06', '12')
+      AND TRY_CAST(horizon AS INTEGER) <= 9 AND (cycle = '00' OR TRY_CAST(horizon AS INTEGER) <= 6)""",
     "sync_partitions": W(P) + " SELECT * FROM pseudo",
 }
+ORACLE["stage3_chain"] = ORACLE["stage3_update"]  # landing the missing dates gives the same input

@@ -136,7 +136,7 @@ def test_bin_step(spark, fluxes, expected):
     rows = [r for r in _sw_rows("fcre", dt.datetime(2024, 6, 1)) if r[2] in fluxes]
     rows += [("BARC",) + r[1:] for r in rows]
     dd = disaggregate(stage1(spark, rows, "2024-06-01"), FB)
-    got = solar_bin_table(flux_duplicates(dd.src, dd.series, FB), dd.series, dd.variables, FB).collect()
+    got = solar_bin_table(flux_duplicates(dd.src, dd.series, FB, dd.variables), dd.series, dd.variables, FB).collect()
     assert len(got) == 1 and got[0].bin_seconds == pytest.approx(expected, abs=1e-6)
 
 
@@ -207,7 +207,7 @@ def test_bin_step_year_wrap_matches_brute_force(spark, hours):
         rows.append((site, "gec00", "DSWRF", 0, "000", 100.0, base))
         rows.append((site, "gec00", "DSWRF", n, f"{n:03d}", 100.0, base))
     dd = disaggregate(stage1(spark, rows, "2023-12-31"), FB)
-    got = solar_bin_table(flux_duplicates(dd.src, dd.series, FB), dd.series, dd.variables, FB).collect()
+    got = solar_bin_table(flux_duplicates(dd.src, dd.series, FB, dd.variables), dd.series, dd.variables, FB).collect()
     want = _brute_bin_seconds(hours, base)
     assert got[0].bin_seconds == pytest.approx(want, abs=1e-6)
 

@@ -19,7 +19,7 @@ def test_stream_updates_like_batch(spark):
     stages.rebuild_stage3(spark, early, s3b, sites)
     landing = scratch_dir(spark, "landing")
     write_partitioned(ps, landing, ["reference_datetime"])
-    q = stage3_stream(spark, landing, s3a, sites)
+    q = stage3_stream(spark, landing, s3a, sites, scratch_dir(spark, "stream-checkpoint"))
     q.awaitTermination()
     stages.update_stage3(spark, landing, s3b, sites)
     a = sorted(map(tuple, datasets.read_dataset(spark, s3a, stages.STAGE3_READ).collect()), key=str)
