@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from hourcast.llm.common import pick, prepare
 from hourcast.sinks.util import materialize
@@ -68,6 +68,8 @@ TEMPLATES = {
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
     "proprietary": ["All rights reserved."],
 }
+#: Lines, blocks or texts that are compared at once.
+STEP = 2048
 #: Trimmed from both ends of a word.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”‘’"
 
@@ -125,9 +127,9 @@ def word_weights(df: DataFrame, space: Space, text_col: str = "text") -> np.ndar
         seen, lines = np.zeros(len(space.words), dtype=np.int64), 0
         for batch in it:
             some = pa.array([x for t in batch.column("text").to_pylist() for x in _lines(t)], pa.string())
-            if len(some):
-                seen += (space.counts(some)[0] > 0).sum(axis=0)
-                lines += len(some)
+            lines += len(some)
+            for i in range(0, len(some), STEP):
+                seen += (space.counts(some.slice(i, STEP))[0] > 0).sum(axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(range(-1, len(seen)), pa.int32()), pa.array([lines, *seen.tolist()], pa.int64())],
                                          names=["word", "n"])
 
@@ -152,9 +154,10 @@ def scan(df: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_col
                     segments += parts
                     owner += [i] * len(parts)
                     role += [0 if not k and not j else kind for j in range(len(parts))]
-            score = space.scores(*space.counts(pa.array(segments, pa.string())), idf)
-            best = score.argmax(axis=1)
-            value = score[np.arange(len(best)), best]
+            best, value = np.zeros(len(segments), dtype=np.int64), np.zeros(len(segments))
+            for i in range(0, len(segments), STEP):
+                score = space.scores(*space.counts(pa.array(segments[i:i + STEP], pa.string())), idf)
+                best[i:i + STEP], value[i:i + STEP] = score.argmax(axis=1), score.max(axis=1)
             own, top = [None] * batch.num_rows, np.zeros(batch.num_rows)
             opens, whole = np.zeros(batch.num_rows, dtype=bool), np.zeros(batch.num_rows, dtype=bool)
             for s in np.flatnonzero(value >= min_score).tolist():
@@ -175,10 +178,10 @@ def inherit(files: DataFrame, license_file: str = LICENSE_FILE) -> DataFrame:
     files = files.withColumn("dir", F.regexp_replace(F.regexp_extract("path", r"^(.*/)?[^/]*$", 1), "/$", ""))
     files = materialize(files, "license_files")
     named = F.element_at(F.split("path", "/"), -1).rlike(license_file)
-    first = Window.partitionBy("dir").orderBy(F.desc("score"), "path", "own")
+    best = F.min(F.struct((-F.col("score")).alias("less"), "path", "own")).alias("best")  # pre-aggregated: a directory may be huge
     governing = (files.where("own is not null and path is not null").where(F.col("opens") | F.col("whole") | named)
-                 .select("dir", "own", "score", "path").withColumn("n", F.row_number().over(first)).where("n = 1")
-                 .select(F.col("dir").alias("above"), F.col("own").alias("license"), F.col("path").alias("license_from")))
+                 .groupBy("dir").agg(best)
+                 .select(F.col("dir").alias("above"), F.col("best.own").alias("license"), F.col("best.path").alias("license_from")))
     parts = F.split("dir", "/")
     dirs = files.where("path is not null").select("dir").distinct().withColumn("parts", parts)
     dirs = dirs.withColumn("levels", F.when(F.col("dir") == "", 0).otherwise(F.size("parts")))
