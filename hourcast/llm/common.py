@@ -9,13 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from hourcast.sinks.util import materialize
 
-#: Rows per Arrow batch handed to Python; long texts must not add up to gigabytes.
-ARROW_ROWS = 256
+#: Rows and bytes per Arrow batch handed to Python; long texts must not add up to gigabytes.
+ARROW_ROWS = 2048
+ARROW_BYTES = 16 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Session settings of the Python stages: small Arrow batches, whatever the text length."""
+    """Session settings of the Python stages: Arrow batches of bounded size, whatever the text length."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -130,12 +130,11 @@ class Counter:
             return none, none, none
         coded = words.dictionary_encode()
         memo, count = self.memo, self.automaton.count
-        found = []
-        for w in coded.dictionary.to_pylist():
-            n = memo.get(w)
+        known = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(memo.get, known))
+        for i, n in enumerate(found):
             if n is None:
-                n = memo[w] = count(w)
-            found.append(n)
+                found[i] = memo[known[i]] = count(known[i])
         if len(memo) > MEMO:
             memo.clear()
         n = np.array(found, dtype=np.int64)[coded.indices.to_numpy()]
