@@ -149,22 +149,30 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
           per_language: int = 300, train_bytes: int = 2048, max_languages: int = 64, **model) -> ByteCNN | None:
     """Fit on at most ``per_language`` rows of each of ``df``'s languages; None if there are none.
 
-    The ids and texts enter only the hash that draws the sample. The draw is a
-    window with a group limit: every task keeps its smallest hashes before the
-    shuffle, and the texts are read again for the rows drawn.
+    The ids and texts enter only the hash that draws the sample. Hashes are even, so
+    the rows below a bound taken from each language's count are about four times as
+    many as wanted, whatever the input's size; of these the smallest are drawn, and
+    their texts are read.
     """
     d = pick(df, id=id_col, text=text_col, lang=lang_col).where("lang is not null and text is not null")
     d = d.withColumn("h", F.xxhash64("id", "text"))
-    top = [r["lang"] for r in d.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()]
+    top = {r["lang"]: r["count"] for r in d.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()}
     if not top:
         return None
+
+    def below(bounds: dict[str, int]):
+        keep = F.lit(False)
+        for lang, bound in bounds.items():
+            keep = keep | ((F.col("lang") == lang) & (F.col("h") <= bound))
+        return keep
+
+    rough = {lang: min((1 << 63) - 1, (4 * per_language << 64) // n - (1 << 63)) for lang, n in top.items()}
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    drawn = d.where(F.col("lang").isin(top)).select("lang", "h").withColumn("n", place).where(F.col("n") <= per_language)
+    drawn = d.where(below(rough)).select("lang", "h").withColumn("n", place).where(F.col("n") <= per_language)
     limits = {r["lang"]: r["m"] for r in drawn.groupBy("lang").agg(F.max("h").alias("m")).collect()}
-    wanted = F.lit(False)
-    for lang, limit in limits.items():
-        wanted = wanted | ((F.col("lang") == lang) & (F.col("h") <= limit))
-    rows = (d.where(wanted).withColumn("text", F.substring("text", 1, train_bytes)).dropDuplicates(["lang", "h"])
+    if not limits:
+        return None
+    rows = (d.where(below(limits)).withColumn("text", F.substring("text", 1, train_bytes)).dropDuplicates(["lang", "h"])
             .select("lang", "text", "h").collect())  # per_language rows a language, train_bytes characters each
     languages = sorted(limits)
     net = ByteCNN(languages, **model)
