@@ -173,22 +173,35 @@ class Shard:
             return self.alphabet[:0]
         a, b = np.searchsorted(end, start, side="right"), np.searchsorted(end, stop - 1, side="right") + 1
         before = int(end[a - 1]) if a else 0
-        seq, k = self.sequence[a:b].astype(np.int64), len(self.alphabet)
-        while True:
-            rule = seq >= k
-            if not rule.any():
-                return self.alphabet[seq[start - before:stop - before]]
+        seq = self.sequence[a:b]
+        first = np.concatenate((np.arange(len(self.alphabet)), len(self.alphabet) + np.cumsum(self.lengths, dtype=np.int64) - self.lengths))
+        n = size[seq]
+        at = np.repeat(first[seq] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return self._ids_of_symbols()[at[start - before:stop - before]]
+
+    def _ids_of_symbols(self) -> np.ndarray:
+        """The alphabet, then every rule's ids: rules are few, so they are expanded once, all together."""
+        seq, k = self.rules.astype(np.int64).ravel(), len(self.alphabet)
+        while (rule := seq >= k).any():
             at = np.cumsum(1 + rule) - 1 - rule
             out = np.empty(len(seq) + int(rule.sum()), dtype=np.int64)
-            out[at] = np.where(rule, self.rules[np.where(rule, seq - k, 0), 0] if len(self.rules) else 0, seq)
-            out[at[rule] + 1] = self.rules[seq[rule] - k, 1]
+            out[at[~rule]] = seq[~rule]
+            out[at[rule]], out[at[rule] + 1] = self.rules[seq[rule] - k].T
             seq = out
+        return np.concatenate((self.alphabet, self.alphabet[seq]))
 
 
 def re_pair(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(alphabet, rules, expansion lengths, sequence); each round replaces the most frequent pairs."""
-    alphabet, seq = np.unique(ids, return_inverse=True)
-    seq = seq.astype(np.int64)
+    if len(ids) and ids.max() < 1 << 20:  # a table instead of a sort
+        place = np.zeros(int(ids.max()) + 1, dtype=np.int64)
+        place[ids] = 1
+        alphabet = np.flatnonzero(place)
+        place[alphabet] = np.arange(len(alphabet))
+        seq = place[ids]
+    else:
+        alphabet, seq = np.unique(ids, return_inverse=True)
+        seq = seq.astype(np.int64)
     n, rules, lengths = len(alphabet), [], np.ones(len(alphabet), dtype=np.int64)
     for _ in range(MAX_ROUNDS):
         if len(seq) < MIN_USES:
@@ -206,6 +219,10 @@ def re_pair(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
             break
         if len(pairs) > PAIRS_PER_ROUND:
             pairs = np.sort(pairs[np.argsort(-count, kind="stable")[:PAIRS_PER_ROUND]])
+        chosen = np.zeros(0x40000, dtype=bool)
+        chosen[(pairs * 0x9E3779B1 >> 7) & 0x3FFFF] = True
+        may = chosen[bucket[at]]
+        at, code = at[may], code[may]
         which = np.minimum(np.searchsorted(pairs, code), len(pairs) - 1)
         hit = pairs[which] == code
         at, which = at[hit], which[hit]
