@@ -262,3 +262,58 @@ def test_ranks_are_dense(spark):
     rows = ranked(df, ["k", "id"], "ranks", 5).collect()
     assert [(r.k, r.id) for r in sorted(rows, key=lambda r: r._rank)] == sorted((r.k, r.id) for r in rows)
     assert sorted(r._rank for r in rows) == list(range(1000))
+
+
+# ---- token counts by the model's own pieces ---------------------------------------
+
+def model_greedy():
+    """Greedy matching of the marked word over the model file's pieces, bytes for what has none."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=token_count.default_vocabulary())
+    pieces = {sp.id_to_piece(i) for i in range(sp.get_piece_size())
+              if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))}
+    longest = max(map(len, pieces))
+
+    def count(word):
+        s, i, n = "▁" + word, 0, 0
+        while i < len(s):
+            j = next((j for j in range(min(len(s), i + longest), i, -1) if s[i:j] in pieces), None)
+            i, n = (j, n + 1) if j else (i + 1, n + len(s[i].encode()))
+        return n
+    return count
+
+
+def test_counts_against_the_models_own_pieces(spark):
+    want = model_greedy()
+    assert [want(w) for w in ("2024", "1,000", "2024-01-31T10:00:00Z")] == [5, 6, 21]
+    texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    r = random.Random(12)
+    letters = "2 0 , ñ Ñ ß ç ê 漢 字 語 😀 ▁ ▁▁ the ing a Z 　 \U000e0041 \U00012000".split(" ")
+    texts += [(-1 - i, " ".join("".join(r.choices(letters, k=r.randint(1, 9))) for _ in range(20))) for i in range(200)]
+    texts += [(-500, "漢字2024" * 5000), (-501, "2024 1,000 ñ")]
+    got = {r.id: r for r in token_count.token_counts(docs(spark, texts)).collect()}
+    for i, t in texts:
+        n = [want(w.decode()) for w in t.encode().split()]
+        assert (got[i].n_words, got[i].n_tokens, got[i].n_unknown) == (len(n), sum(n), 0), t
+
+
+def test_automaton_with_bare_mark_and_bytes():
+    def brute(word, start, inner, mark):
+        i = n = 0
+        if not any(word.startswith(p) for p in start if p):
+            n = 1 if mark else 3
+        else:
+            i, n = max(len(p) for p in start if p and word.startswith(p)), 1
+        while i < len(word):
+            j = max((len(p) for p in inner if word.startswith(p, i)), default=0)
+            i, n = (i + j, n + 1) if j else (i + 1, n + len(word[i].encode()))
+        return n
+    r = random.Random(13)
+    for k in range(200):
+        start = {"".join(r.choices("abß", k=r.randint(1, 5))) for _ in range(r.randint(0, 6))}
+        inner = {"".join(r.choices("abß", k=r.randint(1, 4))) for _ in range(r.randint(0, 6))}
+        a = token_count.Automaton({*start, ""} if k % 2 else start, inner, by_bytes=True)
+        for _ in range(40):
+            w = "".join(r.choices("abß漢", k=r.randint(1, 12)))
+            assert a.count(w) == brute(w, start, inner, k % 2), (w, start, inner)
