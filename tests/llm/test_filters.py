@@ -70,6 +70,17 @@ def test_quality_edges(spark):
     assert got[None].n_words == 0 and got[None].base_failed and not got[None].kept and got[1].n_words == 2
 
 
+def test_quality_takes_out_long_boilerplate(spark):
+    prose = "This is a clean line of plain prose that says something new and then comes to its end, as lines of prose should do."
+    cookies = "We use cookies and similar techniques to make this site work, to measure how it is used and to show you what may be of interest, " \
+              "and we share what we learn with partners who may join it with what you have told them or what they have gathered elsewhere."
+    assert len(cookies) > 200
+    short, lost = prose + "\n" + cookies[:150] + ".", prose + "\n" + cookies
+    got = {r.id: r for r in quality.cleaned(docs(spark, [(1, short), (2, lost), (3, prose + " " + prose.upper())])).collect()}
+    assert [got[i].n_removed for i in (1, 2, 3)] == [1, 1, 0]
+    assert got[2].clean_text == prose and not got[2].kept and got[3].kept
+
+
 # ---- language -----------------------------------------------------------------
 
 def test_language_held_out_accuracy(spark):
