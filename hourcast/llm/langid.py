@@ -9,8 +9,9 @@ probabilities again.
 
 Training (Adam, on the driver) uses at most ``per_language`` labelled texts of each
 language, those with the smallest hash of id and text, and at most ``train_bytes``
-of each: a bounded sample; the bounds are parameters. Languages beyond
-``max_languages`` (by row count) are not learned. Prediction reads whole texts.
+of each: a bounded sample; the bounds are parameters. Every non-null label is
+learned, however many there are, so the sample and the time to train grow with
+their number. Prediction reads whole texts.
 
 Null text and text without a letter give ``und`` with score 0. So does an operator
 that was trained on no rows. Repeated rows are predicted alike.
@@ -146,7 +147,7 @@ def windows_of(data: bytes, window: int) -> np.ndarray:
 
 
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          per_language: int = 300, train_bytes: int = 2048, max_languages: int = 64, **model) -> ByteCNN | None:
+          per_language: int = 300, train_bytes: int = 2048, **model) -> ByteCNN | None:
     """Fit on at most ``per_language`` rows of each of ``df``'s languages; None if there are none.
 
     The ids and texts enter only the hash that draws the sample. Hashes are even, so
@@ -156,25 +157,25 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """
     d = pick(df, id=id_col, text=text_col, lang=lang_col).where("lang is not null and text is not null")
     d = d.withColumn("h", F.xxhash64("id", "text"))
-    top = {r["lang"]: r["count"] for r in d.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()}
-    if not top:
+    counts = {r["lang"]: r["count"] for r in d.groupBy("lang").count().collect()}  # one row a language
+    if not counts:
         return None
 
-    def below(bounds: dict[str, int]):
-        keep = F.lit(False)
-        for lang, bound in bounds.items():
-            keep = keep | ((F.col("lang") == lang) & (F.col("h") <= bound))
-        return keep
+    def below(bounds: dict[str, int]) -> DataFrame:
+        """Rows whose hash is at most their language's bound; joined, so that any number of languages can be asked for."""
+        at = df.sparkSession.createDataFrame(list(bounds.items()), "lang string, bound long")
+        return d.join(F.broadcast(at), "lang").where("h <= bound")
 
-    rough = {lang: min((1 << 63) - 1, (4 * per_language << 64) // n - (1 << 63)) for lang, n in top.items()}
+    rough = {lang: min((1 << 63) - 1, (4 * per_language << 64) // n - (1 << 63)) for lang, n in counts.items()}
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    drawn = d.where(below(rough)).select("lang", "h").withColumn("n", place).where(F.col("n") <= per_language)
+    drawn = below(rough).select("lang", "h").withColumn("n", place).where(F.col("n") <= per_language)
     limits = {r["lang"]: r["m"] for r in drawn.groupBy("lang").agg(F.max("h").alias("m")).collect()}
     if not limits:
         return None
-    rows = (d.where(below(limits)).withColumn("text", F.substring("text", 1, train_bytes)).dropDuplicates(["lang", "h"])
+    rows = (below(limits).withColumn("text", F.substring("text", 1, train_bytes)).dropDuplicates(["lang", "h"])
             .select("lang", "text", "h").collect())  # per_language rows a language, train_bytes characters each
     languages = sorted(limits)
+    place_of = {lang: i for i, lang in enumerate(languages)}
     net = ByteCNN(languages, **model)
     x, y = [], []
     for r in sorted(rows, key=lambda r: (r["lang"], r["h"])):
@@ -182,10 +183,10 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         if has_letter(r["text"]):
             w = windows_of(data, net.window)
             x.append(w)
-            y += [languages.index(r["lang"])] * len(w)
+            y += [place_of[r["lang"]]] * len(w)
             short = windows_of(data[: max(8, len(data) % 97)], net.window)  # short texts must be told apart too
             x.append(short)
-            y.append(languages.index(r["lang"]))
+            y.append(place_of[r["lang"]])
     return net.fit(np.concatenate(x), np.array(y)) if x else None
 
 

@@ -117,6 +117,15 @@ def test_language_edges(spark):
     assert langid.predict(d.limit(0), net).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    letters = [chr(0x4E00 + 40 * i) + chr(0x4E00 + 40 * i + 7) for i in range(150)]
+    data = [(i * 20 + k, (pair + " ") * 12, f"l{i:03d}") for i, pair in enumerate(letters) for k in range(2 if i else 20)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    net = langid.train(df, per_language=4)
+    assert net.languages == [f"l{i:03d}" for i in range(150)]
+    assert langid.train(df.selectExpr("doc_id", "text", "cast(null as string) as lang")) is None
+
+
 def test_tables_are_the_convolution():
     net = langid.ByteCNN(["a", "b", "c"], window=32)
     x = np.random.default_rng(0).integers(0, 256, (5, 32)).astype(np.uint8)
