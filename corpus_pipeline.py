@@ -16,12 +16,12 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told go on: those predicted ``und`` are rejected."""
+    """Documents with a letter go on, a null language filled with the predicted one; the others (``und``) are rejected."""
     docs = pick(docs, **{c: c for c in COLUMNS})
     net = langid.train(docs)
     found = langid.predict(docs.withColumn("whole", F.col("text")), net, carry=("whole", "lang", "source", "n_chars"))
     return found.where(F.col("lang_pred") != langid.UND).select(
-        F.col("id").alias("doc_id"), F.col("c_whole").alias("text"), F.col("c_lang").alias("lang"),
+        F.col("id").alias("doc_id"), F.col("c_whole").alias("text"), F.coalesce("c_lang", "lang_pred").alias("lang"),
         F.col("c_source").alias("source"), F.col("c_n_chars").alias("n_chars"))
 
 

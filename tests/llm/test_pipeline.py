@@ -83,3 +83,11 @@ def test_stages_on_awkward_rows(spark):
         if name != "best_fit_packing":
             assert out.columns[:5] == corpus_pipeline.COLUMNS and empty.columns[:5] == corpus_pipeline.COLUMNS
         assert {r.doc_id for r in out.collect()} >= {3}, name
+
+
+def test_null_language_is_filled(spark):
+    rows = [(i, text, lang, "s", 1) for i, (text, lang) in enumerate([("balka mo balmo " * 9, "aa"), ("schei ü eisch " * 9, "bb")] * 40)]
+    rows += [(100, "balka mo balmo " * 5, None, "s", 1), (101, "schei ü eisch " * 5, None, "s", 1), (102, "12 34", None, "s", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.lang for r in corpus_pipeline.language(spark, df, SF).collect()}
+    assert got == {**{i: lang for i, _, lang, _, _ in rows[:80]}, 100: "aa", 101: "bb"}
