@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hourcast.llm import (
-    decontaminate, html_extract, langid, license_scan, packing, quality, simhash, token_count, token_store, warc_fixity)
+    decontaminate, html_extract, langid, license_scan, mixture, packing, quality, simhash, token_count, token_store, variants,
+    warc_fixity, whitening)
 from hourcast.llm.common import table
 from hourcast.session import scratch_dir
 from hourcast.sinks.util import materialize
@@ -103,6 +104,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), _held_out("id").alias("held_out"), "lang_pred", "score")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the four leading components of the distinct vectors, scaled to unit variance."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of ``documents``, the frequent word each is a variant of, and the end of that chain."""
+    return variants.forms(variants.word_counts(table(spark, sf_dir, "documents")))
+
+
+def op13_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in full windows that hold every source by its share of the tokens."""
+    return mixture.pack(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -114,6 +131,9 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_mixture_packing": op13_mixture_packing,
 }
 
 ORACLE_SQL = {
@@ -159,5 +179,28 @@ r AS (SELECT d.doc_id, len(w.ws)::BIGINT AS n_words,
       FROM d JOIN w USING (rid) LEFT JOIN rep USING (rid) LEFT JOIN ls USING (rid)),
 b AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM r)
 SELECT *, NOT base_failed AND lost_chars <= {quality.MAX_LOST} * word_chars AS kept FROM b
+""",
+    "op12_spelling_variants": rf"""
+WITH poly AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
+              FROM (SELECT unnest(range(256))::BIGINT AS b)),
+d AS (SELECT coalesce(doc_id::VARCHAR, '') || ':' AS head, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+r AS (SELECT head, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM d GROUP BY ALL),
+h AS (SELECT run, n, xor(list_reduce(string_split(regexp_replace(hex(head || run), '(..)', '\1 ', 'g'), ' ')[:strlen(head || run)],
+                                    lambda c, x: xor(c >> 8, t[(xor(c, ('0x' || x)::BIGINT) & 255) + 1]), 4294967295), 4294967295) AS h
+      FROM r, poly),
+w AS (SELECT CASE WHEN h % {variants.DAMAGE} = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM h),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM w GROUP BY word HAVING sum(n) >= {variants.MIN_USES} AND length(word) >= {variants.MIN_LETTERS}),
+k AS (SELECT word, n, unnest(range(length(word))) AS i FROM v),
+hole AS (SELECT word, n, i, word[:i] || '.' || word[i + 2:] AS blanked, word[:i] || word[i + 2:] AS shorter FROM k),
+near AS (SELECT a.word, b.word AS other, b.n AS m FROM hole a JOIN hole b ON a.blanked = b.blanked AND a.word <> b.word
+         UNION SELECT a.word, b.word, b.n FROM hole a JOIN v b ON a.shorter = b.word
+         UNION SELECT b.word, a.word, a.n FROM hole a JOIN v b ON a.shorter = b.word),
+best AS (SELECT word, count(*) AS n_near, max(m) AS m, arg_min(other, (-m, other)) AS other FROM near GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN m >= {variants.RATIO} * v.n THEN other END AS form,
+             CASE WHEN m >= {variants.RATIO} * v.n THEN m END::BIGINT AS form_n FROM v LEFT JOIN best USING (word)),
+chain AS (WITH RECURSIVE c AS (SELECT word, word AS root, form AS further FROM f
+                               UNION ALL SELECT c.word, c.further, f.form FROM c JOIN f ON f.word = c.further)
+          SELECT word, root FROM c WHERE further IS NULL)
+SELECT f.word, form, root, f.n, n_near, form_n FROM f JOIN chain USING (word)
 """,
 }
