@@ -183,7 +183,7 @@ SELECT *, NOT base_failed AND lost_chars <= {quality.MAX_LOST} * word_chars AS k
     "op12_spelling_variants": rf"""
 WITH poly AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
               FROM (SELECT unnest(range(256))::BIGINT AS b)),
-d AS (SELECT coalesce(doc_id::VARCHAR, '') || ':' AS head, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+d AS (SELECT coalesce(doc_id::VARCHAR, '') || ':' AS head, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
 r AS (SELECT head, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM d GROUP BY ALL),
 h AS (SELECT run, n, xor(list_reduce(string_split(regexp_replace(hex(head || run), '(..)', '\1 ', 'g'), ' ')[:strlen(head || run)],
                                     lambda c, x: xor(c >> 8, t[(xor(c, ('0x' || x)::BIGINT) & 255) + 1]), 4294967295), 4294967295) AS h
