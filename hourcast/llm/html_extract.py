@@ -13,8 +13,8 @@ without semantic tags, with unclosed tags) whose main blocks are known. Any list
 (html, main blocks) can be used in its place.
 
 Text: character references are decoded, white space in a block becomes one space,
-blocks are trimmed and joined by an empty line. Scripts, styles, templates and
-other hidden elements have no text. Null html counts as empty and gives an empty
+blocks are trimmed and joined by an empty line. Scripts, styles, templates, closed media
+and drawing elements and elements hidden by attribute or style have no text. Null html counts as empty and gives an empty
 text; so does a page without content. Repeated rows are extracted alike.
 """
 
@@ -32,16 +32,19 @@ from pyspark.sql import DataFrame
 
 from hourcast.llm.common import pick, prepare
 
+#: One attribute, as browsers read it: a quote opens a value only right after the equals sign; name, quoted or bare value.
+ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++))?+)?+""")
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|" + re.sub(r"\((?=[\[\"'])(?!\?)", "(?:", ATTRIBUTE.pattern) + r")*+)(?:>|\Z)", re.S)
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-NAMED = frozenset({"class", "id", "role", "style", "aria-label"})
+NAMED = frozenset({"class", "id", "role", "aria-label"})
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is not text of the page.
-SILENT = frozenset("script style title textarea iframe noscript template svg math object canvas audio video".split())
+SILENT = frozenset("script style title textarea iframe noscript template".split())
+#: Elements left out with all they hold, if they are closed; of one that isn't, only the tag is.
+SKIPPED = frozenset("svg object canvas audio video annotation annotation-xml".split())
 #: Elements that end the run of text around them.
 BLOCK = frozenset(
     "html body address article aside blockquote button caption center dd details dialog dir div dl dt fieldset figcaption "
@@ -73,18 +76,41 @@ class Tree:
         return len(self.parent) - 1
 
 
-def _names(attributes: str) -> list[str]:
-    words = []
+def _attributes(attributes: str) -> Iterator[tuple[str, str]]:
     for name, *values in ATTRIBUTE.findall(attributes):
-        if name.lower() in NAMED:
-            value = "".join(values)
-            if name.lower() != "style":
-                words += [w.lower() for w in NAME_PART.findall(value)]
-            elif re.search(r"display\s*:\s*none", value):
-                words.append("hidden")
-    if re.search(r"\bhidden\b(?!\s*=\s*[\"']?false)", attributes):
-        words.append("hidden")
-    return words
+        yield name.lower(), "".join(values)
+
+
+def _names(attributes: str) -> list[str]:
+    return [w.lower() for name, value in _attributes(attributes) if name in NAMED for w in NAME_PART.findall(value)]
+
+
+def _is_hidden(attributes: str) -> bool:
+    """Whether the element isn't shown: the attribute ``hidden``, or a style that hides it."""
+    if "hidden" not in attributes.lower() and "none" not in attributes.lower():
+        return False
+    return any(name == "hidden" and value.lower() != "false"
+               or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)
+               for name, value in _attributes(attributes))
+
+
+def _closes_itself(attributes: str) -> bool:
+    """Whether a slash ends the tag; one at the end of a bare value belongs to the value."""
+    end = 0
+    for end in (m.end() for m in ATTRIBUTE.finditer(attributes)):
+        pass
+    return "/" in attributes[end:]
+
+
+def _ends(html: str, name: str) -> dict[int, int]:
+    """End of each closed element of that name, by the place of its start tag."""
+    opened, out = [], {}
+    for m in re.finditer(rf"<(/?){name}(?=[\s/>])[^>]*>?", html, re.I):
+        if not m[1]:
+            opened.append(m.start())
+        elif opened:
+            out[opened.pop()] = m.end()
+    return out
 
 
 def parse(html: str | None) -> Tree:
@@ -92,9 +118,10 @@ def parse(html: str | None) -> Tree:
     tree = Tree()
     if not html:
         return tree
-    open_tags: list[tuple[str, int]] = [("", 0)]  # name and the node of the nearest block
+    open_tags: list[tuple[str, int, bool]] = [("", 0, False)]  # name, the node of the nearest block, whether hidden
     run: list[str] = []
-    links, linked, at, end = 0, 0, 0, len(html)
+    ends: dict[str, dict[int, int]] = {}
+    links, linked, hidden, at, end = 0, 0, 0, 0, len(html)
 
     def flush() -> None:
         nonlocal linked
@@ -106,12 +133,13 @@ def parse(html: str | None) -> Tree:
         linked = 0
 
     def pop_to(depth: int) -> None:
-        nonlocal links
+        nonlocal links, hidden
         while len(open_tags) > depth:
-            name, _ = open_tags[-1]
+            name, _, unseen = open_tags[-1]
             if name in BLOCK:
                 flush()
             links -= name == "a"
+            hidden -= unseen
             open_tags.pop()
 
     def close(names, stop) -> None:
@@ -125,7 +153,7 @@ def parse(html: str | None) -> Tree:
     while at < end:
         tag = TOKEN.search(html, at)
         piece = html[at:tag.start()] if tag else html[at:]
-        if piece:
+        if piece and not hidden:
             if "&" in piece:
                 piece = html_lib.unescape(piece)
             run.append(piece)
@@ -144,9 +172,13 @@ def parse(html: str | None) -> Tree:
                 close((name,), BLOCK)
             continue
         if name in SILENT:
-            if not tag[3].rstrip().endswith("/"):
+            if not _closes_itself(tag[3]):
                 over = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
                 at = over.end() if over else end
+        elif name in SKIPPED:
+            if name not in ends:
+                ends[name] = _ends(html, name)
+            at = max(at, ends[name].get(tag.start(), at))
         elif name == "br":
             run.append(" ")
         elif name == "hr":
@@ -159,10 +191,14 @@ def parse(html: str | None) -> Tree:
                 close(*CLOSES[name])
             flush()
             features = [f"tag={name}", *{f"name={w}" for w in _names(tag[3])}] if tag[3] else [f"tag={name}"]
-            open_tags.append((name, tree.add(open_tags[-1][1], features)))
+            unseen = bool(tag[3]) and _is_hidden(tag[3])
+            hidden += unseen
+            open_tags.append((name, tree.add(open_tags[-1][1], features), unseen))
         elif name not in VOID:
             links += name == "a"
-            open_tags.append((name, open_tags[-1][1]))
+            unseen = bool(tag[3]) and _is_hidden(tag[3])
+            hidden += unseen
+            open_tags.append((name, open_tags[-1][1], unseen))
     flush()
     return tree
 

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from hourcast.llm.common import pick, prepare
+from hourcast.sinks.util import materialize
 
 UND = "und"
 
@@ -146,33 +147,34 @@ def windows_of(data: bytes, window: int) -> np.ndarray:
     return x.reshape(n, window)
 
 
-def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
           per_language: int = 300, train_bytes: int = 2048, **model) -> ByteCNN | None:
     """Fit on at most ``per_language`` rows of each of ``df``'s languages; None if there are none.
 
-    The ids and texts enter only the hash that draws the sample. Hashes are even, so
-    the rows below a bound taken from each language's count are about four times as
-    many as wanted, whatever the input's size; of these the smallest are drawn, and
-    their texts are read.
+    Only texts and languages enter, not the ids. The sample is drawn by the texts' hashes, each once,
+    so copies don't crowd it. Hashes are even, so those below a bound taken from each language's
+    count are about four times as many as wanted, whatever the input's size; of
+    these the smallest are drawn, and their texts are read.
     """
-    d = pick(df, id=id_col, text=text_col, lang=lang_col).where("lang is not null and text is not null")
-    d = d.withColumn("h", F.xxhash64("id", "text"))
-    counts = {r["lang"]: r["count"] for r in d.groupBy("lang").count().collect()}  # one row a language
+    d = pick(df, text=text_col, lang=lang_col).where("lang is not null and text is not null")
+    d = d.withColumn("h", F.xxhash64("text"))
+    hashes = materialize(d.select("lang", "h").distinct(), "text_hashes")
+    counts = {r["lang"]: r["count"] for r in hashes.groupBy("lang").count().collect()}  # one row a language
     if not counts:
         return None
 
-    def below(bounds: dict[str, int]) -> DataFrame:
+    def below(rows: DataFrame, bounds: dict[str, int]) -> DataFrame:
         """Rows whose hash is at most their language's bound; joined, so that any number of languages can be asked for."""
         at = df.sparkSession.createDataFrame(list(bounds.items()), "lang string, bound long")
-        return d.join(F.broadcast(at), "lang").where("h <= bound")
+        return rows.join(at, "lang").where("h <= bound")
 
     rough = {lang: min((1 << 63) - 1, (4 * per_language << 64) // n - (1 << 63)) for lang, n in counts.items()}
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    drawn = below(rough).select("lang", "h").withColumn("n", place).where(F.col("n") <= per_language)
+    drawn = below(hashes, rough).withColumn("n", place).where(F.col("n") <= per_language)
     limits = {r["lang"]: r["m"] for r in drawn.groupBy("lang").agg(F.max("h").alias("m")).collect()}
     if not limits:
         return None
-    rows = (below(limits).withColumn("text", F.substring("text", 1, train_bytes)).dropDuplicates(["lang", "h"])
+    rows = (below(d, limits).withColumn("text", F.substring("text", 1, train_bytes)).dropDuplicates(["lang", "h"])
             .select("lang", "text", "h").collect())  # per_language rows a language, train_bytes characters each
     languages = sorted(limits)
     place_of = {lang: i for i, lang in enumerate(languages)}

@@ -3,12 +3,13 @@
 Every non-blank line of a text is judged on its own:
 
 * punctuation: it holds no sentence end (``.``, ``!``, ``?`` or an ellipsis, closing
-  quotes allowed, before white space or the line's end);
+  quotes allowed, before white space or the line's end; or a stop of another script
+  anywhere), nor a long run of a script that has no stops (Thai, Lao);
 * navigation: at least ``MIN_SEPARATORS`` menu separators, one for every
   ``WORDS_PER_SEPARATOR`` words or more;
 * symbols: more than one of ``#*$%&|<>`` for every ``WORDS_PER_SYMBOL`` words;
-* boilerplate: a line, of any length, with a stock phrase of sites (cookies, rights,
-  licences, sign-up).
+* boilerplate: the sentences with a stock phrase of sites (cookies, rights, licences,
+  sign-up) hold at least ``MAX_STOCK`` of the line. Prose that mentions one stays.
 
 Failing lines are removed. A document is kept if it passes the base rules (20
 words or more, at most 30 % of the words in repeated 8-word windows) and the
@@ -32,13 +33,14 @@ WINDOW = 8
 MIN_SEPARATORS = 3
 WORDS_PER_SEPARATOR = 4
 WORDS_PER_SYMBOL = 2
-BOILERPLATE_CHARS = 200  # the SQL oracle's bound; the operator has none
+MAX_STOCK = 0.5
 MAX_LOST = 0.5
 
 #: Patterns are kept to what Java and RE2 read alike, so that the SQL oracle can share them.
 SPLIT = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
-SENTENCE_END = "[.!?…][\"'»”’)\\]]*([\\x20\\x09-\\x0D]|\\z)"
+SENTENCE_END = "[.!?…][\"'»”’)\\]]*([\\x20\\x09-\\x0D]|\\z)|[。！？｡।॥؟۔։።፧။།។]|[ก-๛ກ-ໟ]{20}"
+STOPS = "[.!?…。！？｡।॥؟۔։።፧။།។]"
 SEPARATORS = "|»›·•>"
 SYMBOLS = "#*$%&|<>"
 BOILERPLATE = (
@@ -91,13 +93,21 @@ def _repeat_words(words: Column) -> Column:
     return let(words, count)
 
 
+def _is_stock(line: Column) -> Column:
+    """Whether sentences with a stock phrase hold the given share of the line; most lines have none."""
+    def share(pieces: Column) -> Column:
+        size = lambda xs: F.aggregate(xs, F.lit(0), lambda n, x: n + F.length(x))
+        return size(F.filter(pieces, lambda x: x.rlike(BOILERPLATE))) >= MAX_STOCK * size(pieces)
+    return F.when(line.rlike(BOILERPLATE), let(F.split(line, STOPS), share)).otherwise(False)
+
+
 def _line_fails(line: Column) -> Column:
     n = F.size(_words(line))
     separators, symbols = _count(line, SEPARATORS), _count(line, SYMBOLS)
     return (~line.rlike(SENTENCE_END)
             | ((separators >= MIN_SEPARATORS) & (separators * WORDS_PER_SEPARATOR >= n))
             | ((symbols > 0) & (symbols * WORDS_PER_SYMBOL > n))
-            | line.rlike(BOILERPLATE))
+            | _is_stock(line))
 
 
 def cleaned(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:

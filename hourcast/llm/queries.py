@@ -166,7 +166,10 @@ lx AS (SELECT rid, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
 lj AS (SELECT *, NOT regexp_matches(line, '{quality.SENTENCE_END.replace("'", "''")}')
               OR (seps >= {quality.MIN_SEPARATORS} AND seps * {quality.WORDS_PER_SEPARATOR} >= n)
               OR syms * {quality.WORDS_PER_SYMBOL} > n
-              OR (length(line) <= {quality.BOILERPLATE_CHARS} AND regexp_matches(line, '{quality.BOILERPLATE}')) AS fails FROM lx),
+              OR (regexp_matches(line, '{quality.BOILERPLATE}')
+                  AND list_sum(list_transform(list_filter(string_split_regex(line, '{quality.STOPS}'),
+                      lambda x: regexp_matches(x, '{quality.BOILERPLATE}')), lambda x: length(x)))
+                      >= {quality.MAX_STOCK} * length(regexp_replace(line, '{quality.STOPS}', '', 'g'))) AS fails FROM lx),
 ls AS (SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines,
               count(*) FILTER (fails) AS n_removed, coalesce(sum(chars) FILTER (fails), 0) AS lost_chars
        FROM lj GROUP BY rid),

@@ -6,7 +6,8 @@ most frequent pairs of neighbouring ids are replaced by new symbols, round after
 round, until no pair is frequent enough to pay for its rule. A shard stores its
 alphabet, the rules, how many ids each rule expands to, the remaining sequence and
 its documents' ids and lengths. Running sums of the expansion lengths lead from any
-position to the symbols that cover it, so a range is decoded without the rest.
+position to the symbols that cover it, so a range is decoded without the rest of the
+sequence (a read expands the shard's rules, which are few, once).
 
 Files are Parquet with one row a shard: task and number of the shard, its ids'
 count, and the shard in the binary layout of ``Shard.pack``. They are written by
@@ -37,7 +38,6 @@ SHARD_TOKENS = 1 << 17
 #: Uses that make a rule worth its place.
 MIN_USES = 8
 PAIRS_PER_ROUND = 1024
-MAX_ROUNDS = 12
 #: Words whose ids a worker remembers.
 MEMO = 800_000
 MAGIC = b"RPS1"
@@ -164,7 +164,7 @@ class Shard:
         return cls(out[0], out[1].reshape(-1, 2), out[2], out[3], out[4], out[5].astype(bool), out[6])
 
     def decode(self, start: int = 0, stop: int | None = None) -> np.ndarray:
-        """Ids from ``start`` to ``stop``; only the symbols that cover them are expanded."""
+        """Ids from ``start`` to ``stop``: all rules are expanded once, of the sequence only the symbols that cover them."""
         size = np.concatenate((np.ones(len(self.alphabet), dtype=np.int64), self.lengths.astype(np.int64)))
         end = np.cumsum(size[self.sequence])
         total = int(end[-1]) if len(end) else 0
@@ -203,9 +203,7 @@ def re_pair(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
         alphabet, seq = np.unique(ids, return_inverse=True)
         seq = seq.astype(np.int64)
     n, rules, lengths = len(alphabet), [], np.ones(len(alphabet), dtype=np.int64)
-    for _ in range(MAX_ROUNDS):
-        if len(seq) < MIN_USES:
-            break
+    while len(seq) >= MIN_USES:  # every round makes the sequence shorter
         code = seq[:-1] * n + seq[1:]
         bucket = (code * 0x9E3779B1 >> 7) & 0x3FFFF  # pairs in a rare bucket are rare
         at = np.flatnonzero(np.bincount(bucket, minlength=0x40000)[bucket] >= MIN_USES)

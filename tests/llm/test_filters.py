@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -21,6 +22,20 @@ def docs(spark, texts, schema="doc_id long, text string, lang string, source str
 
 # ---- quality ------------------------------------------------------------------
 
+STOPS = ".!?…。！？｡।॥؟۔։።፧။།"
+END = re.compile("[.!?…][\"'»”’)\\]]*([\\x20\\x09-\\x0D]|\\Z)")
+
+
+def line_fails(x):
+    n = len(re.findall(r"[^\x20\x09-\x0D]+", x))
+    seps, syms = sum(c in "|»›·•>" for c in x), sum(c in "#*$%&|<>" for c in x)
+    ends = END.search(x) or any(c in STOPS[4:] for c in x) or re.search("[ก-๛ກ-ໟ]{20}", x)
+    sentences = re.split(f"[{STOPS}]", x)
+    stock = sum(len(p) for p in sentences if re.search(quality.BOILERPLATE, p))
+    return (not ends or seps >= 3 and seps * 4 >= n or syms * 2 > n
+            or bool(re.search(quality.BOILERPLATE, x)) and 2 * stock >= sum(map(len, sentences)))
+
+
 def brute_quality(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     windows = collections.Counter(tuple(w[i:i + 8]) for i in range(len(w) - 7))
@@ -30,21 +45,32 @@ def brute_quality(text):
             hit |= set(range(i, i + 8))
     lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
     base = len(w) < 20 or 100 * len(hit) > 30 * len(w)
-    lost = 0
-    for x in lines:
-        n = len(re.findall(r"[^\x20\x09-\x0D]+", x))
-        seps, syms = sum(c in "|»›·•>" for c in x), sum(c in "#*$%&|<>" for c in x)
-        if (not re.search("[.!?…][\"'»”’)\\]]*([\\x20\\x09-\\x0D]|\\Z)", x) or seps >= 3 and seps * 4 >= n or syms * 2 > n
-                or len(x) <= 200 and re.search(quality.BOILERPLATE, x)):
-            lost += len(re.sub(r"[\x20\x09-\x0D]", "", x))
+    lost = sum(len(re.sub(r"[\x20\x09-\x0D]", "", x)) for x in lines if line_fails(x))
     chars = sum(map(len, w))
     return (len(w), chars, sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(hit), base,
             not base and lost <= 0.5 * chars)
 
 
+def test_quality_sql(spark):
+    """The registered query against its SQL, on the given table and on lines the given table lacks."""
+    r = random.Random(8)
+    words = ["alpha", "beta.", "gamma!", "字。", "है।", "|", "#", "privacy policy", "all rights reserved.", "ก" * 25, "؟", "we use cookies"]
+    rows = [(i, "".join(r.choice(words) + r.choice(" \n ") for _ in range(r.randint(1, 120)))) for i in range(150)]
+    rows += [(900, ("word " * 100 + "ends. ") * 30 + "Privacy policy."), (901, "We use cookies " + "and more " * 300 + "of them."), (902, None), (902, "")]
+    given = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    both = given.unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    con = duckdb.connect()
+    documents = both.toArrow()  # noqa: F841
+    con.register("documents", documents)
+    want = con.execute(queries.ORACLE_SQL["op9_quality_rules"]).fetchall()
+    names = [c[0] for c in con.description]
+    got = quality.cleaned(both).withColumnRenamed("id", "doc_id").select(names).collect()
+    assert collections.Counter(map(tuple, got)) == collections.Counter(want)
+
+
 def test_quality_against_brute_force(spark):
     r = random.Random(3)
-    vocabulary = ["a", "bb", "the", "ẞü", "x.", "y!", "|", "#", "&", "z"]
+    vocabulary = ["a", "bb", "the", "ẞü", "x.", "y!", "|", "#", "&", "z", "字。", "है।", "privacy policy", "all rights reserved.", "؟"]
     texts = ["", " ", "\n\n", None, "one two", "All rights reserved.", "a " * 500, "a b c d e f g h " * 4 + "."]
     for _ in range(60):
         texts.append("".join(r.choice(vocabulary) + r.choice([" ", " ", " ", "\n", "\t", "\x0b", " "]) for _ in range(r.randint(1, 200))))
@@ -81,6 +107,21 @@ def test_quality_takes_out_long_boilerplate(spark):
     assert got[2].clean_text == prose and not got[2].kept and got[3].kept
 
 
+def test_quality_of_other_scripts_and_long_prose(spark):
+    chinese = "\n".join("这是一个很长的句子，它讲述了一个故事。然后 它 结束了。" for _ in range(8)).replace("一个", "一个 ")
+    hindi = "यह एक लंबा वाक्य है जो एक कहानी बताता है। फिर यह समाप्त हो जाता है और हम सब घर चले जाते हैं।"
+    arabic = "هل هذه جملة طويلة تحكي قصة عن المدينة القديمة التي كنا نعيش فيها منذ زمن بعيد جدا مع كل الاصدقاء والجيران؟"
+    thai = "นี่คือประโยคยาวที่เล่าเรื่องราวหนึ่ง แล้วมันก็จบลง " + " ".join(f"คำที่{k}" for k in range(20))
+    mention = "The town council met on Monday to talk about the new library. Its privacy policy came up for a while. Then they went home, as it was late and they were tired."
+    texts = [chinese, hindi, arabic, thai, mention + " " + mention.upper(), "menu one two three " * 6, hindi.replace("।", "")]
+    texts += [" ".join(f"word{k}" for k in range(500)) + ". We use cookies.", " ".join(f"word{k}" for k in range(500)) + " we use cookies."]
+    got = {r.id: r for r in quality.cleaned(docs(spark, enumerate(texts))).collect()}
+    assert {i: got[i].n_removed for i in got} == {0: 0, 1: 0, 2: 0, 3: 0, 4: 0, 5: 1, 6: 1, 7: 0, 8: 1}
+    assert [got[i].kept for i in range(5)] == [not got[i].base_failed for i in range(5)] and all(got[i].kept for i in (1, 2, 3, 4, 7))
+    for i, t in enumerate(texts):
+        assert (got[i].base_failed, got[i].kept) == brute_quality(t)[-2:]
+
+
 # ---- language -----------------------------------------------------------------
 
 def test_language_held_out_accuracy(spark):

@@ -84,6 +84,31 @@ def test_html_edges(spark, model):
     assert [t for t in html_extract.parse(odd[10]).text if t] == ["a", "b"]
 
 
+A, B = "First words of the page, which say something about it and then end here.", "Second words of the page, which say something else and then end there."
+
+
+@pytest.mark.parametrize("page,blocks", [
+    (f'<p class="a"">{A}</p><p class="b">{B}</p>', [A, B]),
+    (f"<p><a title=it's>{A}</a></p><p>{B} It's over.</p>", [A, B + " It's over."]),
+    (f"<p>{A}</p><video src=x><p>{B}</p>", [A, B]),
+    (f"<p>{A}</p><svg><circle r=1><p>{B}</p><svg><text>no</text></svg>", [A, B]),
+    (f"<p>{A}</p><object><object>no</object>no</object><audio controls>no</audio><canvas>no</canvas><p>{B}</p>", [A, B]),
+    (f"<p>{A}</p><p>{B} <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math></p>", [A, B + " x=2"]),
+    (f"<div hidden>no</div><p>{A}</p><p style='color:red;display: none'>no</p><p>{B}<span hidden> no</span></p>", [A, B]),
+    (f'<p>{A}</p><div class="hidden" aria-hidden="x"><p>{B}</p></div>', [A, B]),
+    (f"<script src=https://x/>code</script><p>{A}</p><script src='x' />{B}", [A, B]),
+    (f"<p title='a > b' data-x=\"it's\">{A}</p ><p title = \"x\">{B}", [A, B]),
+    (f"<p a='unclosed>{A}</p><p>{B}", [A, B]),
+    (f"<p ='x'>{A}</p><br/><p/>{B}", [A, B])])
+def test_tags_as_browsers_read_them(page, blocks):
+    assert [t for t in html_extract.parse(page).text if t] == blocks
+
+
+def test_many_unclosed_elements_take_linear_time():
+    page = "<svg><video src='x><a b=\"c><object hidden" * 20_000 + f"><p>{A}</p>"
+    assert html_extract.parse(page) is not None
+
+
 # ---- licences ---------------------------------------------------------------------
 
 def brute_scan(files):

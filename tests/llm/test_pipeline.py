@@ -4,27 +4,15 @@ import re
 
 import corpus_pipeline
 import pyarrow as pa
-from hourcast.llm import langid, packing, token_count
-from test_dedup_tokens import brute_components, brute_fingerprint, brute_pack, greedy
-from test_filters import brute_quality, brute_tiles, words
-
-from hourcast.llm import quality
+from hourcast.llm import langid, packing
+from test_dedup_tokens import brute_components, brute_fingerprint, brute_pack, model_greedy
+from test_filters import brute_quality, brute_tiles, line_fails, words
 
 SF = "/root/testdata/sf0.001"
 
 
 def clean(text):
-    keep = []
-    for x in text.split("\n"):
-        full = re.search(r"[^\x20\x09-\x0D]", x)
-        if full:
-            n = len(re.findall(r"[^\x20\x09-\x0D]+", x))
-            seps, syms = sum(c in "|»›·•>" for c in x), sum(c in "#*$%&|<>" for c in x)
-            if (not re.search("[.!?…][\"'»”’)\\]]*([\\x20\\x09-\\x0D]|\\Z)", x) or seps >= 3 and seps * 4 >= n or syms * 2 > n
-                    or len(x) <= 200 and re.search(quality.BOILERPLATE, x)):
-                continue
-        keep.append(x)
-    return "\n".join(keep)
+    return "\n".join(x for x in text.split("\n") if not (re.search(r"[^\x20\x09-\x0D]", x) and line_fails(x)))
 
 
 def test_pipeline_against_brute_force(spark):
@@ -56,8 +44,8 @@ def test_pipeline_against_brute_force(spark):
     before = len(rows)
     rows = [(i, t) for i, t in rows if not leaks(t)]
     assert len(rows) < before
-    start, inner = map(set, token_count.vocabulary(token_count.default_vocabulary()))
-    lengths = {i: sum(abs(greedy(w, start, inner)) for w in re.findall(r"[^\x20\x09-\x0D]+", t)) for i, t in rows}
+    count = model_greedy()
+    lengths = {i: sum(count(w) for w in re.findall(r"[^\x20\x09-\x0D]+", t)) for i, t in rows}
     got = corpus_pipeline.run(spark, SF).collect()
     pieces = {}
     for r in got:
