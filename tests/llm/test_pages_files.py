@@ -204,6 +204,31 @@ def test_audit_against_brute_force(spark):
     assert warc_fixity.audit(read(first), read(first)).count() == 0
 
 
+def test_audit_of_repeated_and_many_extra_records(spark):
+    r = random.Random(4)
+    first = [(0, n, r.randbytes(30)) for n in range(60)] + [(1, 5, None), (1, 9, b"x" * 3_000_000)]
+    first += [(0, 7, first[7][2])] * 2 + [(0, 8, b"another")] + [(0, 50, first[50][2])]
+    second = [x for x in first if x != first[50]] + [first[50]] * 4 + [first[11]] * 3 + [(0, 8, b"another")]
+    second.remove(first[7])
+    second += [(0, 10 ** 12 + 997 * k, b"extra") for k in range(3000)] + [(0, 10 ** 12, b"extra")] + [(5, -3, b"below"), (1, 9, b"y")]
+    read = lambda rows: spark.createDataFrame([(f, n, b, "clash", 1) for f, n, b in rows],
+                                              "file long, number long, record binary, digest string, offset int")
+    want, at = set(), {}
+    for f, n in sorted({(f, n) for f, n, _ in first} | {(f, n) for f, n, _ in second}):
+        a, b = (sorted(x or b"" for g, m, x in rows if (g, m) == (f, n)) for rows in (first, second))
+        size = sum(map(len, a))
+        if a != b:
+            kind = "extra" if not a else "missing" if not b else "repeated" if len({*a, *b}) == 1 else "changed"
+            want.add((f, n, at.get(f, 0) if a else None, size if a else sum(map(len, b)), kind))
+        at[f] = at.get(f, 0) + size
+    for levels in (None, 2):
+        got = warc_fixity.audit(read(first), read(second), range_bytes=64, fanout=4, levels=levels).collect()
+        assert {tuple(x) for x in got} == want and len(got) == len(want)
+    assert {k for *_, k in want} == {"extra", "repeated", "changed"}
+    kinds = {tuple(x)[-1] for x in warc_fixity.audit(read(second), read(first), range_bytes=64, fanout=4).collect()}
+    assert kinds == {"missing", "repeated", "changed"}
+
+
 def test_audit_of_nothing(spark):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     a = warc_fixity.records(empty)
