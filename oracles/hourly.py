@@ -143,20 +143,20 @@ def to_hourly_sql(src: str, out: str, batch: list[str], pseudo: bool, use_solar:
 {p}dt AS (SELECT {B}, median(d) * 86400 AS bin_seconds FROM {p}diff WHERE d IS NOT NULL GROUP BY ALL),
 {p}rp AS MATERIALIZED (SELECT f.*, {rpot_sql("f.doy", "f.latitude", "f.lonw", "dt.bin_seconds")} AS rpot
   FROM {p}flux f LEFT JOIN {p}dt dt ON {on("f", "dt", batch)}),
-{p}sw AS (SELECT *,
+{p}sw AS MATERIALIZED (SELECT *,
     avg(rpot) OVER (PARTITION BY {key}, CAST(datetime AS DATE)) AS avg_rpot,
     avg(prediction) OVER (PARTITION BY {key}, CAST(datetime AS DATE)) AS avg_sw
   FROM {p}rp),
-{p}fluxes AS (SELECT {skey}, datetime, variable,
+{p}fluxes AS MATERIALIZED (SELECT {skey}, datetime, variable,
     CASE WHEN variable <> 'DSWRF' THEN prediction
          WHEN avg_rpot > 0 THEN rpot * (avg_sw / avg_rpot)
          WHEN avg_rpot <= 0 THEN prediction END AS prediction
   FROM {p}sw),
-{p}all AS (SELECT * FROM {p}units WHERE variable IN ({STATES})
+{p}all AS MATERIALIZED (SELECT * FROM {p}units WHERE variable IN ({STATES})
   UNION ALL SELECT * FROM {p}fluxes)"""
     else:
         ctes += f""",
-{p}all AS (SELECT * FROM {p}units)"""
+{p}all AS MATERIALIZED (SELECT * FROM {p}units)"""
     names = ("CASE variable WHEN 'TMP' THEN 'air_temperature' WHEN 'PRES' THEN 'air_pressure'"
              " WHEN 'RH' THEN 'relative_humidity'"
              " WHEN 'DLWRF' THEN 'surface_downwelling_longwave_flux_in_air'"
@@ -166,7 +166,7 @@ def to_hourly_sql(src: str, out: str, batch: list[str], pseudo: bool, use_solar:
              " ELSE variable END")
     BXO = "".join(f"{c}, " for c in bx if c != "reference_datetime")
     ctes += f""",
-{out} AS (SELECT {BXO}site_id, family, ensemble, datetime, {names} AS variable, prediction,
+{out} AS MATERIALIZED (SELECT {BXO}site_id, family, ensemble, datetime, {names} AS variable, prediction,
     {ref} AS reference_datetime FROM {p}all)"""
     if keep_bin and use_solar:
         ctes += f""",

@@ -117,7 +117,7 @@ def test_a_stale_site_does_not_widen_the_update(spark):
     spoil(root, "reference_datetime=2022-03-01")
     recent = stages.since(datasets.read_dataset(spark, root, PSEUDO), starts)
     assert "2024-01-01" in plan(recent).split("PartitionFilters: ")[1].split("PushedFilters")[0]
-    assert [r.reference_datetime for r in recent.collect()] == ["2024-01-02", "2024-01-03"]
+    assert sorted(r.reference_datetime for r in recent.collect()) == ["2024-01-02", "2024-01-03"]
 
 
 def test_update_leaves_no_staging(spark):
