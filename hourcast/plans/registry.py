@@ -21,9 +21,9 @@ from hourcast.operators.spine import hourly_spine, observations_on_spine
 from hourcast.plans import planner, reports, stages
 from hourcast.schemas import FLUX_VARIABLES, PSEUDO, STATE_VARIABLES
 from hourcast.session import scratch_dir
-from hourcast.sinks import writers
+from hourcast.sinks import objects, positional, versioned, writers
 from hourcast.sinks.util import materialize
-from hourcast.sources import datasets, legacy
+from hourcast.sources import datasets, legacy, store
 from hourcast.sources.events_adapter import forecast, pseudo
 from hourcast.sources.site_list import builtin_sites, read_sites
 
@@ -297,6 +297,35 @@ def q_stage3_update(spark, d):
     return round_sw(datasets.read_dataset(spark, s3, stages.STAGE3_READ))
 
 
+def _published_stage3(spark, d) -> str:
+    """Stage 3 built from the early dates, then updated by month from all: versions 1 and 2."""
+    sites, ps = builtin_sites(spark), _ps(spark, d)
+    root = scratch_dir(spark, "stage3-published")
+    stages.rebuild_stage3_published(spark, _land(spark, ps.filter(F.col("reference_datetime") < UPDATE_SPLIT), "pseudo-early"), root, sites)
+    stages.update_stage3_published(spark, _land(spark, ps, "pseudo"), root, sites)
+    return root
+
+
+def q_stage3_update_published(spark, d):
+    """PL-06 by month, atomically published: the newest version's rows."""
+    return round_sw(stages.read_stage3(spark, _published_stage3(spark, d)))
+
+
+def q_stage3_version_before(spark, d):
+    """The version before an update stays readable: the rows of the rebuild."""
+    return round_sw(stages.read_stage3(spark, _published_stage3(spark, d), version=1))
+
+
+def q_stage2_published(spark, d):
+    """PL-04 in two runs, each published whole; the second builds the dates the first had not reached."""
+    sites, s1 = builtin_sites(spark), _land(spark, _fc(spark, d), "stage1")
+    root = scratch_dir(spark, "stage2-published")
+    for run_date in ("2024-01-10", "2024-02-05"):
+        stages.build_stage2_published(spark, s1, root, sites, run_date, lookback_days=35)
+    out = versioned.read_version(spark, root, stages.STAGE2_READ)
+    return round_sw(out.withColumn("reference_datetime", F.to_date("reference_datetime")))
+
+
 # --- planners ---------------------------------------------------------------
 
 def _legacy_s1(spark, d):
@@ -410,6 +439,73 @@ def q_sync_partitions(spark, d):
     return datasets.read_dataset(spark, dst, PSEUDO)
 
 
+RUN_KEYS = ["cycle", "start_date", "site_id"]
+
+
+def _runs(spark, d) -> DataFrame:
+    """Legacy rows; those of member 2 have no site."""
+    leg = legacy.legacy_stage1(_ps(spark, d))
+    return materialize(_changed(leg, "site_id", F.col("parameter") == 2, F.lit(None)))
+
+
+def q_positional_sink(spark, d):
+    """IO-09: rows written as one file a (cycle, date, site), read back, with the number of files in each folder."""
+    rows, root = _runs(spark, d), scratch_dir(spark, "positional")
+    positional.write_positional(rows, root, RUN_KEYS)
+    back = datasets.read_positional(spark, root, RUN_KEYS, rows.drop(*RUN_KEYS).schema)
+    files = store.folder_values(store.list_objects(spark, root), RUN_KEYS).select(*[F.col(k).alias(f"f_{k}") for k in RUN_KEYS], "n_files")
+    same = [F.col(k).eqNullSafe(F.col(f"f_{k}")) for k in RUN_KEYS]
+    return back.join(files, same[0] & same[1] & same[2]).drop(*[f"f_{k}" for k in RUN_KEYS])
+
+
+def q_listing_inventory(spark, d):
+    """IO-05 on a store: the runs of a positional dataset and their files, from folder names alone."""
+    root = scratch_dir(spark, "inventory-tree")
+    positional.write_positional(_runs(spark, d), root, RUN_KEYS)
+    return store.folder_values(store.list_objects(spark, root), RUN_KEYS[:2]).select("cycle", "start_date", "n_files")
+
+
+def _tree(spark, paths: DataFrame) -> str:
+    """A folder tree with one file for every path (of one depth)."""
+    depth = paths.select(F.max(F.size(F.split("path", "/")))).first()[0]
+    names = [f"level{k}" for k in range(depth)]
+    root = scratch_dir(spark, "tree")
+    levels = paths.select(F.lit(1).alias("one"), *[store.segment(F.col("path"), k + 1).alias(n) for k, n in enumerate(names)])
+    positional.write_positional(levels, root, names)
+    return root
+
+
+def q_gate_from_store(spark, d):
+    """PL-12 on a store: the forecast's files as a folder tree, listed without opening any."""
+    files = _listing(spark, d).withColumn("path", F.regexp_replace("path", "^notes/(.*)/index.html$", "notes/$1/index.html/x/x"))
+    root = _tree(spark, materialize(files, "paths"))
+    return planner.availability_gate(materialize(store.list_objects(spark, root), "listing"), "2024-01-29",
+                                     required_files=1, horizon_tag="f006")
+
+
+def q_latest_day_from_store(spark, d):
+    """AG-07 on a store: the newest of the day folders of a dataset, whatever else lies beside them."""
+    fc = _fc(spark, d).select("reference_datetime", "site_id")
+    paths = fc.select(F.concat_ws("/", F.lit("stage1"), "reference_datetime", "site_id").alias("path")).union(
+        fc.select(F.concat_ws("/", F.lit("stage1"), "site_id", F.lit("notes")).alias("path"))).distinct()
+    root = _tree(spark, materialize(paths, "paths"))
+    return planner.latest_landed_day(store.list_folders(store.list_objects(spark, root), 2))
+
+
+def q_sync_objects(spark, d):
+    """IO-13 by object: the copy lacks some runs, has others in part and one with other rows; it becomes the source."""
+    rows = _runs(spark, d)
+    src, dst = scratch_dir(spark, "objects-src"), scratch_dir(spark, "objects-dst")
+    positional.write_positional(rows, src, RUN_KEYS)
+    early = F.col("start_date") < "2024-01-10"
+    part = rows.filter(early & F.coalesce(F.col("site_id") != "BARC", F.lit(True)))  # a site is missing from every early run
+    positional.write_positional(part.filter((F.col("cycle") != 18) | (F.col("variable") == "TMP")), dst, RUN_KEYS)
+    copied = objects.sync_objects(spark, src, dst)
+    again = objects.sync_objects(spark, src, dst)
+    back = datasets.read_positional(spark, dst, RUN_KEYS, rows.drop(*RUN_KEYS).schema)
+    return back.withColumns({"copied": F.lit(not copied.isEmpty()), "copied_again": F.lit(again.count())})
+
+
 def q_stage3_append_legacy(spark, d):
     ps = legacy.legacy_stage1(_ps(spark, d))
     hist = stages.legacy_stage3_frame(None, ps.filter(F.col("start_date") < UPDATE_SPLIT), UPDATE_SPLIT,
@@ -439,10 +535,9 @@ def _legacy_dates(s1: DataFrame) -> list[str]:
 def _legacy_read(spark, root):
     schema = T.StructType([T.StructField("family", T.StringType()), T.StructField("parameter", T.IntegerType()),
                            T.StructField("datetime", T.TimestampNTZType()), T.StructField("variable", T.StringType()),
-                           T.StructField("prediction", T.DoubleType()), T.StructField("reference_datetime", T.TimestampNTZType()),
-                           T.StructField("cycle", T.IntegerType()), T.StructField("start_date", T.StringType()),
-                           T.StructField("site_id", T.StringType())])
-    return datasets.read_dataset(spark, root, schema)
+                           T.StructField("prediction", T.DoubleType()), T.StructField("reference_datetime", T.TimestampNTZType())])
+    rows = datasets.read_positional(spark, root, ["cycle", "start_date", "site_id"], schema)
+    return rows.withColumn("cycle", F.col("cycle").cast("int"))
 
 
 def q_legacy_stage2_build(spark, d):
@@ -515,4 +610,12 @@ QUERIES = {
     "positional_partition_scan": q_positional_partition_scan,
     "land_forecast": q_land_forecast,
     "sync_partitions": q_sync_partitions,
+    "positional_sink": q_positional_sink,
+    "listing_inventory": q_listing_inventory,
+    "gate_from_store": q_gate_from_store,
+    "latest_day_from_store": q_latest_day_from_store,
+    "sync_objects": q_sync_objects,
+    "stage3_update_published": q_stage3_update_published,
+    "stage3_version_before": q_stage3_version_before,
+    "stage2_published": q_stage2_published,
 }

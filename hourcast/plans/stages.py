@@ -16,6 +16,8 @@ from hourcast.operators.pseudo import repair_datetime
 from hourcast.plans.planner import plan_runs, pseudo_backlog, stage1_backlog, stage2_backlog
 from hourcast.schemas import LEGACY_START, PSEUDO, PSEUDO_START, STAGE1, STAGE1_START
 from hourcast.session import drop_scratch, scratch_dir
+from hourcast.sinks import versioned
+from hourcast.sinks.util import materialize
 from hourcast.sinks.writers import land_forecast, write_partitioned, write_positional_runs, write_stage2, write_stage3
 from hourcast.sources.datasets import (
     listed_sites, native_variables, partition_values, read_dataset, read_if_exists, read_partitions)
@@ -106,9 +108,19 @@ def stage3_update_frame(stage3: DataFrame, pseudo: DataFrame, sites: DataFrame,
     without new rows are absent (their partition stays as it is). The new rows are
     used twice: ``keep_new`` may write them first.
     """
-    look = rewrite_days if lookback_issue_days is None else lookback_issue_days
     stage3 = listed_sites(stage3, sites)
     last = stage3.groupBy("site_id").agg(F.max(F.to_date("datetime")).alias("last_day"))
+    new = keep_new(stage3_new_rows(last, pseudo, sites, rewrite_days, lookback_issue_days, **hourly_kw))
+    first_new = new.groupBy("site_id").agg(F.min("datetime").alias("first_new"))
+    old = (stage3.select(*OUT_COLS).join(first_new, "site_id")
+           .filter(F.col("datetime") < F.col("first_new")).drop("first_new").distinct())
+    return new.unionByName(old)
+
+
+def stage3_new_rows(last: DataFrame, pseudo: DataFrame, sites: DataFrame, rewrite_days: int = 3,
+                    lookback_issue_days: int | None = None, **hourly_kw) -> DataFrame:
+    """The redone rows of PL-06, without repeats, for the sites of ``last`` (site_id, last_day)."""
+    look = rewrite_days if lookback_issue_days is None else lookback_issue_days
     cut = last.select("site_id",
                       F.date_format(F.date_sub("last_day", look), "yyyy-MM-dd").alias("read_from"),
                       F.date_sub("last_day", rewrite_days).alias("rewrite_from"))
@@ -119,11 +131,7 @@ def stage3_update_frame(stage3: DataFrame, pseudo: DataFrame, sites: DataFrame,
     if look != rewrite_days:
         new = (new.join(cut.select("site_id", "rewrite_from"), "site_id")
                .filter(F.to_date("datetime") >= F.col("rewrite_from")).drop("rewrite_from"))
-    new = keep_new(new.distinct())
-    first_new = new.groupBy("site_id").agg(F.min("datetime").alias("first_new"))
-    old = (stage3.select(*OUT_COLS).join(first_new, "site_id")
-           .filter(F.col("datetime") < F.col("first_new")).drop("first_new").distinct())
-    return new.unionByName(old)
+    return new.distinct()
 
 
 def update_stage3(spark: SparkSession, pseudo_root: str, stage3_root: str, sites: DataFrame,
@@ -157,6 +165,88 @@ def update_stage3(spark: SparkSession, pseudo_root: str, stage3_root: str, sites
     return sorted(starts)
 
 
+STAGE3_KEYS = ["site_id", "month"]
+STAGE3_MONTHLY = T.StructType([*STAGE3_READ.fields, T.StructField("month", T.StringType())])
+#: What a manifest of stage 3 knows of a (site, month): its rows, how many of them differ, its newest time.
+STAGE3_STATISTICS = {
+    "n_rows": F.count(F.lit(1)),
+    "n_different": F.count_distinct(F.xxhash64(*[c for c in OUT_COLS if c != "site_id"])),
+    "last_time": F.max("datetime"),
+}
+
+
+def _by_month(rows: DataFrame) -> DataFrame:
+    return rows.select(*OUT_COLS, F.date_format("datetime", "yyyy-MM").alias("month"))
+
+
+def rebuild_stage3_published(spark: SparkSession, pseudo_root: str, root: str, sites: DataFrame,
+                             schema: T.StructType = PSEUDO) -> int:
+    """Job: PL-05 as a new published version, partitioned by site and month; returns its number."""
+    rows = _by_month(stage3_frame(read_dataset(spark, pseudo_root, schema), sites))
+    return versioned.publish(spark, root, rows, STAGE3_KEYS, None, STAGE3_STATISTICS, ["variable", "datetime", "parameter"])
+
+
+def read_stage3(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """Rows of a published stage 3."""
+    return versioned.read_version(spark, root, STAGE3_MONTHLY, version).select(*OUT_COLS)
+
+
+def update_stage3_published(spark: SparkSession, pseudo_root: str, root: str, sites: DataFrame, rewrite_days: int = 3,
+                            lookback_issue_days: int | None = None, schema: T.StructType = PSEUDO) -> int | None:
+    """Job: PL-06 by month, as a new published version; returns its number, or None if there is nothing to write.
+
+    The rows are those of ``update_stage3``, but a site's months before its first new time are carried over by
+    their line in the manifest. Read and written are the month of the first new time, the months after it, and, once,
+    earlier months that hold repeated rows (a rebuild keeps them, an update removes them). Sites' newest times
+    come from the manifest, so the history is not scanned either.
+    """
+    lines = versioned.manifest(spark, root)
+    if lines is None:
+        return None
+    look = rewrite_days if lookback_issue_days is None else lookback_issue_days
+    last = listed_sites(lines, sites).groupBy("site_id").agg(F.to_date(F.max("last_time")).alias("last_day"))
+    last = last.where("site_id is not null and last_day is not null")
+    starts = {r["site_id"]: r["start"] for r in last.select(
+        "site_id", F.date_format(F.date_sub("last_day", look), "yyyy-MM-dd").alias("start")).collect()}  # one value a listed site
+    if not starts:
+        return None
+    pseudo = since(read_dataset(spark, pseudo_root, schema), starts)
+    new = materialize(stage3_new_rows(last, pseudo, sites, rewrite_days, lookback_issue_days), "stage3-new")
+    first = new.groupBy("site_id").agg(F.min("datetime").alias("first_new"))
+    first = materialize(first.select("site_id", "first_new", F.date_format("first_new", "yyyy-MM").alias("first_month")), "stage3-first")
+    if first.isEmpty():
+        return None
+    placed = lines.join(first.select(F.col("site_id").alias("_site"), "first_month"), F.col("site_id") == F.col("_site"), "left")
+    untouched = F.col("_site").isNull()
+    earlier, clean = F.col("month") < F.col("first_month"), F.col("n_rows") == F.col("n_different")
+    carry = materialize(placed.where(untouched | (earlier & clean)).drop("_site", "first_month"), "stage3-carried")
+    again = placed.where(~untouched & ((F.col("month") == F.col("first_month")) | (earlier & ~clean)))
+    wanted = [r["folder"] for r in again.select("folder").collect()]  # a month or so of each touched site
+    old = versioned.read_version(spark, root, STAGE3_MONTHLY, where=F.col("folder").isin(wanted)).select(*OUT_COLS)
+    old = (old.join(first.select("site_id", "first_new"), "site_id").filter(F.col("datetime") < F.col("first_new"))
+           .drop("first_new").distinct())
+    rows = _by_month(new.select(*OUT_COLS).unionByName(old.select(*OUT_COLS)))
+    return versioned.publish(spark, root, rows, STAGE3_KEYS, carry, STAGE3_STATISTICS, ["variable", "datetime", "parameter"])
+
+
+STAGE2_KEYS = ["reference_datetime", "site_id"]
+
+
+def build_stage2_published(spark: SparkSession, stage1_root: str, root: str, sites: DataFrame, run_date,
+                           lookback_days: int = 7, schema: T.StructType = STAGE1) -> list[str]:
+    """Job: ``build_stage2`` as a new published version: all missing dates appear together or not at all.
+
+    Which dates exist is read from the manifest.
+    """
+    lines = versioned.manifest(spark, root)
+    have = spark.createDataFrame([], "reference_datetime string") if lines is None else lines.select("reference_datetime")
+    wanted = sorted(r[0] for r in stage2_backlog(spark, have, run_date, lookback_days).collect())  # at most lookback_days values
+    if wanted:
+        rows = stage2_frame(wanted_stage1(spark, stage1_root, wanted, schema), sites)
+        versioned.publish(spark, root, rows, STAGE2_KEYS, lines, None, ["variable", "parameter", "datetime"])
+    return wanted
+
+
 def site_starts(stage3: DataFrame, sites: DataFrame, days: int) -> dict[str, str]:
     """First issue date to read again, by listed site with history (one value a listed site).
 

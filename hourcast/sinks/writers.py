@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hourcast.schemas import NATIVE_VARIABLES
+from hourcast.sinks.positional import write_positional
 from hourcast.sources.datasets import listed_sites, missing_partitions, read_dataset, read_if_exists
 
 
@@ -37,9 +38,8 @@ def write_stage3(df: DataFrame, root: str) -> None:
 
 
 def write_positional_runs(df: DataFrame, root: str, keys=("cycle", "start_date", "site_id")) -> None:
-    """IO-09: one folder per (cycle, date, site). Spark names folders key=value;
-    ``read_positional`` reads plain-value folders, and ``read_dataset`` these."""
-    write_partitioned(df, root, list(keys))
+    """IO-09: one ``part-0.parquet`` for each (cycle, date, site), in folders of bare values (``read_positional`` reads them)."""
+    write_positional(df, root, list(keys), ["variable", "parameter", "datetime"])
 
 
 def land_forecast(raw: DataFrame, root: str, sites: DataFrame, dates: DataFrame,
@@ -72,14 +72,17 @@ def sync_partitions(spark: SparkSession, src_root: str, dst_root: str, column: s
                     schema=None) -> list[str]:
     """IO-13: copy partitions of ``column`` that src has and dst lacks.
 
-    Returns the copied values. Existing dst partitions are untouched; an absent dst
+    Returns the copied values, None (rows without a value) last. A value counts as present once dst has a
+    row of it; ``objects.sync_objects`` compares file by file. Existing dst partitions are untouched; an absent dst
     copies everything, a dst that cannot be read stops the job. Partitions are
     replaced whole (dynamic overwrite), so a repeated copy adds nothing.
     """
     src = read_dataset(spark, src_root, schema)
     dst = read_if_exists(spark, dst_root, src.schema)
     # one value a partition folder: as literals they prune the source scan
-    missing = sorted(r[0] for r in missing_partitions(src, dst, column).collect() if r[0] is not None)
+    missing = sorted((r[0] for r in missing_partitions(src, dst, column).collect()), key=lambda v: (v is None, v or ""))
     if missing:
-        write_partitioned(src.filter(F.col(column).cast("string").isin(missing)), dst_root, [column])
+        value = F.col(column).cast("string")
+        wanted = value.isin([v for v in missing if v is not None])
+        write_partitioned(src.filter(wanted | value.isNull() if None in missing else wanted), dst_root, [column])
     return missing

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from hourcast.schemas import NATIVE_VARIABLES
+from hourcast.sources.store import folder_name, folder_value
 
 
 def read_dataset(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
@@ -53,24 +54,24 @@ def partition_values(df: DataFrame, column: str) -> DataFrame:
 
 def positional_glob(root: str, names: list[str], values: dict | None = None) -> str:
     """Path glob for a positional layout root/<name1>/<name2>/.../file, fixing
-    the given values (others are '*') so only matching folders are listed."""
+    the given values (others are any but hidden names) so only matching folders are listed."""
     values = values or {}
-    parts = [str(values[n]) if n in values else "*" for n in names]
-    return "/".join([root.rstrip("/")] + parts + ["*"])
+    parts = [folder_name(values[n]) if n in values else "[^._]*" for n in names]
+    return "/".join([root.rstrip("/")] + parts + ["[^._]*"])
 
 
 def read_positional(spark: SparkSession, root: str, names: list[str], schema: T.StructType,
                     values: dict | None = None) -> DataFrame:
     """IO-02: scan a dataset whose folders carry values without ``name=``
     (e.g. cycle/start_date/site_id/part-0.parquet); the names become string
-    columns taken from each row's file path."""
+    columns taken from each row's file path, a folder for NULL included."""
     path = positional_glob(root, names, values)
     df = spark.read.schema(schema).parquet(path)
     parts = F.split(F.col("_metadata.file_path"), "/")
     n = len(names)
-    # a folder is the bare value, or name=value when written by a Hive-style writer
-    cols = [F.regexp_replace(F.element_at(parts, -(n + 1) + i), "^[^=]*=", "").alias(nm)
-            for i, nm in enumerate(names)]
+    # a folder is the bare value, or name=value when written by a Hive-style writer; the file path is a URI
+    raw = [F.url_decode(F.replace(F.element_at(parts, -(n + 1) + i), F.lit("+"), F.lit("%2B"))) for i in range(n)]
+    cols = [folder_value(r, nm).alias(nm) for r, nm in zip(raw, names, strict=True)]
     return df.select(*cols, *[F.col(c) for c in df.columns if c not in names])
 
 
@@ -87,4 +88,5 @@ def listing_days(listing: DataFrame, path_col: str = "path", prefix: str = "gefs
 
 def missing_partitions(src: DataFrame, dst: DataFrame, column: str) -> DataFrame:
     """IO-13 (inventory part): partition values present in src but not in dst."""
-    return partition_values(src, column).join(partition_values(dst, column), column, "left_anti")
+    have = partition_values(dst, column).withColumnRenamed(column, "_have")
+    return partition_values(src, column).join(have, F.col(column).eqNullSafe(F.col("_have")), "left_anti")

@@ -21,10 +21,14 @@ def W(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip().rstrip(",") for c in ctes)
 
 
-def rsw(rel: str, col: str = "prediction") -> str:
-    """Select * from rel with shortwave values rounded to 6 places."""
-    return (f"SELECT * REPLACE (CASE WHEN variable = '{SW}' THEN round({col}, 6) ELSE {col} END AS {col})"
-            f" FROM {rel}")
+HOURLY_COLUMNS = "site_id, family, ensemble, datetime, variable, prediction, reference_datetime"
+STAGE_COLUMNS = HOURLY_COLUMNS.replace("ensemble", "parameter")
+
+
+def rsw(rel: str, columns: str = STAGE_COLUMNS) -> str:
+    """Columns of rel with shortwave values rounded to 6 places."""
+    rounded = f"CASE WHEN variable = '{SW}' THEN round(prediction, 6) ELSE prediction END AS prediction"
+    return f"SELECT {columns.replace('prediction', rounded, 1)} FROM {rel}"
 
 
 def days(start: str, end: str, name: str = "reference_datetime") -> str:
@@ -196,9 +200,9 @@ ORACLE = {
       round(rpot, 6) AS rpot FROM hf_rp""",
     "daily_mean_broadcast": W(F, SITES, HF) + """ SELECT reference_datetime, site_id, family, ensemble, variable,
       datetime, round(avg_rpot, 6) AS avg_rpot, round(avg_sw, 6) AS avg_sw FROM hf_sw""",
-    "reshape_shortwave": W(F, SITES, HF) + " " + rsw(f"(SELECT * FROM hf WHERE variable = '{SW}')"),
-    "to_hourly_forecast": W(F, SITES, HF) + " " + rsw("hf"),
-    "to_hourly_pseudo": W(P, SITES, HP) + " " + rsw("hp"),
+    "reshape_shortwave": W(F, SITES, HF) + " " + rsw(f"(SELECT * FROM hf WHERE variable = '{SW}')", HOURLY_COLUMNS),
+    "to_hourly_forecast": W(F, SITES, HF) + " " + rsw("hf", HOURLY_COLUMNS),
+    "to_hourly_pseudo": W(P, SITES, HP) + " " + rsw("hp", HOURLY_COLUMNS),
     "to_hourly_no_solar": W(F, SITES, to_hourly_sql("forecast", "hn", ["reference_datetime"], False,
                                                     use_solar=False)) + " SELECT * FROM hn",
     "stage2_build": W(F, SITES, HF, STAGE2) + " " + rsw("stage2"),
@@ -242,7 +246,7 @@ ORACLE = {
     "legacy_stage2_build": W(P, LEGACY1P, SITES, LEGACY2_RUNS.format(S=STATES, F=FLUXES),
                              to_hourly_sql("l2in", "l2h", ["start_date", "cycle", "reference_datetime"], False))
     + " " + rsw("""(SELECT start_date, cycle, site_id, family, CAST(ensemble AS INTEGER) AS parameter,
-      datetime, variable, prediction, reference_datetime FROM l2h)"""),
+      datetime, variable, prediction, reference_datetime FROM l2h)""", f"start_date, cycle, {STAGE_COLUMNS}"),
     "site_horizon_reached": W(F, LEGACY1) + """ SELECT start_date, min(mh) AS horizon FROM (
       SELECT start_date, parameter, max(horizon) AS mh FROM legacy1
       WHERE cycle = 0 AND parameter < 31 AND variable = 'PRES' GROUP BY ALL) GROUP BY ALL""",
@@ -292,4 +296,16 @@ ORACLE = {
       AND TRY_CAST(horizon AS INTEGER) <= 9 AND (cycle = '00' OR TRY_CAST(horizon AS INTEGER) <= 6)""",
     "sync_partitions": W(P) + " SELECT * FROM pseudo",
 }
+RUNS = """runs AS (SELECT CAST(cycle AS VARCHAR) AS cycle, start_date,
+  CASE WHEN parameter = 2 THEN NULL ELSE site_id END AS site_id, * EXCLUDE (cycle, start_date, site_id) FROM legacy1p)"""
+ORACLE["positional_sink"] = W(P, LEGACY1P, RUNS) + " SELECT *, CAST(1 AS BIGINT) AS n_files FROM runs"
+ORACLE["listing_inventory"] = W(P, LEGACY1P, RUNS) + """ SELECT cycle, start_date, count(DISTINCT coalesce(site_id, '')) AS n_files
+  FROM runs GROUP BY ALL"""
+ORACLE["gate_from_store"] = ORACLE["availability_gate"]
+ORACLE["latest_day_from_store"] = ORACLE["latest_landed_day"]
+ORACLE["sync_objects"] = W(P, LEGACY1P, RUNS) + " SELECT *, true AS copied, 0 AS copied_again FROM runs"
 ORACLE["stage3_chain"] = ORACLE["stage3_update"]  # landing the missing dates gives the same input
+ORACLE["stage3_update_published"] = ORACLE["stage3_update"]
+ORACLE["stage3_version_before"] = W(P, SITES, f"early AS (SELECT * FROM pseudo WHERE reference_datetime < '{UPDATE_SPLIT}')",
+                                    to_hourly_sql("early", "hp", ["site_id"], True), STAGE3) + " " + rsw("stage3")
+ORACLE["stage2_published"] = ORACLE["stage2_build"]
