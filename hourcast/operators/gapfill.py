@@ -99,7 +99,8 @@ def fill_hourly(obs: DataFrame, series: DataFrame, variables: DataFrame, batch_c
     # chunk range of hours (relative to bmin); one ordering for every window
     # below (a real column, not an expression, so Spark sorts once and stacks
     # the window passes on that sort)
-    u = headers.unionByName(o).select(
+    # (chunk is never NULL; said here, so that the join below adds no such filter to one of its sides only)
+    u = headers.unionByName(o).filter(F.col("chunk").isNotNull()).select(
         "*",
         F.greatest(F.lit(0).cast("long"), F.col("chunk") * ch - F.col("e0")).alias("k_lo"),
         F.least(F.col("n_hours"), (F.col("chunk") + 1) * ch - 1 - F.col("e0")).alias("k_hi"),
@@ -126,11 +127,14 @@ def fill_hourly(obs: DataFrame, series: DataFrame, variables: DataFrame, batch_c
                  F.expr(f"lead(`kp`) IGNORE NULLS {over}").alias("next_p"),
                  F.expr(f"lead(`kv`) IGNORE NULLS {over}").alias("next_v"))
 
-    # per-chunk summary; unless the planner reuses the exchange above, these narrower rows are shuffled again
+    # per-chunk summary. It takes the chunk's grid along, so it needs the very columns that the rows themselves
+    # need, and the planner reuses the one exchange of the observations for both
+    grid = ["bmin", "k_lo", "k_hi"]
     summ = (u.groupBy(*ckey)
             .agg(F.count("kv").alias("n_knots"), F.sum("dup").alias("n_dups"),
                  F.min("kp").alias("first_p"), F.min_by("kv", "kp").alias("first_v"),
-                 F.max("kp").alias("last_p"), F.max_by("kv", "kp").alias("last_v")))
+                 F.max("kp").alias("last_p"), F.max_by("kv", "kp").alias("last_v"),
+                 *[F.max(c).alias(f"chunk_{c}") for c in grid]))
     wk = W.partitionBy(*key).orderBy("chunk")
     summ = summ.withColumn("off", F.coalesce(
         F.sum("n_dups").over(wk.rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast("long")))
@@ -139,7 +143,7 @@ def fill_hourly(obs: DataFrame, series: DataFrame, variables: DataFrame, batch_c
     before = wk.rowsBetween(W.unboundedPreceding, -1)
     after = wk.rowsBetween(1, W.unboundedFollowing)
     summ = summ.select(
-        *ckey, "off", "n_dups",
+        *ckey, "off", "n_dups", *[f"chunk_{c}" for c in grid],
         F.last("last_g", True).over(before).alias("pc_p"),
         F.last("last_v", True).over(before).alias("pc_v"),
         F.first("first_g", True).over(after).alias("nc_p"),
@@ -147,6 +151,7 @@ def fill_hourly(obs: DataFrame, series: DataFrame, variables: DataFrame, batch_c
         F.sum("n_knots").over(W.partitionBy(*key)).alias("n_knots_series"))
 
     r = u.join(summ, ckey)
+    r = r.withColumns({c: F.coalesce(f"chunk_{c}", c) for c in grid})
 
     # hours each row stands for: an observation itself plus the gap after it
     g_lo = F.when(F.col("kind") == KIND_OBS, F.col("k")).otherwise(F.col("k_lo"))

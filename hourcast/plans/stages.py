@@ -167,12 +167,12 @@ def update_stage3(spark: SparkSession, pseudo_root: str, stage3_root: str, sites
 
 STAGE3_KEYS = ["site_id", "month"]
 STAGE3_MONTHLY = T.StructType([*STAGE3_READ.fields, T.StructField("month", T.StringType())])
-#: What a manifest of stage 3 knows of a (site, month): its rows, how many of them differ, its newest time.
-STAGE3_STATISTICS = {
-    "n_rows": F.count(F.lit(1)),
-    "n_different": F.count_distinct(F.xxhash64(*[c for c in OUT_COLS if c != "site_id"])),
-    "last_time": F.max("datetime"),
-}
+
+
+def _statistics() -> dict[str, F.Column]:
+    """What a manifest of stage 3 knows of a (site, month): its rows, how many of them differ, its newest time."""
+    return {"n_rows": F.count(F.lit(1)), "n_different": F.count_distinct(F.xxhash64(*[c for c in OUT_COLS if c != "site_id"])),
+            "last_time": F.max("datetime")}
 
 
 def _by_month(rows: DataFrame) -> DataFrame:
@@ -183,7 +183,7 @@ def rebuild_stage3_published(spark: SparkSession, pseudo_root: str, root: str, s
                              schema: T.StructType = PSEUDO) -> int:
     """Job: PL-05 as a new published version, partitioned by site and month; returns its number."""
     rows = _by_month(stage3_frame(read_dataset(spark, pseudo_root, schema), sites))
-    return versioned.publish(spark, root, rows, STAGE3_KEYS, None, STAGE3_STATISTICS, ["variable", "datetime", "parameter"])
+    return versioned.publish(spark, root, rows, STAGE3_KEYS, None, _statistics(), ["variable", "datetime", "parameter"])
 
 
 def read_stage3(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
@@ -226,7 +226,7 @@ def update_stage3_published(spark: SparkSession, pseudo_root: str, root: str, si
     old = (old.join(first.select("site_id", "first_new"), "site_id").filter(F.col("datetime") < F.col("first_new"))
            .drop("first_new").distinct())
     rows = _by_month(new.select(*OUT_COLS).unionByName(old.select(*OUT_COLS)))
-    return versioned.publish(spark, root, rows, STAGE3_KEYS, carry, STAGE3_STATISTICS, ["variable", "datetime", "parameter"])
+    return versioned.publish(spark, root, rows, STAGE3_KEYS, carry, _statistics(), ["variable", "datetime", "parameter"])
 
 
 STAGE2_KEYS = ["reference_datetime", "site_id"]

@@ -1,6 +1,6 @@
 """Published versions of a partitioned dataset: a reader sees a version whole, or the one before.
 
-A version's new partitions lie below ``root/v=<number>``; ``root/_manifest/v=<number>`` lists the folder of
+A version's new partitions lie below ``root/publication=<number>``; ``root/_manifest/v=<number>`` lists the folder of
 every partition that belongs to the version, whichever version wrote it, with statistics of its rows. A version
 exists once its manifest's ``_SUCCESS`` file does, which Spark's committer writes last. So a job that dies while it
 writes changes nothing for readers; the next job writes over what it left. Partitions that are not written again are
@@ -67,7 +67,9 @@ def publish(spark: SparkSession, root: str, rows: DataFrame, keys: list[str], ca
     """
     base, known = root.rstrip("/"), versions(spark, root)
     number = (known[-1] if known else 0) + 1
-    data = f"{base}/v={number}"
+    if "publication" in rows.columns:
+        raise ValueError("the folders of a published dataset use the name publication")
+    data = f"{base}/publication={number}"
     out = rows.hint("rebalance", *keys)
     if sort_cols:
         out = out.sortWithinPartitions(*keys, *sort_cols)
@@ -75,7 +77,7 @@ def publish(spark: SparkSession, root: str, rows: DataFrame, keys: list[str], ca
     out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*keys).parquet(data)
     folders = list_folders(list_objects(spark, data), len(keys))
     names = [folder_value(segment(F.col("path"), k + 1), key).alias(key) for k, key in enumerate(keys)]
-    lines = folders.select(*names, F.concat(F.lit(f"v={number}/"), "path").alias("folder"), F.lit(number).alias("version"), "n_files", "n_bytes")
+    lines = folders.select(*names, F.concat(F.lit(f"publication={number}/"), "path").alias("folder"), F.lit(number).alias("version"), "n_files", "n_bytes")
     if statistics:
         text = T.StructType([T.StructField(f.name, T.StringType() if f.name in keys else f.dataType) for f in rows.schema])
         written = spark.read.schema(text).option("basePath", data).parquet(data) if folders.take(1) else spark.createDataFrame([], text)

@@ -127,3 +127,18 @@ def test_update_never_starts_a_site_without_history(spark):
     out = stages.stage3_update_frame(hist, ps, sites)
     got = {r[0] for r in out.select("site_id").distinct().collect()}
     assert got == {"fcre"}   # BARC, TOOK, ALEX have new rows but no history
+
+
+def test_observations_are_shuffled_once(spark):
+    """The summary of the chunks reuses the exchange that brings a chunk's rows together."""
+    import re
+
+    from hourcast.sinks.util import materialize
+    from hourcast.sources.events_adapter import forecast
+    rows = materialize(forecast(spark, SF).repartition(6))
+    out = to_hourly(rows, None, ["reference_datetime"], use_solar_geom=False)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].split("\n")
+    chunks = [k for k, line in enumerate(plan) if re.search(r"Exchange hashpartitioning\([^)]*chunk", line)]
+    shuffled = [k for k in chunks if "ReusedExchange" not in plan[k] and "Union" in plan[k + 1]]
+    assert len(shuffled) == 1 and any("ReusedExchange" in plan[k] for k in chunks)
