@@ -65,7 +65,7 @@ def fill_hourly(obs: DataFrame, series: DataFrame, variables: DataFrame, batch_c
 
     Returns (filled, chunks): filled has batch_cols + site_id, family, ensemble,
     variable, datetime, prediction, plus ``chunk`` (a co-partitioning key for
-    later steps); chunks has the key + chunk + n_dups (extra duplicate rows).
+    later steps); chunks has the key + chunk + n_dups (extra duplicate rows) + n_knots (values).
     """
     ch = int(chunk_days) * 24
     skey = uniq(batch_cols + ["site_id", "family", "ensemble"])
@@ -143,7 +143,7 @@ def fill_hourly(obs: DataFrame, series: DataFrame, variables: DataFrame, batch_c
     before = wk.rowsBetween(W.unboundedPreceding, -1)
     after = wk.rowsBetween(1, W.unboundedFollowing)
     summ = summ.select(
-        *ckey, "off", "n_dups", *[f"chunk_{c}" for c in grid],
+        *ckey, "off", "n_dups", "n_knots", *[f"chunk_{c}" for c in grid],
         F.last("last_g", True).over(before).alias("pc_p"),
         F.last("last_v", True).over(before).alias("pc_v"),
         F.first("first_g", True).over(after).alias("nc_p"),
@@ -180,7 +180,7 @@ def fill_hourly(obs: DataFrame, series: DataFrame, variables: DataFrame, batch_c
 
     filled = r.select(*key, "chunk", add_hours("bmin", F.col("kk")).alias("datetime"),
                       value.cast("double").alias("prediction"))
-    return filled, summ.select(*ckey, "n_dups")
+    return filled, summ.select(*ckey, "n_dups", "n_knots")
 
 
 def series_tables(obs: DataFrame, batch_cols: list[str]):

@@ -90,6 +90,19 @@ def disaggregate(df: DataFrame, batch_cols=("reference_datetime",), pseudo: bool
                            skey=skey, B=B, src=src, key_types=key_types)
 
 
+def series_exceptions(d) -> DataFrame:
+    """TS-02 / TS-09: what ``disaggregate`` (its result ``d``) could not do as usual, one row a series with something to report.
+
+    Columns: batch cols, site_id, family, ensemble, variable, ``n_values`` (observed values on the grid),
+    ``n_duplicates`` (rows beyond the first of an hour; they all survive) and ``unfilled`` (a state with
+    fewer than two values, left as it is). Added up from the chunk summaries that the filling itself uses, so no
+    observation is read or moved for it.
+    """
+    per = d.chunks.groupBy(*d.skey, "variable").agg(F.sum("n_knots").alias("n_values"), F.sum("n_dups").alias("n_duplicates"))
+    per = per.withColumn("unfilled", F.col("variable").isin(STATE_VARIABLES) & (F.col("n_values") < 2))
+    return decode_keys(per.filter(F.col("unfilled") | (F.col("n_duplicates") > 0)), d.key_types)
+
+
 def with_potential(d, sites: DataFrame, bin_seconds: float | None = None,
                    rows: DataFrame | None = None, only: str | None = None) -> DataFrame:
     """TS-04/TS-05: rows of ``disaggregate`` output with rpot attached.

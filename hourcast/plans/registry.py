@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from hourcast.functions.naming import cf_name, flux_rename, member_number
 from hourcast.operators.hourly import (
-    decode_keys, disaggregate, flux_duplicates, solar_bin_table, to_hourly, with_potential)
+    decode_keys, disaggregate, flux_duplicates, series_exceptions, solar_bin_table, to_hourly, with_potential)
 from hourcast.operators.pseudo import flux_horizon_rule, repair_datetime, state_horizon_rule
 from hourcast.operators.solar_ops import daily_means
 from hourcast.operators.spine import hourly_spine, observations_on_spine
@@ -25,7 +25,7 @@ from hourcast.sinks import objects, positional, versioned, writers
 from hourcast.sinks.util import materialize
 from hourcast.sources import datasets, legacy, store
 from hourcast.sources.events_adapter import forecast, pseudo
-from hourcast.sources.site_list import builtin_sites, read_sites
+from hourcast.sources.site_list import builtin_sites, read_sites, site_faults
 
 SW = "surface_downwelling_shortwave_flux_in_air"
 FB = ["reference_datetime"]  # forecast batches
@@ -121,6 +121,31 @@ def q_site_csv(spark, d):
             .join(read_sites(spark, root), "site_id").select("site_name", "site_id", "latitude", "longitude", "n"))
 
 
+def q_site_faults(spark, d):
+    """Rows of the sites that a faulty list spoils: one repeated, one with a bad number, one without a longitude."""
+    ps, root = _ps(spark, d), scratch_dir(spark, "site-faults")
+    listed = builtin_sites(spark).join(ps.select("site_id").distinct(), "site_id", "left_semi")
+    line = lambda lat, lon: F.concat_ws(",", F.lit("a site"), "site_id", lat, lon)
+    lat, lon = F.col("latitude").cast("string"), F.col("longitude").cast("string")
+    lines = listed.select(F.explode(F.when(F.col("site_id") == "TOOK", F.array(line(lat, lon), line(lat, lon)))
+                                    .when(F.col("site_id") == "BARC", F.array(line(F.lit("29.6N"), lon)))
+                                    .when(F.col("site_id") == "ALEX", F.array(line(lat, F.lit(""))))
+                                    .otherwise(F.array(line(lat, lon)))).alias("value"))
+    header = spark.createDataFrame([("site_name,site_id,latitude,longitude",)], "value string")
+    header.unionByName(lines).coalesce(1).write.text(root)
+    faults = site_faults(spark, root).groupBy("site_id", "fault").agg(F.count("*").alias("n_lines"))
+    return faults.join(ps.groupBy("site_id").agg(F.count("*").alias("n_rows")), "site_id")
+
+
+def q_series_exceptions(spark, d):
+    """TS-02 / TS-09: RH of member gep01 has a value at the newest time only, UGRD a second one at every hour."""
+    ps = _bmax(_ps(spark, d), PB)
+    lone = (F.col("variable") == "RH") & (F.col("ensemble") == "gep01") & (F.col("datetime") != F.col("bmax"))
+    ps = _changed(ps, "prediction", lone, F.lit(None)).drop("bmax")
+    ps = ps.unionByName(ps.filter(F.col("variable") == "UGRD").withColumn("prediction", F.col("prediction") + 1))
+    return series_exceptions(disaggregate(ps, PB, pseudo=True))
+
+
 def q_stage1_backlog(spark, d):
     return planner.stage1_backlog(spark, _fc(spark, d), RUN_DATE, start="2023-12-28")
 
@@ -618,4 +643,6 @@ QUERIES = {
     "stage3_update_published": q_stage3_update_published,
     "stage3_version_before": q_stage3_version_before,
     "stage2_published": q_stage2_published,
+    "site_faults": q_site_faults,
+    "series_exceptions": q_series_exceptions,
 }

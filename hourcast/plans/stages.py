@@ -15,7 +15,7 @@ from hourcast.operators.hourly import to_hourly
 from hourcast.operators.pseudo import repair_datetime
 from hourcast.plans.planner import plan_runs, pseudo_backlog, stage1_backlog, stage2_backlog
 from hourcast.schemas import LEGACY_START, PSEUDO, PSEUDO_START, STAGE1, STAGE1_START
-from hourcast.session import drop_scratch, scratch_dir
+from hourcast.session import drop_scratch, owns_scratch, scratch_dir
 from hourcast.sinks import versioned
 from hourcast.sinks.util import materialize
 from hourcast.sinks.writers import land_forecast, write_partitioned, write_positional_runs, write_stage2, write_stage3
@@ -63,6 +63,7 @@ def stage2_frame(stage1: DataFrame, sites: DataFrame, dates: DataFrame | None =
     return finish(to_hourly(df, sites, ["reference_datetime"], pseudo=False, **hourly_kw), True)
 
 
+@owns_scratch
 def build_stage2(spark: SparkSession, stage1_root: str, stage2_root: str, sites: DataFrame,
                  run_date, lookback_days: int = 7, schema: T.StructType = STAGE1) -> list[str]:
     """Job: find missing stage-2 dates (PL-03), build them all in one plan, write. Returns the dates.
@@ -90,6 +91,7 @@ def stage3_frame(pseudo: DataFrame, sites: DataFrame, **hourly_kw) -> DataFrame:
     return finish(to_hourly(df, sites, ["site_id"], pseudo=True, **hourly_kw), False)
 
 
+@owns_scratch
 def rebuild_stage3(spark: SparkSession, pseudo_root: str, stage3_root: str, sites: DataFrame,
                    schema: T.StructType = PSEUDO) -> None:
     """Job: PL-05 for all listed sites in one plan."""
@@ -134,6 +136,7 @@ def stage3_new_rows(last: DataFrame, pseudo: DataFrame, sites: DataFrame, rewrit
     return new.distinct()
 
 
+@owns_scratch
 def update_stage3(spark: SparkSession, pseudo_root: str, stage3_root: str, sites: DataFrame,
                   rewrite_days: int = 3, lookback_issue_days: int | None = None,
                   schema: T.StructType = PSEUDO) -> list[str]:
@@ -179,6 +182,7 @@ def _by_month(rows: DataFrame) -> DataFrame:
     return rows.select(*OUT_COLS, F.date_format("datetime", "yyyy-MM").alias("month"))
 
 
+@owns_scratch
 def rebuild_stage3_published(spark: SparkSession, pseudo_root: str, root: str, sites: DataFrame,
                              schema: T.StructType = PSEUDO) -> int:
     """Job: PL-05 as a new published version, partitioned by site and month; returns its number."""
@@ -191,6 +195,7 @@ def read_stage3(spark: SparkSession, root: str, version: int | None = None) -> D
     return versioned.read_version(spark, root, STAGE3_MONTHLY, version).select(*OUT_COLS)
 
 
+@owns_scratch
 def update_stage3_published(spark: SparkSession, pseudo_root: str, root: str, sites: DataFrame, rewrite_days: int = 3,
                             lookback_issue_days: int | None = None, schema: T.StructType = PSEUDO) -> int | None:
     """Job: PL-06 by month, as a new published version; returns its number, or None if there is nothing to write.
@@ -232,6 +237,7 @@ def update_stage3_published(spark: SparkSession, pseudo_root: str, root: str, si
 STAGE2_KEYS = ["reference_datetime", "site_id"]
 
 
+@owns_scratch
 def build_stage2_published(spark: SparkSession, stage1_root: str, root: str, sites: DataFrame, run_date,
                            lookback_days: int = 7, schema: T.StructType = STAGE1) -> list[str]:
     """Job: ``build_stage2`` as a new published version: all missing dates appear together or not at all.
@@ -358,12 +364,14 @@ def legacy_stage2_frame(stage1: DataFrame, runs: DataFrame, sites: DataFrame, **
                     "datetime", "variable", "prediction", "reference_datetime")
 
 
+@owns_scratch
 def build_legacy_stage2(spark: SparkSession, stage1: DataFrame, runs: DataFrame, sites: DataFrame,
                         root: str) -> None:
     """Job: PL-09 + IO-09, one folder per (cycle, start_date, site_id)."""
     write_positional_runs(legacy_stage2_frame(stage1, runs, sites), root)
 
 
+@owns_scratch
 def stage2_chain(spark: SparkSession, raw: DataFrame, stage1_root: str, stage2_root: str,
                  sites: DataFrame, run_date, lookback_days: int = 7, start=None) -> list[str]:
     """PL-17: land the stage-1 backlog, then build the stage-2 backlog."""
@@ -373,6 +381,7 @@ def stage2_chain(spark: SparkSession, raw: DataFrame, stage1_root: str, stage2_r
     return build_stage2(spark, stage1_root, stage2_root, sites, run_date, lookback_days)
 
 
+@owns_scratch
 def stage3_chain(spark: SparkSession, raw: DataFrame, pseudo_root: str, stage3_root: str,
                  sites: DataFrame, run_date, start=PSEUDO_START) -> list[str]:
     """PL-17: land the pseudo-observation backlog, then update stage 3."""
@@ -381,6 +390,7 @@ def stage3_chain(spark: SparkSession, raw: DataFrame, pseudo_root: str, stage3_r
     return update_stage3(spark, pseudo_root, stage3_root, sites)
 
 
+@owns_scratch
 def legacy_chain(spark: SparkSession, stage1: DataFrame, stage2_root: str, stage3_root: str, sites: DataFrame,
                  dates: list[str], run_date, start_date: str = LEGACY_START) -> None:
     """PL-17: the legacy 1 -> 2 -> 3 chain: every planned run's stage 2, then the stage-3 append."""

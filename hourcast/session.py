@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -66,8 +68,55 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
         base = tempfile.mkdtemp(prefix="hourcast-ckpt-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base
-    base = base.rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES.get():
+        _SCOPES.get()[-1].paths.append(path)
+    return path
+
+
+#: Open scopes of the running job, the innermost last.
+_SCOPES: ContextVar[tuple["ScratchScope", ...]] = ContextVar("scratch_scopes", default=())
+
+
+class ScratchScope:
+    """IO-14: owns the scratch folders that are named while it is open, and deletes them when it closes, after failures too.
+
+    A result that must outlive the scope is written by ``hand_over``; its folder belongs to the scope around, or to
+    the caller if there is none.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> "ScratchScope":
+        self._around = _SCOPES.set((*_SCOPES.get(), self))
+        return self
+
+    def __exit__(self, *failure) -> None:
+        _SCOPES.reset(self._around)
+        for path in self.paths:
+            drop_scratch(self.spark, path)
+
+    def hand_over(self, df, name: str = "table"):
+        """``df`` written to a folder that stays, and read back; everything in the scope may go then."""
+        inner = _SCOPES.set(_SCOPES.get()[:-1])
+        try:
+            path = scratch_dir(self.spark, name)
+        finally:
+            _SCOPES.reset(inner)
+        df.write.mode("overwrite").parquet(path)
+        out = self.spark.read.parquet(path)
+        out.scratch_path = path
+        return out
+
+
+def owns_scratch(job):
+    """Decorator of a job (spark, ...) whose result needs none of the scratch folders it makes."""
+    @functools.wraps(job)
+    def run(spark: SparkSession, *args, **kwargs):
+        with ScratchScope(spark):
+            return job(spark, *args, **kwargs)
+    return run
 
 
 def drop_scratch(spark: SparkSession, path: str) -> None:

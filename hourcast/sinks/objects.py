@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from hourcast.session import ScratchScope
 from hourcast.sinks.util import materialize
 from hourcast.sources.store import list_objects, open_store
 
@@ -31,7 +32,6 @@ def sync_objects(spark: SparkSession, src: str, dst: str) -> DataFrame:
     deleted with that folder. A second run finds nothing to copy.
     """
     job = f"_sync-{uuid.uuid4().hex[:12]}"
-    wanted = materialize(missing_objects(spark, src, dst), "missing_objects")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -50,7 +50,9 @@ def sync_objects(spark: SparkSession, src: str, dst: str) -> DataFrame:
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
-        return materialize(wanted.repartition(parts, "path").mapInArrow(run, "path string, length long"), "copied_objects")
+        with ScratchScope(spark) as scratch:
+            wanted = materialize(missing_objects(spark, src, dst), "missing_objects")
+            return scratch.hand_over(wanted.repartition(parts, "path").mapInArrow(run, "path string, length long"), "copied_objects")
     finally:
         from pyarrow.fs import FileType
 

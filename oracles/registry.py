@@ -309,3 +309,13 @@ ORACLE["stage3_update_published"] = ORACLE["stage3_update"]
 ORACLE["stage3_version_before"] = W(P, SITES, f"early AS (SELECT * FROM pseudo WHERE reference_datetime < '{UPDATE_SPLIT}')",
                                     to_hourly_sql("early", "hp", ["site_id"], True), STAGE3) + " " + rsw("stage3")
 ORACLE["stage2_published"] = ORACLE["stage2_build"]
+ORACLE["site_faults"] = W(P) + """ SELECT site_id, CASE site_id WHEN 'TOOK' THEN 'repeated' WHEN 'BARC' THEN 'unreadable' ELSE 'no place' END AS fault,
+  CASE site_id WHEN 'TOOK' THEN CAST(2 AS BIGINT) ELSE 1 END AS n_lines, count(*) AS n_rows
+  FROM pseudo WHERE site_id IN ('TOOK', 'BARC', 'ALEX') GROUP BY ALL"""
+ORACLE["series_exceptions"] = W(P, """lone AS (SELECT p.* REPLACE (CASE WHEN variable = 'RH' AND ensemble = 'gep01'
+    AND p.datetime <> (SELECT max(q.datetime) FROM pseudo q WHERE q.site_id = p.site_id) THEN NULL ELSE prediction END AS prediction) FROM pseudo p)""",
+                                "odd AS (SELECT * FROM lone UNION ALL SELECT * REPLACE (prediction + 1 AS prediction) FROM lone WHERE variable = 'UGRD')",
+                                to_hourly_sql("odd", "hx", ["site_id"], True, use_solar=False)) + f"""
+  SELECT *, variable IN ({STATES}) AND n_values < 2 AS unfilled FROM (SELECT site_id, family, ensemble, variable,
+    count(prediction) AS n_values, count(*) - count(DISTINCT datetime) AS n_duplicates FROM hx_j GROUP BY site_id, family, ensemble, variable)
+  WHERE n_duplicates > 0 OR (variable IN ({STATES}) AND n_values < 2)"""

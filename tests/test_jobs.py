@@ -174,3 +174,55 @@ def test_gate_reads_the_listing_once(spark):
     gate = planner.availability_gate(spark.read.parquet(root), "2024-01-02", 1, "f006")
     assert plan(gate).count("FileScan") <= 2
     assert [tuple(r) for r in gate.collect()] == [(dt.date(2024, 1, 2), "gefs.20240102", 1, True)]
+
+
+def test_scopes_delete_what_they_made(spark):
+    from hourcast.session import ScratchScope
+    from hourcast.sinks.util import materialize
+    there = lambda: set(os.listdir(os.path.dirname(local(scratch_dir(spark)))))
+    before = there()
+    with ScratchScope(spark) as outer:
+        with ScratchScope(spark) as inner:
+            a = materialize(spark.range(3), "inner")
+            b = inner.hand_over(a.selectExpr("id * 2 as id"), "kept")
+        assert sorted(r.id for r in b.collect()) == [0, 2, 4]
+        assert [x.split("-")[0] for x in there() - before] == ["kept"]
+        c = outer.hand_over(b, "result")
+    assert [x.split("-")[0] for x in there() - before] == ["result"] and c.count() == 3
+    with pytest.raises(ZeroDivisionError), ScratchScope(spark):
+        materialize(spark.range(3), "failed")
+        1 / 0
+    drop_scratch(spark, c.scratch_path)
+    assert there() == before
+
+
+def test_jobs_leave_no_scratch(spark):
+    sites = builtin_sites(spark)
+    p, s3, s2 = (scratch_dir(spark, n) for n in ("pseudo", "stage3", "stage2"))
+    writers.write_partitioned(three_days(spark), p, FB)
+    there = lambda: set(os.listdir(os.path.dirname(local(p))))
+    before = there()
+    stages.rebuild_stage3(spark, p, s3, sites)
+    stages.update_stage3(spark, p, s3, sites)
+    stages.build_stage2(spark, p, s2, sites, "2024-01-03", 2)
+    assert there() - before == {os.path.basename(s3), os.path.basename(s2)}
+
+
+def test_faulty_site_lists_are_refused(spark, tmp_path):
+    from hourcast.sources.site_list import read_sites, site_faults
+    path = tmp_path / "sites.csv"
+    path.write_text("site_name,site_id,latitude,longitude\nA, a ,1.0,2.0\nB,b,one,2.0\nC,c,1.0\nD,,1.0,2.0\nE,e,91.0,2.0\nF,f,1.0,2.0\nF2,f,1.0,2.0\nG,g,,2.0\n")
+    faults = {(r.site_id, r.fault) for r in site_faults(spark, str(path)).collect()}
+    assert faults == {("b", "unreadable"), ("c", "no place"), (None, "no id"), ("e", "no place"), ("f", "repeated"), ("g", "no place")}
+    with pytest.raises(ValueError, match="b: unreadable .B,b,one,2.0."):
+        read_sites(spark, str(path))
+    assert [tuple(r) for r in read_sites(spark, str(path), strict=False).collect()] == [("A", "a", 1.0, 2.0)]
+
+
+def test_exceptions_are_counted(spark):
+    from hourcast.operators.hourly import disaggregate, series_exceptions
+    rows = stage1(spark, [("fcre", "gec00", "TMP", 0, "000", 1.0), ("fcre", "gec00", "TMP", 3, "003", None), ("fcre", "gec00", "RH", 0, "000", 1.0),
+                          ("fcre", "gec00", "RH", 3, "003", 2.0), ("fcre", "gec00", "RH", 3, "003", 2.0), ("fcre", "gec00", "RH", 3, "003", None)])
+    got = {r.variable: (r.n_values, r.n_duplicates, r.unfilled) for r in series_exceptions(disaggregate(rows, FB)).collect()}
+    assert got == {"TMP": (1, 0, True), "RH": (3, 2, False)}
+    assert series_exceptions(disaggregate(rows.limit(0), FB)).count() == 0
