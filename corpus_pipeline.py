@@ -1,7 +1,12 @@
 """The corpus pipeline: documents in, packed training sequences out.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which ``run`` writes
-as Parquet to the shared scratch folder and reads again for the next stage.
+as Parquet to the shared scratch folder and reads again for the next stage. Folders that are
+no longer read are deleted as it goes; at the end only the result's own is left.
+
+Repeated rows and ties: language ID, quality rules and decontamination judge every row by itself.
+Near-dedup keeps the row with the smallest id of a class (null last, then the smallest text hash; of
+equal rows one). Packing places every row by itself, in order of length, id and piece.
 """
 
 from __future__ import annotations
@@ -10,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hourcast.llm import decontaminate, langid, packing, quality, simhash, token_count
 from hourcast.llm.common import pick, table
+from hourcast.session import ScratchScope, drop_scratch
 from hourcast.sinks.util import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -62,7 +68,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        with ScratchScope(spark) as scratch:  # what the stage leaves goes once its result is written
+            docs = scratch.hand_over(stage(spark, docs, sf_dir), name)
+        if before:
+            drop_scratch(spark, before)
+        before = docs.scratch_path
     return docs
