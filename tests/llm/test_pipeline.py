@@ -79,3 +79,13 @@ def test_null_language_is_filled(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     got = {r.doc_id: r.lang for r in corpus_pipeline.language(spark, df, SF).collect()}
     assert got == {**{i: lang for i, _, lang, _, _ in rows[:80]}, 100: "aa", 101: "bb"}
+
+
+def test_run_leaves_only_its_result(spark):
+    import os
+
+    from hourcast.session import scratch_dir
+    there = lambda: set(os.listdir(os.path.dirname(scratch_dir(spark)).removeprefix("file:")))
+    before = there()
+    out = corpus_pipeline.run(spark, SF)
+    assert out.count() > 0 and there() - before == {os.path.basename(out.scratch_path)}
