@@ -19,6 +19,7 @@ ids. Null ids come first. Rows with equal id are ordered by their text's hash.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -49,13 +50,22 @@ PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]*)")
 MARK = "\x01"
 
 
+#: Settings under which a text's ids are its words' ids: white space is dropped, letters are lower-cased, and
+#: runs of letters and of other characters are never joined (fixed values of the public word vocabulary).
+WORDWISE = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
+
+
 class Encoder:
-    """The tokenizers library, asked once for every word.
+    """The tokenizers library, asked once for every word where the tokenizer's settings are ``WORDWISE``.
 
-    The vocabulary drops white space and never joins across it, so a text's ids are
-    its words' ids one after the other. It also lower-cases, and a run of letters and
-    a run of punctuation are never joined either, so "Word," is looked up as "word"
-    and ",": fewer words to ask for, the same ids.
+    Then a text's ids are its words' ids one after the other, and "Word," is looked up as "word"
+    and ",": fewer words to ask for, the same ids. With any other settings whole texts are encoded.
     """
 
     def __init__(self, path: str) -> None:
@@ -63,6 +73,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        settings = json.loads(self.tokenizer.to_str())
+        self.wordwise = all(settings.get(k) == v for k, v in WORDWISE.items()) and not settings["model"].get("dropout")
         self.memo: dict[str, bytes] = {}
         self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
 
@@ -82,6 +94,10 @@ class Encoder:
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, with the end ids; ids of each text)."""
+        if not self.wordwise:
+            coded = self.tokenizer.encode_batch_fast([t or "" for t in texts.to_pylist()], add_special_tokens=False)
+            each = [np.array([*e.ids, END], dtype="<u4") for e in coded]
+            return (np.concatenate(each) if each else np.empty(0, dtype="<u4")), np.array([len(x) for x in each], dtype=np.int64)
         words, per_text = split_words(texts)
         coded = words.dictionary_encode()
         known = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # far faster than to_pylist

@@ -265,6 +265,25 @@ def test_ranks_are_dense(spark):
     assert sorted(r._rank for r in rows) == list(range(1000))
 
 
+def test_other_tokenizers_encode_whole_texts(spark, tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+    assert token_store.encoder(token_store.default_tokenizer()).wordwise
+    t = Tokenizer(models.WordLevel({"<unk>": 4, "Word": 5, "word": 6, ",": 7}, unk_token="<unk>"))
+    t.pre_tokenizer = pre_tokenizers.Whitespace()
+    path = str(tmp_path / "cased.json")
+    t.save(path)
+    texts = {1: "Word, word", 2: None, 3: "word Word other ,", 4: ""}
+    out = str(tmp_path / "shards")
+    token_store.write_tokens(docs(spark, list(texts.items())), out, tokenizer=path)
+    got = {r.id: (r.start, r.n_tokens, r.ids_crc32) for r in token_store.read_tokens(spark, out).collect()}
+    at = 0
+    for i, text in texts.items():
+        ids = np.array([*t.encode(text or "").ids, 1], dtype="<u4")
+        assert got[i] == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+    assert t.encode("Word, word").ids == [5, 7, 6]
+
+
 def test_re_pair_goes_on_until_no_pair_is_frequent():
     r = np.random.default_rng(4)
     ids = r.zipf(1.3, 400_000).clip(max=2000).astype(np.uint32)
