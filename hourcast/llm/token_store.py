@@ -39,8 +39,8 @@ SHARD_TOKENS = 1 << 17
 #: Uses that make a rule worth its place.
 MIN_USES = 8
 PAIRS_PER_ROUND = 1024
-#: Words whose ids a worker remembers.
-MEMO = 800_000
+#: Words whose ids a worker remembers, in two halves: those of late, and those before them.
+MEMO = 1_000_000
 MAGIC = b"RPS1"
 
 
@@ -76,6 +76,7 @@ class Encoder:
         settings = json.loads(self.tokenizer.to_str())
         self.wordwise = all(settings.get(k) == v for k, v in WORDWISE.items()) and not settings["model"].get("dropout")
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
 
     def ask(self, words: list[str], step: int = 256) -> None:
@@ -101,18 +102,28 @@ class Encoder:
         words, per_text = split_words(texts)
         coded = words.dictionary_encode()
         known = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # far faster than to_pylist
-        memo = self.memo
+        memo, older = self.memo, self.older
         parts = list(map(memo.get, known))
         split = {}  # words not seen before, as letters and what follows
         for i, data in enumerate(parts):
             if data is None:
+                if (data := older.get(known[i])) is not None:
+                    parts[i] = memo[known[i]] = data  # used again: it stays
+                    continue
                 m = PLAIN.fullmatch(known[i])
                 split[i] = (m[1].lower(), m[2]) if m else (known[i],)
-        self.ask([x for x in dict.fromkeys(x for two in split.values() for x in two) if x not in memo])
+        unknown = []
+        for x in dict.fromkeys(x for two in split.values() for x in two):
+            if x not in memo:
+                if (data := older.get(x)) is not None:
+                    memo[x] = data
+                else:
+                    unknown.append(x)
+        self.ask(unknown)
         for i, two in split.items():
             parts[i] = memo[known[i]] = b"".join([memo[x] for x in two])
-        if len(memo) > MEMO:
-            memo.clear()
+        if len(memo) > MEMO // 2:
+            self.memo, self.older = {}, memo
         size = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
         flat = np.frombuffer(b"".join(parts), dtype="<u4")
         first = np.cumsum(size) - size
