@@ -139,6 +139,10 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+#: Labels up to which their bounds (a name and a number each) are sent to all tasks; beyond, rows are shuffled to them.
+BROADCAST_LABELS = 4096
+
+
 def windows_of(data: bytes, window: int) -> np.ndarray:
     """The bytes in rows of ``window``; the last is padded with zeros."""
     n = -(-max(1, len(data)) // window)
@@ -166,7 +170,7 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     def below(rows: DataFrame, bounds: dict[str, int]) -> DataFrame:
         """Rows whose hash is at most their language's bound; joined, so that any number of languages can be asked for."""
         at = df.sparkSession.createDataFrame(list(bounds.items()), "lang string, bound long")
-        return rows.join(at, "lang").where("h <= bound")
+        return rows.join(F.broadcast(at) if len(bounds) <= BROADCAST_LABELS else at, "lang").where("h <= bound")
 
     rough = {lang: min((1 << 63) - 1, (4 * per_language << 64) // n - (1 << 63)) for lang, n in counts.items()}
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
