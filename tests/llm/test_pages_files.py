@@ -125,30 +125,96 @@ def brute_scan(files):
         other = sum(n for w, n in v.items() if w not in vocabulary)
         return {w: n * idf[w] for w, n in v.items() if w in vocabulary}, other
 
+    template = {tt: vector(tt) for ts in license_scan.TEMPLATES.values() for tt in ts}
+
     def cosine(a, b):
-        (x, ox), (y, oy) = vector(a), vector(b)
+        (x, ox), (y, oy) = a, template[b]
         size = np.sqrt((sum(i * i for i in x.values()) + ox) * (sum(i * i for i in y.values()) + oy))
         return sum(i * y.get(w, 0) for w, i in x.items()) / size if size else 0
+    def named(part, scored):
+        top = max(v for v, _, _ in scored)
+        near = {}
+        for v, name, tt in scored:
+            if v >= top - license_scan.NEAR and (name not in near or v > near[name][0]):
+                near[name] = (v, tt)
+        has = set(words(part))
+        for name, (_, tt) in near.items():
+            for other, (_, rival) in near.items():
+                tell = (set(words(tt)) ^ set(words(rival)))
+                agree = sum(idf[w] ** 2 * (1 if (w in has) == (w in words(tt)) else -1) for w in tell)
+                if other != name and (not tell or agree < license_scan.MARGIN * sum(idf[w] ** 2 for w in tell)):
+                    break
+            else:
+                return name
+        return license_scan.AMBIGUOUS
     out = {}
     for i, _, t in files:
-        parts = [x for x in (t or "").split("\n") if x.strip()] + [t or ""]
-        best = max(((cosine(p, tt), name) for p in parts for name, ts in license_scan.TEMPLATES.items() for tt in ts), default=(0, None), key=lambda x: x[0])
-        out[i] = best if best[0] >= license_scan.MIN_SCORE else (0, None)
+        found = []
+        blocks = [x for x in re.split(r"\n[ \t\r]*\n", t or "") if "\n" in x.strip()]
+        for part in [x for x in (t or "").split("\n") if x.strip()] + blocks + [t or ""]:
+            if not set(words(part)) & vocabulary:
+                continue
+            mine = vector(part)
+            scored = [(cosine(mine, tt), name, tt) for name, ts in license_scan.TEMPLATES.items() for tt in ts]
+            top = max(v for v, _, _ in scored)
+            if top >= license_scan.MIN_SCORE:
+                name = named(part, scored)
+                found.append((name == license_scan.AMBIGUOUS, -top, name))
+        out[i] = (-min(found)[1], min(found)[2]) if found else (0, None)
     return out
 
 
 def test_scan_against_brute_force(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
-    files = [(r.doc_id, "x", r.text) for r in rows][:80] + [(900, "x", license_scan.TEMPLATES["MIT"][1].replace(", ", ",\n")), (901, "x", "Licensed under the Apache License"), (902, "x", None)]
+    known = license_scan.NOTICES
+    files = [(r.doc_id, "x", r.text) for r in rows][:80] + [
+        (900, "x", known["MIT"][0].replace(", ", ",\n")), (901, "x", "Licensed under the Apache License"), (902, "x", None),
+        (903, "x", known["BSD-2-Clause"][0]), (904, "x", known["BSD-3-Clause"][1].replace(". ", ".\n")), (905, "x", ""),
+        (906, "x", "Licensed under the GNU General Public License.\n\nReleased under the ISC License.")]
     want = brute_scan(files)
     got = license_scan.scan(spark.createDataFrame(files, "doc_id long, path string, text string")).collect()
     assert {r.id: r.own for r in got} == {i: name for i, (_, name) in want.items()}
     assert all(abs(r.score - want[r.id][0]) < 1e-9 for r in got)
-    assert any(r.own for r in got if r.id < 900) and [r.own for r in got if r.id == 900] == ["MIT"]
+    own = {r.id: r.own for r in got}
+    assert (own[900], own[903], own[904], own[906]) == ("MIT", license_scan.AMBIGUOUS, "BSD-3-Clause", "ISC")
+
+
+GNU = ("This program is free software; you can redistribute it and/or modify it under the terms of the {} as published by the Free "
+       "Software Foundation; either version {} of the License, or (at your option) any later version.")
+
+
+def test_near_licences_are_told_apart(spark):
+    known = license_scan.NOTICES
+    texts = {GNU.format("GNU General Public License", "2"): "GPL-2.0", GNU.format("GNU General Public License", "3"): "GPL-3.0",
+             GNU.replace("program", "library").format("GNU Lesser General Public License", "2.1"): "LGPL-2.1",
+             GNU.replace("program", "library").format("GNU Lesser General Public License", "3"): "LGPL-3.0",
+             GNU.format("GNU Affero General Public License", "3"): "AGPL-3.0", "GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991": "GPL-2.0",
+             "Licensed under CC BY-ND 4.0.": "CC-BY-ND-4.0", "Licensed under CC BY 4.0.": "CC-BY-4.0", "Licensed under CC BY 3.0.": "CC-BY-3.0",
+             "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.": "CC-BY-ND-4.0",
+             "SPDX-License-Identifier: MIT": "MIT", "// SPDX-License-Identifier: GPL-2.0-only": "GPL-2.0", "Licensed under the MIT license.": "MIT",
+             "# SPDX-License-Identifier: LGPL-2.1-or-later": "LGPL-2.1", known["ISC"][0]: "ISC", known["BSD-2-Clause"][1]: "BSD-2-Clause",
+             known["BSD-3-Clause"][1]: "BSD-3-Clause", known["BSD-3-Clause"][0]: license_scan.AMBIGUOUS,
+             "This work is licensed under the GNU General Public License.": license_scan.AMBIGUOUS,
+             "Licensed under the terms of the Apache License, Version 2.0": "Apache-2.0", "All rights reserved.": "proprietary"}
+    plain = ["This is prose number %d about the public work of a version of the law." % k for k in range(300)]
+    rows = list(enumerate([*texts, *plain, " ".join(f"word{k}" for k in range(200_000)) + "\n" + list(texts)[0]]))
+    df = spark.createDataFrame([(i, "p", t, "x", 0.5) for i, t in rows], "doc_id long, path string, text string, own string, score double")
+    got = {r.id: r.own for r in license_scan.scan(df).collect()}
+    assert [(t, got[i]) for i, t in rows if i < len(texts)] == list(texts.items())
+    assert {got[i] for i, _ in rows[len(texts):-1]} == {None} and got[len(rows) - 1] == "GPL-2.0"
+
+
+def test_ties_in_a_directory(spark):
+    """Of equal licence files the smallest path counts, then the name; a file that names its licence goes before an ambiguous one."""
+    files = [(1, "a/LICENSE", license_scan.NOTICES["BSD-2-Clause"][0]), (2, "a/NOTICE", "Licensed under CC BY 1.0"), (3, "a/COPYING", "Licensed under the terms of the MIT License."),
+             (4, "a/x.txt", "x"), (5, "b/NOTICE", "Released under the ISC License."), (6, "b/LICENSE", "Released under the MIT License."), (7, "b/x.txt", "x"),
+             (8, "c/LICENSE", "Released under the MIT License."), (9, "c/LICENSE", "Released under the ISC License."), (10, "c/x.txt", None), (10, "c/x.txt", None)]
+    got = {r.id: (r.license, r.license_from) for r in license_scan.inherit(license_scan.scan(spark.createDataFrame(files, "doc_id long, path string, text string"))).collect()}
+    assert (got[4], got[7], got[10]) == (("MIT", "a/COPYING"), ("MIT", "b/LICENSE"), ("ISC", "c/LICENSE"))
 
 
 def test_inheritance(spark):
-    lic = {"MIT": "Released under the MIT License.", "Apache-2.0": "Licensed under the Apache License, Version 2.0.", "GPL-3.0": license_scan.TEMPLATES["GPL-3.0"][0]}
+    lic = {"MIT": "Released under the MIT License.", "Apache-2.0": "Licensed under the Apache License, Version 2.0.", "GPL-3.0": "This work is licensed under the GNU General Public License, version 3."}
     files = [(1, "LICENSE", lic["MIT"]), (2, "a/b/c.txt", "plain prose"), (3, "a/LICENSE.md", "words\n" + lic["Apache-2.0"]), (4, "a/b/own.txt", " ".join(f"word{k}" for k in range(400)) + "\n" + lic["GPL-3.0"]),
              (5, "z/q.txt", "x"), (6, None, "x"), (7, "a/b/d/e.txt", None), (8, "a/b/d/LICENSE", "nothing known"), (5, "z/q.txt", "x"), (9, "top.txt", "")]
     df = spark.createDataFrame([(i, p, t, "other", 1) for i, p, t in files], "doc_id long, path string, text string, license string, up int")
