@@ -11,12 +11,15 @@ covered all the same. A document holds an item if its tiles cover at least
 ``COVERAGE`` of the item's tokens. An item shorter than ``MIN_MATCH`` is matched whole.
 
 The items are a stated query set: they are taken in blocks of bounded size (by a
-hash of the item, ``BLOCK_BYTES`` on average), each sent to the tasks and run
-against all documents. Ties between equally long matches go to the earlier place
+hash of the item, ``BLOCK_BYTES`` on average; one item is never split), each sent to the tasks.
+One stage reads the documents once and holds every Arrow batch, its tokens cut once, against all
+blocks in turn. Up to ``BLOCKS_HELD`` blocks stay in a task's memory; beyond that each is read
+from the executor's copy for every batch and let go again. Ties between equally long matches go to the earlier place
 in the item, then in the document.
 
 Null texts and texts without tokens match nothing. Repeated documents are judged
-one by one, repeated items (same id and text) once.
+one by one, repeated items (same id and text) once. Extra columns and clashing names
+are allowed: the first column of a name counts, ``without_leaks`` returns all of them as they came.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from hourcast.llm.common import pick, prepare
@@ -35,6 +39,8 @@ from hourcast.llm.common import pick, prepare
 MIN_MATCH = 5
 COVERAGE = 0.5
 BLOCK_BYTES = 8 << 20
+#: Blocks that a task keeps in memory.
+BLOCKS_HELD = 4
 #: Seed hits of one document that are held at once; beyond, pairs are scanned diagonal by diagonal.
 MAX_HITS = 1_000_000
 #: Trimmed from both ends of a word.
@@ -143,11 +149,10 @@ class Block:
             seeds[m] = h[order], item[order], place[order]
         return cls([i for i, _ in rows], coded.dictionary, items, seeds, min_match)
 
-    def overlaps(self, texts: pa.Array, coverage: float) -> list[tuple[int, int, int, int, int]]:
-        """(row, item, covered tokens, tiles, longest tile) of every pair at ``coverage`` or more."""
+    def overlaps(self, flat: pa.Array, per_text: np.ndarray, coverage: float) -> list[tuple[int, int, int, int, int]]:
+        """(row, item, covered tokens, tiles, longest tile) of every pair at ``coverage`` or more, from ``tokens`` of the texts."""
         if not self.seeds:
             return []
-        flat, per_text = tokens(texts)
         ids = pc.fill_null(pc.index_in(flat, value_set=self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
         end = np.cumsum(per_text)
         out = []
@@ -217,22 +222,33 @@ def blocks(benchmark: DataFrame, id_col: str, text_col: str, min_match: int, blo
         yield Block.build(sorted(((r["id"], r["text"]) for r in rows), key=lambda r: (r[0] is not None, r)), min_match)
 
 
+def _sent(benchmark: DataFrame, id_col: str, text_col: str, min_match: int, block_bytes: int) -> list[Broadcast]:
+    """Every block as a broadcast; the driver holds one block at a time."""
+    sc = benchmark.sparkSession.sparkContext
+    return [sc.broadcast(b) for b in blocks(benchmark, id_col, text_col, min_match, block_bytes)]
+
+
+def _in_turn(sent: list[Broadcast]) -> Iterator[Block]:
+    for b in sent:
+        yield b.value
+        if len(sent) > BLOCKS_HELD:
+            vars(b).pop("_value", None)  # read again from the executor's copy when it is next asked for
+
+
 def overlaps(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              item_id_col: str = "item_id", item_text_col: str = "text", min_match: int = MIN_MATCH,
              coverage: float = COVERAGE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(id, item_id, item_tokens, covered, coverage, n_tiles, longest_tile) of every document and item it holds."""
-    spark = df.sparkSession
-    prepare(spark)
+    prepare(df.sparkSession)
     d = pick(df, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
     schema = "id long, item_id long, item_tokens long, covered long, coverage double, n_tiles long, longest_tile long"
-    result = None
-    for block in blocks(benchmark, item_id_col, item_text_col, min_match, block_bytes):
-        sent = spark.sparkContext.broadcast(block)  # block_bytes on average
-
-        def run(it: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            b = sent.value
-            for batch in it:
-                found = b.overlaps(batch.column("text"), coverage)
+    sent = _sent(benchmark, item_id_col, item_text_col, min_match, block_bytes)
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            cut = tokens(batch.column("text"))
+            for b in _in_turn(sent):
+                found = b.overlaps(*cut, coverage)
                 rows = pa.array([r for r, *_ in found], pa.int64())
                 size = [len(b.items[k]) for _, k, *_ in found]
                 yield pa.RecordBatch.from_arrays([
@@ -242,25 +258,24 @@ def overlaps(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
                     pa.array([t for *_, t, _ in found], pa.int64()), pa.array([x for *_, x in found], pa.int64()),
                 ], names=["id", "item_id", "item_tokens", "covered", "coverage", "n_tiles", "longest_tile"])
 
-        part = d.mapInArrow(run, schema)
-        result = part if result is None else result.unionByName(part)
-    return spark.createDataFrame([], schema) if result is None else result
+    return d.mapInArrow(run, schema)
 
 
 def without_leaks(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
                   item_text_col: str = "text", min_match: int = MIN_MATCH, coverage: float = COVERAGE,
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``df`` (all its columns, which need distinct names) that hold no item."""
-    spark = df.sparkSession
-    prepare(spark)
-    for block in blocks(benchmark, item_id_col, item_text_col, min_match, block_bytes):
-        sent = spark.sparkContext.broadcast(block)
-
-        def run(it: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            for batch in it:
-                clean = np.ones(batch.num_rows, dtype=bool)
-                clean[[r for r, *_ in sent.value.overlaps(batch.column(text_col), coverage)]] = False
-                yield batch.filter(pa.array(clean))
-
-        df = df.mapInArrow(run, df.schema)
-    return df
+    """The rows of ``df``, all its columns, that hold no item."""
+    prepare(df.sparkSession)
+    names, at = df.columns, df.columns.index(text_col)
+    df = df.toDF(*[f"_{i}" for i in range(len(names))])
+    sent = _sent(benchmark, item_id_col, item_text_col, min_match, block_bytes)
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            cut = tokens(batch.column(at))
+            clean = np.ones(batch.num_rows, dtype=bool)
+            for b in _in_turn(sent):
+                clean[[r for r, *_ in b.overlaps(*cut, coverage)]] = False
+            yield batch.filter(pa.array(clean))
+
+    return df.mapInArrow(run, df.schema).toDF(*names)

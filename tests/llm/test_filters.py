@@ -249,13 +249,55 @@ def test_overlaps_against_brute_force(spark, monkeypatch):
                     want[i, k, len(x), covered] += 1
     read = lambda **kw: collections.Counter((r.id, r.item_id, r.item_tokens, r.covered) for r in decontaminate.overlaps(d, b, **kw).collect())
     assert want and read() == want
-    assert read(block_bytes=64) == want
+    assert read(block_bytes=64) == want and len(list(decontaminate.blocks(b, "item_id", "text", 5, 64))) > decontaminate.BLOCKS_HELD
     block = decontaminate.Block.build([(k, t) for k, t in set(items) if t is not None], 5)
-    hits = [(row, block.item_ids[k], c) for row, k, c, *_ in block.overlaps(pa.array([t for _, t in texts]), 0.5)]
+    hits = [(row, block.item_ids[k], c) for row, k, c, *_ in block.overlaps(*decontaminate.tokens(pa.array([t for _, t in texts])), 0.5)]
     monkeypatch.setattr(decontaminate, "MAX_HITS", 3)
-    assert sorted(hits, key=str) == sorted([(row, block.item_ids[k], c) for row, k, c, *_ in block.overlaps(pa.array([t for _, t in texts]), 0.5)], key=str)
-    clean = {r.doc_id for r in decontaminate.without_leaks(d, b).collect()}
-    assert clean == {i for i, _ in texts} - {k[0] for k in want}
+    assert sorted(hits, key=str) == sorted([(row, block.item_ids[k], c) for row, k, c, *_ in block.overlaps(*decontaminate.tokens(pa.array([t for _, t in texts])), 0.5)], key=str)
+    for size in (decontaminate.BLOCK_BYTES, 64):
+        clean = {r.doc_id for r in decontaminate.without_leaks(d, b, block_bytes=size).collect()}
+        assert clean == {i for i, _ in texts} - {k[0] for k in want}
+
+
+def test_one_python_stage_for_all_blocks(spark):
+    d = docs(spark, [(1, "x")])
+    b = spark.createDataFrame([(i, f"item {i} with a few words of its own " * 3) for i in range(60)], "item_id long, text string")
+    for out in (decontaminate.overlaps(d, b, block_bytes=256), decontaminate.without_leaks(d, b, block_bytes=256)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") == 1 and "Union" not in plan and out.count() in (0, 1)
+
+
+def test_decontamination_of_clashing_names(spark):
+    """The first column of a name counts; without_leaks returns every column as it came."""
+    item = "alpha beta gamma delta epsilon zeta eta theta"
+    rows = [(1, f"so {item} it is", "a", 1, 0.5, "p"), (2, "nothing of the kind is here", item, 2, 0.5, "q"), (2, "nothing of the kind is here", item, 2, 0.5, "q")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, TEXT string, id int, coverage double, item string").toDF("doc_id", "text", "text", "id", "coverage", "item_id")
+    b = spark.createDataFrame([(7, item, "no words shared", 3)], "item_id long, text string, extra string, id int").toDF("item_id", "text", "text", "id")
+    assert [(r.id, r.item_id) for r in decontaminate.overlaps(d, b).collect()] == [(1, 7)]
+    kept = decontaminate.without_leaks(d, b)
+    assert kept.columns == d.columns and [tuple(r) for r in kept.collect()] == rows[1:]
+
+
+def test_decontamination_query_against_brute_force(spark):
+    """All (document, item) pairs of the query's tables."""
+    read = lambda name: spark.read.parquet(f"{SF}/{name}.parquet")
+    items = [(r.item_id, words(r.text or "")) for r in read("benchmark").distinct().collect()]
+    got = {(r.doc_id, r.item_id, r.covered) for r in queries.op2_benchmark_decontamination(spark, SF).collect()}
+    want = set()
+    for r in read("documents").collect():
+        doc = words(r.text or "")
+        grams = {}
+        for k in range(len(doc) - 4):
+            grams.setdefault(tuple(doc[k:k + 5]), []).append(k)
+        for i, item in items:
+            shared = [k for k in range(len(item) - 4) if tuple(item[k:k + 5]) in grams]
+            if 2 * len({k + j for k in shared for j in range(5)}) >= len(item) > 0:
+                spots = sorted({s for k in shared for s in grams[tuple(item[k:k + 5])]})
+                part = [w for s in sorted({s + j for s in spots for j in range(5)}) for w in ([] if s - 1 in {x + j for x in spots for j in range(5)} else [None]) + [doc[s]]]
+                covered = sum(n for n, _, _ in brute_tiles(item, part, 5))
+                if 2 * covered >= len(item):
+                    want.add((r.doc_id, i, covered))
+    assert want and got == want
 
 
 def test_decontamination_edges(spark):
