@@ -12,6 +12,9 @@ from hourcast.sinks.util import materialize
 #: Rows and bytes per Arrow batch handed to Python; long texts must not add up to gigabytes.
 ARROW_ROWS = 2048
 ARROW_BYTES = 16 << 20
+#: A join key is hot if it has more rows than this and more than one in HOT_KEYS of all rows; so fewer than HOT_KEYS keys are.
+HOT_ROWS = 1 << 20
+HOT_KEYS = 4096
 
 
 def prepare(spark: SparkSession) -> None:
@@ -98,6 +101,27 @@ def ranked(df: DataFrame, order: list[str], name: str, partitions: int) -> DataF
             .drop("_task", "_before", "_at"))
 
 
+def join_one(many: DataFrame, one: DataFrame, key: str, how: str = "inner", rows: int | None = None) -> DataFrame:
+    """``many`` joined ("inner" or "left") with ``one``, which has at most one row of bounded size a key.
+
+    Rows of hot keys stay where they are: the few rows that ``one`` has for them are broadcast (fewer than ``HOT_KEYS``).
+    All other rows meet by shuffle. Null keys match nothing. ``rows`` is the number of rows of ``many``, if known;
+    both tables are read more than once, so they should be written ones or cheap.
+    """
+    if (many.count() if rows is None else rows) <= HOT_ROWS:  # no key can be hot
+        return many.join(one, key, how)
+    counts = many.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.agg(F.max("_n"), F.sum("_n")).first()
+    if top[0] <= HOT_ROWS:
+        return many.join(one, key, how)
+    hot = materialize(counts.where(F.col("_n") > max(HOT_ROWS, top[1] // HOT_KEYS)).select(key, F.lit(True).alias("_hot")), "hot_keys")
+    marked = many.join(F.broadcast(hot), key, "left")
+    stays = F.col("_hot").isNotNull() | F.col(key).isNull()
+    served = one.join(F.broadcast(hot.select(key)), key, "left_semi")
+    return (marked.where(stays).drop("_hot").join(F.broadcast(served), key, how)
+            .unionByName(marked.where(~stays).drop("_hot").join(one, key, how)))
+
+
 def running_total(df: DataFrame, key: str, value: str, out: str, group: int = 1024) -> DataFrame:
     """Adds ``out``: the sum of ``value`` over the rows with a smaller ``key`` (a dense count).
 
@@ -119,7 +143,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     of a node on their smallest common neighbour, so the number of rounds grows
     with the logarithm of the longest path. Every round is written to the shared
     folder, which cuts the lineage; only a count and a checksum reach the driver.
-    Nothing is gathered by node: minima are pre-aggregated and joined back.
+    Nothing is gathered by node: minima are pre-aggregated and joined back, hubs without a shuffle (``join_one``).
     """
     def mark(e: DataFrame):
         row = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -134,9 +158,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         both = e.select(F.col("u").alias("x"), F.col("v").alias("y")).unionByName(
             e.select(F.col("v").alias("x"), F.col("u").alias("y")))
         least = both.groupBy("x").agg(F.min("y").alias("m")).withColumn("m", F.least("m", "x"))
-        large = both.join(least, "x").where("y > x").select(F.col("y").alias("u"), F.col("m").alias("v"))
+        large = join_one(both.where("y > x"), least, "x", rows=before[0]).select(F.col("y").alias("u"), F.col("m").alias("v"))
         small = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(small, "u")
+        joined = join_one(large, small, "u", rows=before[0])
         e = materialize(joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                         .unionByName(small.select("u", F.col("m").alias("v"))).distinct(), "links")
         now = mark(e)

@@ -20,7 +20,8 @@ A file's own licence is its best match that names a licence (ties: the licence's
 Files without a licence of their own take that of the nearest directory above that has a
 licence file: one that is named like it, or whose whole text or first line matches (of several
 in one directory one that names a licence, then the best score, then the smallest path, then the
-licence's name). Only directories are joined with their ancestors; files are joined with their directory once.
+licence's name). Only directories are joined with their ancestors; files are joined with their directory once. A directory that is above very many
+others, or holds very many files, is joined without moving their rows (``common.join_one``).
 
 Null texts have no licence of their own, null paths lie in no directory. Rows that
 repeat a path are files of their own. Extra columns are left out, whatever their names.
@@ -36,7 +37,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from hourcast.llm.common import pick, prepare
+from hourcast.llm.common import join_one, pick, prepare
 from hourcast.sinks.util import materialize
 
 MIN_SCORE = 0.7
@@ -310,8 +311,9 @@ def inherit(files: DataFrame, license_file: str = LICENSE_FILE) -> DataFrame:
     dirs = dirs.withColumn("levels", F.when(F.col("dir") == "", 0).otherwise(F.size("parts")))
     above = dirs.withColumn("up", F.explode(F.sequence(F.lit(0), F.col("levels")))).withColumn(
         "above", F.array_join(F.slice("parts", 1, F.col("levels") - F.col("up")), "/"))
-    nearest = above.join(governing, "above").groupBy("dir").agg(F.min(F.struct("up", "license", "license_from")).alias("near"))
-    out = files.join(nearest, "dir", "left")
+    above = materialize(above.select("dir", "up", "above"), "ancestors")
+    nearest = join_one(above, governing, "above").groupBy("dir").agg(F.min(F.struct("up", "license", "license_from")).alias("near"))
+    out = join_one(files, nearest, "dir", "left")
     own = F.col("own").isNotNull()
     return out.select(
         "id", "path", "own", "score",

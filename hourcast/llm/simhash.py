@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hourcast.llm.common import batches_by, connected_components, pick, prepare
+from hourcast.llm.common import batches_by, connected_components, join_one, pick, prepare
 from hourcast.sinks.util import materialize
 
 SHINGLE = 4
@@ -201,10 +201,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     docs = materialize(fingerprints(df, id_col, text_col, shingle), "fingerprints")
     reps = materialize(docs.groupBy("fp").agg(F.min("id").alias("rep")), "distinct_fps")
     roots = connected_components(links(reps.select("fp"), radius, tile_rows)).withColumnRenamed("node", "fp")
-    reps = reps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    reps = materialize(reps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted_fps")
     least = reps.groupBy("root").agg(F.min("rep").alias("component"))
-    named = materialize(reps.join(least, "root").select("fp", "root", "component"), "components")
-    return docs.join(named, "fp").select("id", "text_hash", "fp", "root", "component")
+    named = materialize(join_one(reps, least, "root").select("fp", "root", "component"), "components")
+    return join_one(docs, named, "fp").select("id", "text_hash", "fp", "root", "component")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -215,9 +215,10 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     """
     found = near_duplicates(df, id_col, text_col, shingle, radius)
     first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("k"))
-    first = first.select(F.col("k.id").alias("_id"), F.col("k.text_hash").alias("_hash")).distinct()
+    place = ["_none", "_key", "_text"]  # never null, so the join and the removal of equal rows share one shuffle of the texts
+    first = first.select(F.col("k.none").alias("_none"), F.coalesce("k.id", F.lit(0)).alias("_key"), F.col("k.text_hash").alias("_text")).distinct()
     names = df.columns
     d = df.toDF(*[f"_{i}" for i in range(len(names))])
-    d = d.withColumn("_key", F.col(f"_{names.index(id_col)}").cast("long")).withColumn("_text", F.xxhash64(f"_{names.index(text_col)}"))
-    kept = d.join(first, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_semi")
-    return kept.dropDuplicates(["_key", "_text"]).drop("_key", "_text").toDF(*names)
+    key = F.col(f"_{names.index(id_col)}").cast("long")
+    d = d.withColumns({"_none": key.isNull(), "_key": F.coalesce(key, F.lit(0)), "_text": F.xxhash64(f"_{names.index(text_col)}")})
+    return d.join(first, place, "left_semi").dropDuplicates(place).drop(*place).toDF(*names)

@@ -5,9 +5,10 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 import xxhash
 
-from hourcast.llm import packing, queries, simhash, token_count, token_store
+from hourcast.llm import common, packing, queries, simhash, token_count, token_store
 from hourcast.llm.common import connected_components, ranked
 
 SF = "/root/testdata/sf0.001"
@@ -116,6 +117,52 @@ def test_every_link_shares_a_mask():
             assert any(a & (m % (1 << 64)) == b & (m % (1 << 64)) for m in masks)
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_of_hot_keys(spark, monkeypatch, how):
+    """Hot, null, missing and rare keys give the plain join's rows."""
+    many = [(1, k) for k in range(60)] + [(None, k) for k in range(40)] + [(2, k) for k in range(30)] + [(k, k) for k in range(3, 50)] + [(3, 3)] * 2
+    d = spark.createDataFrame(many, "key long, a long")
+    one = spark.createDataFrame([(k, f"v{k}") for k in [1, 3, 4, 5, 90, *range(20, 40)]] + [(None, "null")], "key long, b string")
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    want = rows(d.join(one, "key", how))
+    assert rows(common.join_one(d, one, "key", how)) == want
+    for hot, keys in ((10, 4096), (10, 4), (45, 4096), (10 ** 6, 4)):
+        monkeypatch.setattr(common, "HOT_ROWS", hot)
+        monkeypatch.setattr(common, "HOT_KEYS", keys)
+        assert rows(common.join_one(d, one, "key", how)) == want == rows(common.join_one(d, one, "key", how, rows=len(many)))
+    assert common.join_one(d.limit(0), one, "key", how).count() == 0
+
+
+def test_components_with_hubs(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    r = random.Random(4)
+    edges = [(0, k) for k in range(1, 40)] + [(k, 500) for k in range(100, 140)] + [(r.randrange(600, 700), r.randrange(600, 700)) for _ in range(60)] + [(39, 39), (139, 610)]
+    parent = {n: n for e in edges for n in e}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in edges:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    got = {x.node: x.root for x in common.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {n: find(n) for a, b in edges if a != b for n in (a, b)}
+
+
+def test_keep_one_shuffles_texts_once(spark):
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    out = simhash.keep_one(d)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = out.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    text = d.columns.index("text")
+    wide = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x and "_none" in x and "_key" in x]
+    assert text >= 0 and len(wide) == 2, plan  # one of the documents, one of the kept ids
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(1000, 999), (5, 5)], "a long, b long")
     got = {r.node: r.root for r in connected_components(edges).collect()}

@@ -9,7 +9,7 @@ import re
 import numpy as np
 import pytest
 
-from hourcast.llm import html_extract, license_scan, queries, warc_fixity
+from hourcast.llm import common, html_extract, license_scan, queries, warc_fixity
 
 SF = "/root/testdata/sf0.001"
 
@@ -213,7 +213,9 @@ def test_ties_in_a_directory(spark):
     assert (got[4], got[7], got[10]) == (("MIT", "a/COPYING"), ("MIT", "b/LICENSE"), ("ISC", "c/LICENSE"))
 
 
-def test_inheritance(spark):
+@pytest.mark.parametrize("hot_rows", [1 << 20, 1])
+def test_inheritance(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(common, "HOT_ROWS", hot_rows)
     lic = {"MIT": "Released under the MIT License.", "Apache-2.0": "Licensed under the Apache License, Version 2.0.", "GPL-3.0": "This work is licensed under the GNU General Public License, version 3."}
     files = [(1, "LICENSE", lic["MIT"]), (2, "a/b/c.txt", "plain prose"), (3, "a/LICENSE.md", "words\n" + lic["Apache-2.0"]), (4, "a/b/own.txt", " ".join(f"word{k}" for k in range(400)) + "\n" + lic["GPL-3.0"]),
              (5, "z/q.txt", "x"), (6, None, "x"), (7, "a/b/d/e.txt", None), (8, "a/b/d/LICENSE", "nothing known"), (5, "z/q.txt", "x"), (9, "top.txt", "")]
