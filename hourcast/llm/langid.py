@@ -8,13 +8,14 @@ windows' mean log-probability, each weighted by its bytes, made into
 probabilities again.
 
 Training (Adam, on the driver) uses at most ``per_language`` labelled texts of each
-language, those with the smallest hash of id and text, and at most ``train_bytes``
+language, those with the smallest hash of the text, and at most ``train_bytes``
 of each: a bounded sample; the bounds are parameters. Every non-null label is
 learned, however many there are, so the sample and the time to train grow with
 their number. Prediction reads whole texts.
 
 Null text and text without a letter give ``und`` with score 0. So does an operator
-that was trained on no rows. Repeated rows are predicted alike.
+that was trained on no rows. Repeated rows are predicted alike; of equal
+probabilities the first language in sorted order is taken.
 """
 
 from __future__ import annotations

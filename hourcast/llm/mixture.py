@@ -23,8 +23,9 @@ source with a target below one token a window is no queue of its own: these (and
 its share of the tokens. No queue's target is less than one unit.
 
 A queue's order is that of the scan: by task, then by row. Texts are tokenized once, in
-place, and written with their place in their task; only sums by (task, source)
-are exchanged, never ids or texts.
+place, and written with their place in their task. Sums by (task, source) are exchanged, and
+joined to the written ids: sent to all tasks while they are below the planner's broadcast
+threshold, beyond it the ids are shuffled once by (task, source). Texts are never exchanged.
 
 Null texts count as empty; every document ends with ``END``, so none is without ids.
 A null source is a source. Null ids and repeated rows are documents of their own. An

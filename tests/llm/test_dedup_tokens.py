@@ -305,6 +305,27 @@ def test_packing_edges(spark):
     assert packing.pack(df.limit(0)).count() == 0
 
 
+def test_packing_query(spark):
+    """The registered query: every text's greedy count in pieces, in the bins of one-by-one best fit, without gaps."""
+    count = model_greedy()
+    want = {r.doc_id: sum(count(w.decode()) for w in (r.text or "").encode().split())
+            for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = queries.op8_best_fit_packing(spark, SF).collect()
+    longest, pieces, bins = max(packing.CAPACITIES), {}, {}
+    for r in got:
+        pieces.setdefault(r.doc_id, []).append((r.piece, r.n_tokens))
+        if r.n_tokens:
+            bins.setdefault((r.bin_id, r.capacity), []).append((r.offset, r.n_tokens))
+    assert {i: sum(n for _, n in x) for i, x in pieces.items()} == want
+    for x in pieces.values():
+        assert sorted(k for k, _ in x) == list(range(len(x))) and all(n == longest for _, n in sorted(x)[:-1])
+    for x in bins.values():
+        x.sort()
+        assert [at for at, _ in x] == [sum(n for _, n in x[:k]) for k in range(len(x))]
+    assert len({b for b, _ in bins}) == len(bins) and {b for b, _ in bins} == set(range(len(bins)))
+    assert sorted((c, sum(n for _, n in x)) for (_, c), x in bins.items()) == brute_pack([r.n_tokens for r in got if r.n_tokens], packing.CAPACITIES)
+
+
 def test_ranks_are_dense(spark):
     df = spark.range(1000).selectExpr("id % 7 as k", "id")
     rows = ranked(df, ["k", "id"], "ranks", 5).collect()

@@ -174,6 +174,32 @@ def test_tables_are_the_convolution():
     assert np.allclose(np.log(p), net.log_probabilities(x, net.tables()), atol=1e-4)
 
 
+def test_windows_count_by_their_bytes():
+    """A text's prediction: the mean of its windows' log probabilities by bytes, one window at a time."""
+    net, r = langid.ByteCNN(["a", "b", "c"], window=32), random.Random(12)
+    texts = ["".join(r.choices("abc ñ字.", k=n)) + "x" for n in [0, 1, 30, 31, 32, 33, 62, 63, 64, 65, 500, 3000]] + [None, "", "12 34"]
+    lang, score = langid._predict(pa.array(texts, pa.string()), net, net.tables())
+    for text, got, p in zip(texts, lang, score, strict=True):
+        if not any(c.isalpha() for c in text or ""):
+            assert (got, p) == ("und", 0)
+            continue
+        data, total = text.encode(), np.zeros(3)
+        for a in range(0, len(data), 32):
+            part = data[a:a + 32]
+            x = np.frombuffer(part.ljust(32, b"\0"), dtype=np.uint8)[None, :]
+            total += len(part) * np.log(net._forward(x)[3][0])
+        want = np.exp(total / len(data))
+        want /= want.sum()
+        assert got == net.languages[int(want.argmax())] and abs(p - want.max()) < 1e-4
+
+
+def test_equal_probabilities_go_to_the_first_language():
+    net = langid.ByteCNN(["b", "c", "d"], window=32)
+    net.params["U"][:] = 0
+    lang, score = langid._predict(pa.array(["some words", "x" * 400]), net, net.tables())
+    assert lang == ["b", "b"] and np.allclose(score, 1 / 3)
+
+
 def test_training_gradient():
     net = langid.ByteCNN(["a", "b"], window=16, embed=3, filters=2, widths=(2, 3))
     net.params = {k: v.astype(np.float64) for k, v in net.params.items()}

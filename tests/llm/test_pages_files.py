@@ -297,6 +297,18 @@ def test_audit_of_repeated_and_many_extra_records(spark):
     assert kinds == {"missing", "repeated", "changed"}
 
 
+def test_audit_of_very_long_pages(spark):
+    """The last byte of a page of 24 MB, and the places of the records after it."""
+    rows = [(1, "http://a/", "a" * 24_000_000), (2, "http://b/", "short"), (3, "http://c/", "é" * 5_000_000), (4, "http://d/", None)]
+    archive = warc_fixity.records(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    size = {r.number: r.n for r in archive.selectExpr("number", "octet_length(record) as n").collect()}
+    assert size[0] > 24_000_000 and size[2] > 10_000_000
+    last = "concat(substring(record, 1, octet_length(record) - 5), cast('?\r\n\r\n' as binary))"
+    replica = archive.selectExpr("file", "number", f"if(number in (0, 3), {last}, record) as record")
+    got = warc_fixity.audit(archive, replica).collect()
+    assert {tuple(x) for x in got} == {(0, 0, 0, size[0], "changed"), (0, 3, sum(size[k] for k in range(3)), size[3], "changed")}
+
+
 def test_audit_of_nothing(spark):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     a = warc_fixity.records(empty)
